@@ -150,7 +150,7 @@ QUERIES = {
 }
 
 _MOMENTS = " UNION ALL ".join(
-    f"SELECT '{c}' AS feature, " + (f"avg({c}) AS mean, stddev_samp({c}) AS std" if c in NUMERIC else "CAST(NULL AS DOUBLE) AS mean, CAST(NULL AS DOUBLE) AS std") + " FROM samples"
+    f"SELECT '{c}' AS feature, " + (f"avg({c}) AS mean, stddev_samp({c}) AS std FROM samples" if c in NUMERIC else "CAST(NULL AS DOUBLE) AS mean, CAST(NULL AS DOUBLE) AS std")
     for c in FEATURES
 )
 # Score of every non-missing cell: the number, or the bin index of a category.

@@ -1,12 +1,13 @@
 """Bins: fit edges and categories, count per bin, WOE / IV / binned KS.
 
-Fitted bins are feature-sized and live on the driver; applying them is a literal
-CASE per feature inside the scan, followed by a map-side combined count. A wide
-table is therefore binned in one pass that shuffles only (feature, bin) cells.
+Fitted bins are feature-sized and live on the driver. Applying them unpivots the rows
+inside the scan, compares each cell with the edges of its feature, and counts map-side:
+a wide table is binned in one pass that shuffles only (feature, bin) cells.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
@@ -18,7 +19,15 @@ from pyspark.sql import functions as F
 
 from oddlens.functions.columns import clean_number, edge_bin, is_numeric, ratio
 from oddlens.functions.ranking import prefix_sums
-from oddlens.operators.counts import BATCH, value_counts
+from oddlens.operators.counts import (
+    BATCH,
+    feature_name,
+    number_cells,
+    numbered,
+    split_types,
+    text_cells,
+    value_counts,
+)
 from oddlens.sources.stages import stage
 
 MISSING = -1
@@ -61,11 +70,6 @@ class CategoryBins:
 Bins = Mapping[str, NumericBins | CategoryBins]
 
 
-def split_types(df: DataFrame, features: Sequence[str]) -> tuple[list[str], list[str]]:
-    numeric = [f for f in features if is_numeric(df.schema[f].dataType)]
-    return numeric, [f for f in features if f not in numeric]
-
-
 def ranked_values(df: DataFrame, features: Sequence[str], bad: Column, by: Sequence[str] = ()) -> DataFrame:
     """Value counts of numeric features with running and total counts per key.
 
@@ -277,23 +281,86 @@ def local_frame(df: DataFrame, data: pd.DataFrame) -> DataFrame:
     return df.sparkSession.createDataFrame(pa.Table.from_pandas(data, preserve_index=False))
 
 
-def bin_counts(df: DataFrame, bins: Bins, bad: Column, by: Sequence[str] = ()) -> DataFrame:
-    """``(*by, feature, bin) → n, bad``; missing values are bin -1. One pass."""
+def _numeric_index(df: DataFrame, cells: DataFrame, features: dict[int, str], bins: Bins) -> DataFrame:
+    """Add ``bin`` to number cells by joining each feature's edges as plain columns.
+
+    The edge table is made on the driver, one row per feature, so its size is known;
+    comparing a value with padded edge columns is one short expression whatever the
+    number of features, which keeps the generated code small enough to be compiled.
+    """
+    width = max(len(bins[f].edges) for f in features.values())
+    table = pd.DataFrame(
+        [[i, bins[f].side == "left", *bins[f].edges, *[math.inf] * (width - len(bins[f].edges))] for i, f in features.items()],
+        columns=["fid", "left_side", *[f"__e{k}" for k in range(width)]],
+    ).astype({"fid": "int32"})
+    value = F.col("num")
+    edges = [F.col(f"__e{k}") for k in range(width)]
+    sides = {bins[f].side for f in features.values()}
+
+    def count(side: str) -> Column:
+        hits = [(value >= e if side == "right" else value > e).cast("int") for e in edges]
+        return reduce(lambda a, b: a + b, hits, F.lit(0))
+
+    if len(sides) == 1:
+        index = count(sides.pop())
+    else:
+        index = F.when(F.col("left_side"), count("left")).otherwise(count("right"))
+    joined = cells.join(local_frame(df, table), "fid")
+    kept = [c for c in cells.columns if c != "num"]
+    return joined.select(*kept, F.when(value.isNotNull(), index).alias("bin"))
+
+
+def _category_index(df: DataFrame, cells: DataFrame, features: dict[int, str], bins: Bins) -> DataFrame:
+    """Add ``bin`` to text cells by joining the listed values of each feature."""
+    rows = [(i, v, k) for i, f in features.items() for k, v in enumerate(bins[f].values)]
+    table = pd.DataFrame(rows, columns=["fid", "txt", "place"]).astype({"fid": "int32", "txt": "str", "place": "int32"})
+    others = F.create_map(*[F.lit(x) for i, f in features.items() for x in (i, len(bins[f].values))])
+    known = cells.join(local_frame(df, table), ["fid", "txt"], "left")
+    index = F.when(F.col("txt").isNotNull(), F.coalesce("place", others[F.col("fid")]))
+    kept = [c for c in cells.columns if c != "txt"]
+    return known.select(*kept, index.alias("bin"))
+
+
+def _indexed(df: DataFrame, bins: Bins, keep: Sequence[Column]) -> DataFrame:
+    """``(*keep, fid, bin)`` for every cell, null bin where the value is missing."""
     names = list(bins)
-    parts = []
-    for start in range(0, len(names), BATCH):
-        batch = names[start : start + BATCH]
-        cells: list[Column] = []
-        for name in batch:
-            cells += [F.lit(name), F.coalesce(bins[name].index(name), F.lit(MISSING))]
-        parts.append(
-            df.select(*by, bad.cast("long").alias("__bad"), F.stack(F.lit(len(batch)), *cells).alias("feature", "bin"))
-        )
-    return (
-        reduce(DataFrame.unionByName, parts)
-        .groupBy(*by, "feature", "bin")
+    numbers = numbered(names, [f for f in names if isinstance(bins[f], NumericBins)])
+    texts = numbered(names, [f for f in names if isinstance(bins[f], CategoryBins)])
+    frames = []
+    if numbers:
+        frames.append(_numeric_index(df, number_cells(df, numbers, keep), numbers, bins))
+    if texts:
+        frames.append(_category_index(df, text_cells(df, texts, keep), texts, bins))
+    return reduce(DataFrame.unionByName, frames)
+
+
+def bin_counts(df: DataFrame, bins: Bins, bad: Column, by: Sequence[str] = ()) -> DataFrame:
+    """``(*by, feature, bin) → n, bad``; missing values are bin -1.
+
+    Cells are counted map-side, so only (feature, bin) cells are shuffled.
+    """
+    keep = [*[F.col(c) for c in by], bad.cast("long").alias("__bad")]
+    counts = (
+        _indexed(df, bins, keep)
+        .groupBy(*by, "fid", F.coalesce("bin", F.lit(MISSING)).alias("bin"))
         .agg(F.count("*").alias("n"), F.coalesce(F.sum("__bad"), F.lit(0)).alias("bad"))
     )
+    return counts.select(*by, feature_name(list(bins)), "bin", "n", "bad")
+
+
+def score_cells(df: DataFrame, bins: Bins, keep: Sequence[Column | str]) -> DataFrame:
+    """``(*keep, fid, num)``: the number itself, or the bin index of a category."""
+    kept = [F.col(k) if isinstance(k, str) else k for k in keep]
+    names = list(bins)
+    numbers = numbered(names, [f for f in names if isinstance(bins[f], NumericBins)])
+    texts = numbered(names, [f for f in names if isinstance(bins[f], CategoryBins)])
+    frames = []
+    if numbers:
+        frames.append(number_cells(df, numbers, kept))
+    if texts:
+        part = _category_index(df, text_cells(df, texts, kept), texts, bins)
+        frames.append(part.withColumn("num", F.col("bin").cast("double")).drop("bin"))
+    return reduce(DataFrame.unionByName, frames)
 
 
 def bin_labels(df: DataFrame, bins: Bins) -> DataFrame:
@@ -419,7 +486,3 @@ def column_moments(df: DataFrame, features: Sequence[str]) -> DataFrame:
             )
         frames.append(df.agg(*aggs).select(F.inline(F.array(*cells))))
     return reduce(DataFrame.unionByName, frames)
-
-
-def staged_bin_counts(df: DataFrame, bins: Bins, bad: Column, by: Sequence[str] = ()) -> DataFrame:
-    return stage(bin_counts(df, bins, bad, by))

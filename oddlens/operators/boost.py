@@ -86,9 +86,11 @@ def staged_scores(df: DataFrame, model: GBTClassificationModel, keep: Sequence[s
     """``(*keep, iteration, score)`` for every number of trees (needs ``features``)."""
     weights = model.treeWeights
     count = len(weights)
-    wide = _with_stages(df, model, count)
-    cells = [x for i in range(count) for x in (F.lit(i + 1), _probability(weights, i + 1))]
-    return wide.select(*keep, F.stack(F.lit(count), *cells).alias("iteration", "score"))
+    wide = _with_stages(df, model, count).select(
+        *keep, *[_probability(weights, i + 1).alias(str(i + 1)) for i in range(count)]
+    )
+    long = wide.unpivot(list(keep), [str(i + 1) for i in range(count)], "iteration", "score")
+    return long.withColumn("iteration", F.col("iteration").cast("int"))
 
 
 def training_history(df: DataFrame, model: GBTClassificationModel) -> DataFrame:

@@ -17,26 +17,63 @@ from pyspark.sql import functions as F
 from oddlens.functions.columns import clean_number, is_numeric
 
 # Columns unpivoted per scan; Parquet reads only the columns of the current batch.
-BATCH = 200
+BATCH = 100
 
 
-def long_cells(df: DataFrame, features: Sequence[str], keep: Sequence[Column | str] = ()) -> DataFrame:
-    """One row per (row, feature): ``feature, num, txt`` plus the kept columns.
+def split_types(df: DataFrame, features: Sequence[str]) -> tuple[list[str], list[str]]:
+    """Numeric features, and all others (which are treated as categories)."""
+    numeric = [f for f in features if is_numeric(df.schema[f].dataType)]
+    return numeric, [f for f in features if f not in numeric]
+
 
-    Numbers go to ``num`` (NaN and ±inf become null), all other types to ``txt``.
+def _unpivot(df: DataFrame, features: dict[int, str], kind: str, value: str, keep: Sequence[Column]) -> DataFrame:
+    """Long rows ``(*keep, fid, value)`` through Spark's Expand operator.
+
+    Features travel as small integers: they are hashed and compared far more cheaply
+    than names, which are put back after the rows have been aggregated.
     """
+    frames = []
+    items = list(features.items())
+    for start in range(0, len(items), BATCH):
+        batch = items[start : start + BATCH]
+        wide = df.select(*keep, *[F.col(name).cast(kind).alias(str(i)) for i, name in batch])
+        kept = wide.columns[: len(wide.columns) - len(batch)]
+        long = wide.unpivot(kept, [str(i) for i, _ in batch], "fid", value)
+        frames.append(long.withColumn("fid", F.col("fid").cast("int")))
+    return reduce(DataFrame.unionByName, frames)
+
+
+def number_cells(df: DataFrame, features: dict[int, str], keep: Sequence[Column] = ()) -> DataFrame:
+    """``(*keep, fid, num)``; NaN and ±inf become null."""
+    return _unpivot(df, features, "double", "num", keep).withColumn("num", clean_number(F.col("num")))
+
+
+def text_cells(df: DataFrame, features: dict[int, str], keep: Sequence[Column] = ()) -> DataFrame:
+    """``(*keep, fid, txt)``"""
+    return _unpivot(df, features, "string", "txt", keep)
+
+
+def numbered(features: Sequence[str], chosen: Sequence[str]) -> dict[int, str]:
+    """Positions of the chosen features within all features."""
+    wanted = set(chosen)
+    return {i: f for i, f in enumerate(features) if f in wanted}
+
+
+def feature_name(features: Sequence[str]) -> Column:
+    return F.element_at(F.array(*[F.lit(f) for f in features]), F.col("fid") + 1).alias("feature")
+
+
+def long_cells(df: DataFrame, features: Sequence[str], keep: Sequence[Column | str] = ()) -> DataFrame:
+    """One row per (row, feature): ``fid, num, txt`` plus the kept columns."""
     if not features:
         raise ValueError("at least one feature is needed")
+    kept = [F.col(k) if isinstance(k, str) else k for k in keep]
+    numeric, text = split_types(df, features)
     frames = []
-    for start in range(0, len(features), BATCH):
-        cells: list[Column] = []
-        for name in features[start : start + BATCH]:
-            numeric = is_numeric(df.schema[name].dataType)
-            cells.append(F.lit(name))
-            cells.append(clean_number(F.col(name)) if numeric else F.lit(None).cast("double"))
-            cells.append(F.lit(None).cast("string") if numeric else F.col(name).cast("string"))
-        size = F.lit(len(cells) // 3)
-        frames.append(df.select(*keep, F.stack(size, *cells).alias("feature", "num", "txt")))
+    if numeric:
+        frames.append(number_cells(df, numbered(features, numeric), kept).withColumn("txt", F.lit(None).cast("string")))
+    if text:
+        frames.append(text_cells(df, numbered(features, text), kept).withColumn("num", F.lit(None).cast("double")))
     return reduce(DataFrame.unionByName, frames)
 
 
@@ -50,13 +87,13 @@ def value_counts(
 
     Features without a value in any row still appear, through their missing cell.
     """
+    features = list(features)
     label = [] if bad is None else [bad.cast("long").alias("__bad")]
     sums = [F.count("*").alias("n")]
     if bad is not None:
         sums.append(F.coalesce(F.sum("__bad"), F.lit(0)).alias("bad"))
-    return (
-        long_cells(df, features, [*by, *label]).groupBy(*by, "feature", "num", "txt").agg(*sums)
-    )
+    counts = long_cells(df, features, [*by, *label]).groupBy(*by, "fid", "num", "txt").agg(*sums)
+    return counts.select(*by, feature_name(features), "num", "txt", *[c for c in ("n", "bad") if c in counts.columns])
 
 
 def is_present() -> Column:

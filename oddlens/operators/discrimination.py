@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from oddlens.functions.columns import clean_number, ratio
+from oddlens.functions.columns import ratio
 from oddlens.functions.ranking import prefix_sums
 from oddlens.operators.binning import (
     Bins,
@@ -17,10 +17,10 @@ from oddlens.operators.binning import (
     column_moments,
     fit_bins,
     ranked_values,
-    split_types,
+    score_cells,
     value_entropy,
 )
-from oddlens.operators.counts import BATCH
+from oddlens.operators.counts import feature_name, split_types, value_counts
 from oddlens.sources.stages import stage
 
 
@@ -85,29 +85,13 @@ def univariate_overview(
     ).orderBy(F.desc("iv"), "feature")
 
 
-def score_cells(df: DataFrame, bins: Bins, keep: Sequence[Column | str]) -> DataFrame:
-    """``(*keep, feature, num)``: the number itself, or the bin index of a category."""
-    numeric, _ = split_types(df, list(bins))
-    names, parts = list(bins), []
-    for start in range(0, len(names), BATCH):
-        batch = names[start : start + BATCH]
-        cells: list[Column] = []
-        for f in batch:
-            score = clean_number(F.col(f)) if f in numeric else bins[f].index(f).cast("double")
-            cells += [F.lit(f), score]
-        parts.append(df.select(*keep, F.stack(F.lit(len(batch)), *cells).alias("feature", "num")))
-    result = parts[0]
-    for part in parts[1:]:
-        result = result.unionByName(part)
-    return result
-
-
 def _cell_ranks(df: DataFrame, bins: Bins, bad: Column, by: Sequence[str]) -> DataFrame:
     counts = (
         score_cells(df, bins, [*by, bad.cast("long").alias("__bad")])
         .where(F.col("num").isNotNull())
-        .groupBy(*by, "feature", "num")
+        .groupBy(*by, "fid", "num")
         .agg(F.count("*").alias("n"), F.coalesce(F.sum("__bad"), F.lit(0)).alias("bad"))
+        .select(*by, feature_name(list(bins)), "num", "n", "bad")
     )
     return prefix_sums(counts, [*by, "feature"], ["num"], ["n", "bad"])
 
@@ -149,9 +133,9 @@ def top_share_lift(
     )
     # `cut` has one row per key and a known written size.
     label = bad.cast("long").alias("__bad")
-    tied = score_cells(df, bins, [*by, *id_cols, label]).join(
-        cut.where(~F.col("whole")).select(*keys, "num", "need"), [*keys, "num"]
-    )
+    cells = score_cells(df, bins, [*by, *id_cols, label])
+    cells = cells.select(*by, *id_cols, "__bad", feature_name(list(bins)), "num")
+    tied = cells.join(cut.where(~F.col("whole")).select(*keys, "num", "need"), [*keys, "num"])
     inside = (
         prefix_sums(tied.withColumn("__one", F.lit(1).cast("long")), keys, list(id_cols), ["__one"])
         .where(F.col("cum___one") <= F.col("need"))
@@ -192,8 +176,9 @@ def monthly_discrimination(
     totals = df.agg(F.count("*").alias("table_rows"))
     cells = (
         score_cells(dated, bins, [month, bad.cast("long").alias("__bad")])
-        .groupBy(month, "feature")
+        .groupBy(month, "fid")
         .agg(F.count("*").alias("all_rows"), F.coalesce(F.sum("__bad"), F.lit(0)).alias("all_bad"))
+        .select(month, feature_name(list(bins)), "all_rows", "all_bad")
     )
     keys = [month, "feature"]
     joined = cells.join(metrics, keys, "left").join(lift, keys, "left").crossJoin(totals)  # one row
@@ -231,7 +216,7 @@ def ks_buckets(
     cells = (
         score_cells(df, bins, [*id_cols, bad.cast("long").alias("bad")])
         .where(F.col("num").isNotNull())
-        .withColumn("n", F.lit(1).cast("long"))
+        .select(*id_cols, feature_name(list(bins)), "num", "bad", F.lit(1).cast("long").alias("n"))
     )
     ranked = prefix_sums(cells, ["feature"], ["-num", *id_cols], ["n", "bad"])
     size = F.greatest(F.lit(1), F.ceil(F.col("tot_n") / F.lit(buckets)))
@@ -281,8 +266,6 @@ def bucket_columns(grouped: DataFrame, keys: Sequence[str]) -> DataFrame:
 def target_mean_gini(df: DataFrame, features: Sequence[str], bad: Column, by: Sequence[str] = ()) -> DataFrame:
     """Gini = 2·AUC − 1 per feature: numbers rank by value with missing as 0, a
     category ranks by the bad rate of its own value in the same group."""
-    from oddlens.operators.counts import value_counts
-
     counts = value_counts(df, features, bad, by)
     numeric, _ = split_types(df, features)
     is_number = F.col("feature").isin(numeric) if numeric else F.lit(False)

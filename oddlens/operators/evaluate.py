@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 from oddlens.functions.columns import bucket_of_rank, ratio
 from oddlens.functions.ranking import global_row_number, prefix_sums
 from oddlens.operators.contract import RiskContract
-from oddlens.operators.counts import value_counts
+from oddlens.operators.counts import feature_name, text_cells, value_counts
 from oddlens.operators.stability import score_psi
 from oddlens.sources.stages import stage
 
@@ -322,17 +322,17 @@ def group_performance(
     minimum: int = 20,
 ) -> DataFrame:
     """Metrics per split, dimension and value for groups of at least ``minimum`` rows."""
-    cells: list[Column] = []
-    for d in dimensions:
-        cells += [F.lit(d), F.coalesce(F.col(d).cast("string"), F.lit("<MISSING>"))]
     keys = ["dataset", "dimension", "group_value"]
-    extra = [c for c in id_cols if c not in ("dataset",)]
-    long = df.select(
+    extra = [c for c in id_cols if c != "dataset"]
+    names = list(dimensions)
+    kept = [F.col(c) for c in ("dataset", *extra)] + [F.col(score).alias("__score"), bad.alias("__bad")]
+    long = text_cells(df, dict(enumerate(names)), kept).select(
         "dataset",
         *extra,
-        F.col(score).alias("__score"),
-        bad.alias("__bad"),
-        F.stack(F.lit(len(dimensions)), *cells).alias("dimension", "group_value"),
+        "__score",
+        "__bad",
+        feature_name(names).alias("dimension"),
+        F.coalesce("txt", F.lit("<MISSING>")).alias("group_value"),
     )
     return evaluate_scores(long, "__score", F.col("__bad"), extra, keys).where(F.col("sample_count") >= minimum)
 

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from oddlens.functions.columns import is_numeric, parse_date, ratio
 from oddlens.operators.contract import RiskContract
-from oddlens.operators.counts import is_present, long_cells, value_counts
+from oddlens.operators.counts import feature_name, is_present, long_cells, value_counts
 from oddlens.sources.stages import stage
 
 # Names that hint at a role or at leakage.
@@ -132,7 +132,7 @@ def _sketch_stats(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return (
         long_cells(df, columns)
         .where(is_present())
-        .groupBy("feature")
+        .groupBy("fid")
         .agg(
             F.count("*").alias("non_null_count"),
             F.approx_count_distinct(F.coalesce(F.col("txt"), F.col("num").cast("string"))).alias("unique_count"),
@@ -140,6 +140,8 @@ def _sketch_stats(df: DataFrame, columns: Sequence[str]) -> DataFrame:
             F.max("num").alias("numeric_max"),
             F.avg("num").alias("numeric_mean"),
         )
+        .withColumn("feature", feature_name(columns))
+        .drop("fid")
         .withColumns(
             {
                 "top_value": F.lit(None).cast("string"),

@@ -10,8 +10,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from oddlens.functions.columns import numeric_columns
-from oddlens.operators.binning import bin_counts, bin_detail, bin_summary, fit_bins, local_frame, ranked_values, split_types
+from oddlens.operators.binning import bin_counts, bin_detail, bin_summary, fit_bins, local_frame, ranked_values
 from oddlens.operators.correlation import both_directions, correlation_pairs, filled_pairs, max_correlation
+from oddlens.operators.counts import split_types
 from oddlens.operators.discrimination import rank_metrics
 from oddlens.operators.profile import dominant_values
 from oddlens.operators.stability import monthly_psi, monthly_sample, split_psi, stability_summary

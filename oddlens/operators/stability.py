@@ -17,10 +17,9 @@ from oddlens.operators.binning import (
     fit_bins,
     ranked_edges,
     ranked_quantiles,
-    split_types,
 )
 from oddlens.functions.ranking import prefix_sums
-from oddlens.operators.counts import value_counts
+from oddlens.operators.counts import split_types, value_counts
 from oddlens.sources.stages import stage
 
 
