@@ -276,9 +276,11 @@ def chi_merge(part: pd.DataFrame, bins: int, min_share: float) -> list[float]:
     return [r[2] for r in rows[:-1] if r[2] is not None and r[2] == r[2]]
 
 
-def local_frame(df: DataFrame, data: pd.DataFrame) -> DataFrame:
+def local_frame(df: DataFrame, data: pd.DataFrame | pa.Table) -> DataFrame:
     """A driver-made table (feature- or bin-sized) whose size the planner knows."""
-    return df.sparkSession.createDataFrame(pa.Table.from_pandas(data, preserve_index=False))
+    if isinstance(data, pd.DataFrame):
+        data = pa.Table.from_pandas(data, preserve_index=False)
+    return df.sparkSession.createDataFrame(data)
 
 
 def _numeric_index(df: DataFrame, cells: DataFrame, features: dict[int, str], bins: Bins) -> DataFrame:
@@ -313,7 +315,13 @@ def _numeric_index(df: DataFrame, cells: DataFrame, features: dict[int, str], bi
 def _category_index(df: DataFrame, cells: DataFrame, features: dict[int, str], bins: Bins) -> DataFrame:
     """Add ``bin`` to text cells by joining the listed values of each feature."""
     rows = [(i, v, k) for i, f in features.items() for k, v in enumerate(bins[f].values)]
-    table = pd.DataFrame(rows, columns=["fid", "txt", "place"]).astype({"fid": "int32", "txt": "str", "place": "int32"})
+    table = pa.table(
+        {
+            "fid": pa.array([r[0] for r in rows], pa.int32()),
+            "txt": pa.array([r[1] for r in rows], pa.string()),
+            "place": pa.array([r[2] for r in rows], pa.int32()),
+        }
+    )
     others = F.create_map(*[F.lit(x) for i, f in features.items() for x in (i, len(bins[f].values))])
     known = cells.join(local_frame(df, table), ["fid", "txt"], "left")
     index = F.when(F.col("txt").isNotNull(), F.coalesce("place", others[F.col("fid")]))

@@ -7,6 +7,7 @@ one ranked frame, so several tables can share one sort.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -337,8 +338,18 @@ def group_performance(
     return evaluate_scores(long, "__score", F.col("__bad"), extra, keys).where(F.col("sample_count") >= minimum)
 
 
-# Cumulative probabilities of a Poisson variable with mean 1.
-_POISSON_1 = (0.36787944117144233, 0.7357588823428847, 0.9196986029286058, 0.9810118431238462, 0.9963401531726563, 0.9994058151824183, 0.9999167588507119, 0.9999897508033253)
+# Largest cell drawn from the exact Poisson distribution; larger ones use the normal.
+_EXACT_POISSON = 24
+
+
+def _poisson_cdf(mean: int) -> list[float]:
+    """Cumulative probabilities of 0, 1, ..., 62, and a closing infinity."""
+    term, total, cdf = math.exp(-mean), 0.0, []
+    for k in range(63):
+        total += term
+        cdf.append(total)
+        term *= mean / (k + 1)
+    return [*cdf, math.inf]
 
 
 def _uniform(*parts: Column) -> Column:
@@ -347,18 +358,19 @@ def _uniform(*parts: Column) -> Column:
 
 
 def _poisson_weight(n: Column, *parts: Column) -> Column:
-    """Sum of ``n`` Poisson(1) draws: exact up to 16 rows, normal beyond."""
-    def one(i: Column) -> Column:
-        u = _uniform(*parts, i)
-        return sum((u >= F.lit(p)).cast("int") for p in _POISSON_1)
-
-    small = F.aggregate(
-        F.sequence(F.lit(1), F.least(n, F.lit(16)).cast("int")), F.lit(0), lambda acc, i: acc + one(i)
+    """Poisson(n) draw of a cell: how often its n rows enter a resample together."""
+    u, v = _uniform(*parts, F.lit(1)), _uniform(*parts, F.lit(2))
+    tables = F.array(*[F.array(*[F.lit(p) for p in _poisson_cdf(m)]) for m in range(1, _EXACT_POISSON + 1)])
+    cdf = F.element_at(tables, F.least(n, F.lit(_EXACT_POISSON)).cast("int"))
+    # Binary search for the number of cumulative probabilities up to u.
+    exact = F.aggregate(
+        F.array(*[F.lit(s) for s in (32, 16, 8, 4, 2, 1)]),
+        F.lit(0),
+        lambda found, step: F.when(F.element_at(cdf, found + step) <= u, found + step).otherwise(found),
     )
-    u, v = _uniform(*parts, F.lit(-1)), _uniform(*parts, F.lit(-2))
-    normal = F.sqrt(-2 * F.ln(u)) * F.cos(F.lit(6.283185307179586) * v)
+    normal = F.sqrt(-2 * F.ln(u)) * F.cos(F.lit(2 * math.pi) * v)
     large = F.greatest(F.lit(0.0), F.round(n + F.sqrt(n.cast("double")) * normal))
-    return F.when(n <= 16, small.cast("long")).otherwise(large.cast("long"))
+    return F.when(n <= _EXACT_POISSON, exact.cast("long")).otherwise(large.cast("long"))
 
 
 def bootstrap_intervals(

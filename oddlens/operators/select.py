@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -106,7 +106,13 @@ def select_features(
         pairs = stage(correlation_pairs(train, numeric, rules.correlation_method))
         replaced = prune_correlated(metrics, pairs, rules.max_correlation)
     swaps = local_frame(
-        train, pd.DataFrame({"feature": list(replaced), "correlated_with": list(replaced.values())}, dtype="str")
+        train,
+        pa.table(
+            {
+                "feature": pa.array(list(replaced), pa.string()),
+                "correlated_with": pa.array(list(replaced.values()), pa.string()),
+            }
+        ),
     )
     review = F.concat_ws(
         ", ",
