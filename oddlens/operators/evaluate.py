@@ -402,12 +402,11 @@ def bootstrap_intervals(
     def weight(n: Column, tag: int) -> Column:
         return F.when(F.col("round") == 0, n).when(n == 0, F.lit(0)).otherwise(_poisson_weight(n, *parts, F.lit(tag)))
 
-    weighted = (
+    # Written once, so the draws are not repeated by the range sampling that follows.
+    weighted = stage(
         drawn.select(*keys, "round", "score", weight(F.col("bads"), 1).alias("bad"), weight(goods, 0).alias("good"))
-        .withColumn("n", F.col("bad") + F.col("good"))
-        .where("n > 0")
-    )
-    ranked = prefix_sums(weighted, [*keys, "round"], ["-score"], ["n", "bad"])
+    ).withColumn("n", F.col("bad") + F.col("good"))
+    ranked = prefix_sums(weighted.where("n > 0"), [*keys, "round"], ["-score"], ["n", "bad"])
     b, g = F.col("tot_bad"), F.col("tot_n") - F.col("tot_bad")
     middle = F.col("tot_n") - F.col("cum_n") + (F.col("n") + 1) / F.lit(2.0)
     square = F.col("bad") * F.pow(F.col("score") - 1, F.lit(2)) + F.col("good") * F.pow("score", F.lit(2))

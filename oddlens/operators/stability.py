@@ -174,8 +174,8 @@ def score_psi(
 ) -> DataFrame:
     """PSI of a score per split against the base split; values on an edge go down.
 
-    ``edges="quantile"`` takes data values, ``"linear"`` interpolates. A score that
-    is one constant everywhere has PSI 0.
+    ``edges="quantile"`` takes data values, ``"linear"`` interpolates and gives 0 to a
+    split whose scores are all the one constant of the base split.
     """
     scored = df.where(F.col(score).isNotNull())
     counts = scored.where(F.col(dataset) == base).groupBy(F.col(score).alias("num")).agg(F.count("*").alias("n"))
@@ -186,11 +186,22 @@ def score_psi(
     else:
         cuts = sorted(ranked_edges(ranked, bins, keys=[]).first().edges)
     bucket = NumericBins(tuple(cuts), "left").index(score)
-    cells = stage(scored.groupBy(dataset, bucket.alias("bin")).agg(F.count("*").alias("n")))
+    cells = stage(
+        scored.groupBy(dataset, bucket.alias("bin")).agg(
+            F.count("*").alias("n"), F.min(score).alias("low"), F.max(score).alias("high")
+        )
+    )
     support = scored.sparkSession.range(len(cuts) + 1).select(F.col("id").cast("int").alias("bin"))
-    return psi_against(cells, [], dataset, F.lit(base), smoothing, support=support).select(
+    psi = psi_against(cells, [], dataset, F.lit(base), smoothing, support=support).select(
         dataset, F.col("psi").alias("score_psi")
     )
+    if edges != "linear":
+        return psi
+    ranges = cells.groupBy(dataset).agg(F.min("low").alias("low"), F.max("high").alias("high"))
+    known = {r[dataset]: (r.low, r.high) for r in ranges.collect()}  # splits-sized
+    low, high = known.get(base, (None, None))
+    same = [d for d, r in known.items() if low is not None and low == high and r == (low, high)]
+    return psi.withColumn("score_psi", F.when(F.col(dataset).isin(same), F.lit(0.0)).otherwise(F.col("score_psi"))) if same else psi
 
 
 def stability_summary(

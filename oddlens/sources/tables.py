@@ -19,7 +19,8 @@ def load_table(
     sampling_ratio: float | None = None,
 ) -> DataFrame:
     """Read CSV or Parquet by suffix. The frame is lazy: columns and filters used
-    later are pushed into this scan."""
+    later are pushed into this scan. Charsets beyond ISO-8859-1 and the UTF family need
+    ``spark.sql.legacy.javaCharsets=true`` in the session."""
     suffix = PurePosixPath(path.rstrip("/")).suffix.lower()
     if suffix == ".csv":
         reader = spark.read.option("header", True).option("encoding", encoding or "UTF-8")
