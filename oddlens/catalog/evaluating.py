@@ -76,8 +76,14 @@ def metrics_by_split(spark: SparkSession, folder: str) -> DataFrame:
     return rounded(evaluate.metrics_by_split(scored(spark, folder), "score", bad(), IDS))
 
 
+def _squares(metrics: DataFrame) -> DataFrame:
+    """Brier score times rows: a sum of six-digit numbers, so it rounds alike anywhere."""
+    total = (F.col("brier_score") * F.col("sample_count")).alias("squared_error")
+    return metrics.select("*", total).drop("auc_adjusted", "gini", "brier_score")
+
+
 def monthly_performance(spark: SparkSession, folder: str) -> DataFrame:
-    return rounded(evaluate.monthly_performance(scored(spark, folder), "score", bad(), IDS).drop("auc_adjusted", "gini"))
+    return rounded(_squares(evaluate.monthly_performance(scored(spark, folder), "score", bad(), IDS)))
 
 
 def group_columns(spark: SparkSession, folder: str) -> DataFrame:
@@ -93,7 +99,7 @@ def group_columns(spark: SparkSession, folder: str) -> DataFrame:
 
 def group_performance(spark: SparkSession, folder: str) -> DataFrame:
     rows = scored(spark, folder)
-    return rounded(evaluate.group_performance(rows, "score", bad(), IDS, ["event_month", *CATEGORICAL]).drop("auc_adjusted", "gini"))
+    return rounded(_squares(evaluate.group_performance(rows, "score", bad(), IDS, ["event_month", *CATEGORICAL])))
 
 
 QUERIES = {
@@ -194,14 +200,14 @@ CHECKS = {
         "SELECT m.*, p.score_psi AS score_psi_vs_train FROM split_metrics m LEFT JOIN score_psi p USING (dataset)",
         [*_METRICS, "score_psi_vs_train"], ["bad_count"],
     ),
-    "monthly_performance": check(SAMPLES_SQL + "," + keyed_metrics("event_month", "scored"), "SELECT dataset, event_month, sample_count, bad_count, bad_rate, auc, ks, pr_auc, brier_score FROM keyed", ["bad_rate", "auc", "ks", "pr_auc", "brier_score"], ["bad_count"]),
+    "monthly_performance": check(SAMPLES_SQL + "," + keyed_metrics("event_month", "scored"), "SELECT dataset, event_month, sample_count, bad_count, bad_rate, auc, ks, pr_auc, brier_score*sample_count AS squared_error FROM keyed", ["bad_rate", "auc", "ks", "pr_auc", "squared_error"], ["bad_count"]),
     "group_columns": check(
         SAMPLES_SQL,
         "SELECT 'c_mktsegment' AS dimension, count(DISTINCT c_mktsegment) AS values FROM scored WHERE dataset = 'train' UNION ALL SELECT 'o_orderpriority', count(DISTINCT o_orderpriority) FROM scored WHERE dataset = 'train'",
     ),
     "group_performance": check(
         _GROUPS,
-        "SELECT dataset, split_part(g, '|', 1) AS dimension, split_part(g, '|', 2) AS group_value, sample_count, bad_count, bad_rate, auc, ks, pr_auc, brier_score FROM keyed WHERE sample_count >= 20",
-        ["bad_rate", "auc", "ks", "pr_auc", "brier_score"], ["bad_count"],
+        "SELECT dataset, split_part(g, '|', 1) AS dimension, split_part(g, '|', 2) AS group_value, sample_count, bad_count, bad_rate, auc, ks, pr_auc, brier_score*sample_count AS squared_error FROM keyed WHERE sample_count >= 20",
+        ["bad_rate", "auc", "ks", "pr_auc", "squared_error"], ["bad_count"],
     ),
 }
