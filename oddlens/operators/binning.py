@@ -90,19 +90,33 @@ def _holds(rank: Column, weight: str) -> Column:
     return (rank >= last - F.col(weight)) & (rank < last)
 
 
+def _half_even(top: str, bottom: int) -> Column:
+    """``top / bottom`` rounded half-even, in whole numbers (``top`` is SQL text)."""
+    whole, rest = F.expr(f"({top}) div {bottom}"), F.expr(f"2 * (({top}) % {bottom})")
+    return whole + F.when(rest > bottom, 1).when(rest == bottom, whole % 2).otherwise(0)
+
+
 def ranked_edges(ranked: DataFrame, bins: int, keys: Sequence[str] = ("feature",), weight: str = "n") -> DataFrame:
     """Edges that are data values at the half-even rounded positions i(n-1)/bins.
 
-    ``weight="n"`` walks all values, ``weight="distinct"`` walks distinct values.
+    ``weight="n"`` walks all values, ``weight="distinct"`` walks distinct values. A
+    short range test drops nearly all rows first; the exact positions are then looked
+    up in the few candidate rows of each key.
     """
-    last = F.col(f"tot_{weight}") - 1
-    chosen = reduce(
-        lambda a, b: a | b,
-        [_holds(F.bround(last * F.lit(i) / F.lit(bins)), weight) for i in range(1, bins)],
+    high, total = F.col(f"cum_{weight}"), F.col(f"tot_{weight}")
+    low = high - F.col(weight)
+    scale = F.lit(float(bins)) / (total - 1)
+    near = F.when(total > 1, F.floor((high - 0.4) * scale) >= F.ceil((low - 0.6) * scale)).otherwise(weight == "n")
+    candidates = (
+        ranked.select(*keys, "num", low.alias("low"), high.alias("high"), total.alias("total"), near.alias("near"))
+        .where("near")
+        .groupBy(*keys)
+        .agg(F.max("total").alias("total"), F.collect_list(F.struct("num", "low", "high")).alias("rows"))
     )
-    enough = F.lit(True) if weight == "n" else F.col("tot_distinct") > 1
-    return ranked.groupBy(*keys).agg(
-        F.sort_array(F.collect_set(F.when(chosen & enough, F.col("num")))).alias("edges")
+    places = F.array(*[_half_even(f"(total - 1) * {i}", bins) for i in range(1, bins)])
+    held = F.filter("rows", lambda r: F.exists("places", lambda p: (p >= r["low"]) & (p < r["high"])))
+    return candidates.withColumn("places", places).select(
+        *keys, F.array_sort(F.array_distinct(F.transform(held, lambda r: r["num"]))).alias("edges")
     )
 
 
@@ -216,7 +230,7 @@ def _approx_edges(df: DataFrame, features: Sequence[str], bins: int, accuracy: i
 
 
 def _chi_edges(
-    df: DataFrame, features: Sequence[str], bins: int, bad: Column, fine: int = 200, min_share: float = 0.01
+    df: DataFrame, features: Sequence[str], bins: int, bad: Column, fine: int = 100, min_share: float = 0.01
 ) -> dict:
     """Merge at most ``fine`` quantile bins per feature down to ``bins``.
 
