@@ -7,15 +7,26 @@ from pyspark.sql import DataFrame, SparkSession
 
 from oddlens.llm.common import documents
 from oddlens.llm.exact_dedup import exact_groups
+from oddlens.llm.near_dedup import near_groups
 from oddlens.llm.pieces import piece_digests
+from oddlens.llm.token_files import token_file_rows
 
 PIECE_MODEL = public_tokenizers.path("piece_bpe_32k.model")
+WORD_MODEL = public_tokenizers.path("word_bpe_49k.json")
 
 
 def op3_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
     return piece_digests(documents(spark, folder), PIECE_MODEL)
 
 
+def op5_token_files(spark: SparkSession, folder: str) -> DataFrame:
+    return token_file_rows(documents(spark, folder), WORD_MODEL, end_id=2)
+
+
+def op7_minhash_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return near_groups(documents(spark, folder)).drop("text_hash")
+
+
 def op9_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact_groups(documents(spark, folder))
 
@@ -37,6 +48,8 @@ FROM ranked
 
 QUERIES = {
     "op3_sentencepiece": op3_sentencepiece,
+    "op5_token_files": op5_token_files,
+    "op7_minhash_dedup": op7_minhash_dedup,
     "op9_exact_dedup": op9_exact_dedup,
 }
 CHECKS = {"op9_exact_dedup": OP9_SQL}
