@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from oddlens.llm.common import documents
 from oddlens.llm.exact_dedup import exact_groups
+from oddlens.llm.line_rules import LEAST_SHARE, LEAST_WORDS, LIMIT, judged
 from oddlens.llm.near_dedup import near_groups
 from oddlens.llm.pieces import piece_digests
 from oddlens.llm.token_files import token_file_rows
@@ -19,6 +20,10 @@ def op3_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
     return piece_digests(documents(spark, folder), PIECE_MODEL)
 
 
+def op4_line_rules(spark: SparkSession, folder: str) -> DataFrame:
+    return judged(documents(spark, folder))
+
+
 def op5_token_files(spark: SparkSession, folder: str) -> DataFrame:
     return token_file_rows(documents(spark, folder), WORD_MODEL, end_id=2)
 
@@ -46,10 +51,54 @@ SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(content) AS
 FROM ranked
 """
 
+OP4_SQL = rf"""
+WITH texts AS (
+  SELECT doc_id, source, coalesce(text, '') AS t FROM documents
+), split AS (
+  SELECT doc_id, source, t,
+         list_filter(regexp_split_to_array(t, '[\x20\x09-\x0D]+'), lambda w: w <> '') AS words,
+         list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines
+  FROM texts
+), windows AS (
+  SELECT doc_id, i, array_to_string(words[i:i+2], ' ') AS w
+  FROM (SELECT doc_id, words, unnest(range(1, len(words) - 1)) AS i FROM split)
+), again AS (
+  SELECT doc_id, i FROM (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, w) AS n FROM windows) WHERE n > 1
+), covered AS (
+  SELECT doc_id, count(DISTINCT p) AS n_repeat_words
+  FROM (SELECT doc_id, unnest([i, i + 1, i + 2]) AS p FROM again) GROUP BY doc_id
+), counts AS (
+  SELECT doc_id, source, t, len(words)::BIGINT AS n_words,
+         length(regexp_replace(t, '[\x20\x09-\x0D]', '', 'g'))::BIGINT AS word_chars,
+         (length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')))::BIGINT AS n_symbols,
+         (len(lines) - len(list_distinct(lines)))::BIGINT AS n_dup_lines,
+         coalesce(n_repeat_words, 0)::BIGINT AS n_repeat_words
+  FROM split LEFT JOIN covered USING (doc_id)
+), plain AS (
+  SELECT doc_id, source, t, list_filter(string_split(regexp_replace(translate(line,
+           'ABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789', 'abcdefghijklmnopqrstuvwxyz0000000000'), '[\x09-\x0D]', ' ', 'g'), ' '), lambda w: w <> '') AS ws
+  FROM (SELECT doc_id, source, t, unnest(string_split(t, chr(10))) AS line FROM texts)
+), lined AS (
+  SELECT doc_id, source, t, array_to_string(ws, ' ') AS line, len(ws) AS n FROM plain WHERE len(ws) > 0
+), frequent AS (
+  SELECT source, line FROM lined GROUP BY source, line HAVING count(DISTINCT t) > {LIMIT}
+), lost AS (
+  SELECT doc_id, sum(n)::BIGINT AS removed_words
+  FROM lined JOIN frequent ON lined.line = frequent.line AND lined.source IS NOT DISTINCT FROM frequent.source GROUP BY doc_id
+), judged AS (
+  SELECT *, n_words < {LEAST_WORDS} OR 100 * n_repeat_words > 50 * n_words AS base_failed, coalesce(lost.removed_words, 0) AS removed
+  FROM counts LEFT JOIN lost USING (doc_id)
+)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, removed AS removed_words,
+       NOT base_failed AND n_words - removed >= {LEAST_WORDS} AND n_words - removed >= {LEAST_SHARE} * n_words AS kept
+FROM judged
+"""
+
 QUERIES = {
     "op3_sentencepiece": op3_sentencepiece,
+    "op4_line_rules": op4_line_rules,
     "op5_token_files": op5_token_files,
     "op7_minhash_dedup": op7_minhash_dedup,
     "op9_exact_dedup": op9_exact_dedup,
 }
-CHECKS = {"op9_exact_dedup": OP9_SQL}
+CHECKS = {"op4_line_rules": OP4_SQL, "op9_exact_dedup": OP9_SQL}
