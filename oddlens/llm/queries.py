@@ -11,6 +11,7 @@ from oddlens.llm.line_rules import LEAST_SHARE, LEAST_WORDS, LIMIT, judged
 from oddlens.llm.near_dedup import near_groups
 from oddlens.llm.pieces import piece_digests
 from oddlens.llm.token_files import token_file_rows
+from oddlens.llm.url_filter import judged_pages
 
 PIECE_MODEL = public_tokenizers.path("piece_bpe_32k.model")
 WORD_MODEL = public_tokenizers.path("word_bpe_49k.json")
@@ -32,6 +33,10 @@ def op7_minhash_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return near_groups(documents(spark, folder)).drop("text_hash")
 
 
+def op8_url_filter(spark: SparkSession, folder: str) -> DataFrame:
+    return judged_pages(spark.read.parquet(f"{folder}/pages.parquet"))
+
+
 def op9_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact_groups(documents(spark, folder))
 
@@ -99,6 +104,7 @@ QUERIES = {
     "op4_line_rules": op4_line_rules,
     "op5_token_files": op5_token_files,
     "op7_minhash_dedup": op7_minhash_dedup,
+    "op8_url_filter": op8_url_filter,
     "op9_exact_dedup": op9_exact_dedup,
 }
 CHECKS = {"op4_line_rules": OP4_SQL, "op9_exact_dedup": OP9_SQL}
