@@ -10,11 +10,12 @@ one table: HALVES ** 2 tables from 2 * HALVES * WIDTH minhashes.
    Equal sets become one class, so copies never meet as pairs.
 2. Half keys that only one class has are dropped before any table key is formed.
 3. Candidates share a table key. They are compared on their full sets, in rounds that
-   never list all pairs of a bucket whose members are already connected:
-   the bucket's smallest class against its members; another class for each bucket
-   against the members that are not in its component; and at last every pair of the
-   bucket in different components, so no candidate pair that could join two components
-   is left out.
+   never list all pairs of a bucket whose members are already connected: the bucket's
+   most typical class (whose half keys most classes have: in a group of edited copies the
+   text that the others were made from) against its members; the ``HEADS`` most typical
+   ones against the members of other components; and at last every pair of the bucket in
+   different components, once, in the first table that it shares. No candidate pair that
+   could join two components is left out.
 4. Components of the links, and the smallest doc_id of each.
 
 A pair at similarity 0.8 shares a table with probability (1 - (1 - 0.8 ** 2) ** 10) ** 2,
@@ -33,7 +34,7 @@ from collections.abc import Iterable, Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from oddlens.llm.common import LOWER, slices, text_bytes, written
@@ -42,6 +43,8 @@ from oddlens.llm.components import components
 HALVES, WIDTH, WORDS = 10, 2, 4
 #: Least intersection / union, in hundredths.
 LEAST = 80
+#: Classes of a bucket that its unconnected members meet before all pairs are compared.
+HEADS = 6
 #: Words whose hashes one task remembers at most.
 REMEMBERED = 500_000
 
@@ -141,11 +144,29 @@ def _verified(pairs: DataFrame, sets: DataFrame, name: str) -> DataFrame:
 
 def _in_components(buckets: DataFrame, roots: DataFrame) -> DataFrame:
     """Bucket rows with their class's component, of buckets that hold two components or more."""
-    rows = buckets.join(roots.withColumnRenamed("node", "cid"), "cid", "left").select("tk", "cid", F.coalesce("root", "cid").alias("comp"))
+    rows = buckets.join(roots.withColumnRenamed("node", "cid"), "cid", "left").withColumn("comp", F.coalesce("root", "cid")).drop("root")
     apart = rows.groupBy("tk").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).where("x != y").select("tk")
     return rows.join(apart, "tk", "left_semi")
 
 
+def _top_rows(apart: DataFrame) -> DataFrame:
+    """The HEADS most typical classes of each bucket: tk, other, other_comp."""
+    order = Window.partitionBy("tk").orderBy(F.col("typical").desc(), "cid")
+    top = apart.withColumn("at", F.row_number().over(order)).where(F.col("at") <= HEADS)  # Spark ranks in each task first
+    return top.select("tk", F.col("cid").alias("other"), F.col("comp").alias("other_comp"))
+
+
+def _first_shared(start: Column, place: Column) -> Column:
+    """Whether ``place`` is the first from ``start`` on where x and y have the same half key."""
+    n = place - start + 1
+    same = F.zip_with(F.slice("x.keys", start + 1, n), F.slice("y.keys", start + 1, n), lambda a, b: a == b)
+    return F.array_position(same, F.lit(True)) == n
+
+
+def _with_links(roots: DataFrame, links: DataFrame) -> DataFrame:
+    return roots.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(links)
+
+
 def near_groups(docs: DataFrame) -> DataFrame:
     """One row per document of ``docs`` (doc_id, text): doc_id, n_shingles, component_id (the
     smallest doc_id of its group), kept, and text_hash (xxhash64 of the text)."""
@@ -157,41 +178,43 @@ def near_groups(docs: DataFrame) -> DataFrame:
     classes = written(grouped.withColumn("cid", F.monotonically_increasing_id()), "near-classes")
 
     halves = classes.select("cid", F.posexplode("keys").alias("place", "half"))
-    shared = halves.groupBy("half").agg(F.count("*").alias("n")).where("n > 1").select("half")
+    shared = halves.groupBy("half").agg(F.count("*").alias("n")).where("n > 1")
+    own = F.struct("place", "half")
     sides = (
-        halves.join(shared, "half", "left_semi")
+        halves.join(shared, "half")
         .groupBy("cid")
-        .agg(F.collect_list(F.when(F.col("place") < HALVES, F.col("half"))).alias("left"), F.collect_list(F.when(F.col("place") >= HALVES, F.col("half"))).alias("right"))
+        .agg(
+            F.collect_list(F.when(F.col("place") < HALVES, own)).alias("left"),
+            F.collect_list(F.when(F.col("place") >= HALVES, own)).alias("right"),
+            F.sum("n").alias("typical"),
+        )
     )
-    keyed = sides.select("cid", F.explode("left").alias("l"), "right").select("cid", "l", F.explode("right").alias("r")).select("cid", F.xxhash64("l", "r").alias("tk"))
-    tables = written(keyed, "near-tables")
-    centres = tables.groupBy("tk").agg(F.min("cid").alias("b"), F.count("*").alias("n")).where("n > 1").select("tk", "b")
+    pairs = sides.select("cid", "typical", F.explode("left").alias("l"), "right").select("cid", "typical", "l", F.explode("right").alias("r"))
+    tables = written(pairs.select("cid", "typical", F.col("l.place").alias("i"), F.col("r.place").alias("j"), F.xxhash64("l.half", "r.half").alias("tk")), "near-tables")
+    rank = F.struct("typical", (-F.col("cid")).alias("c"))
+    centres = tables.groupBy("tk").agg(F.max(rank).alias("top"), F.count("*").alias("n")).where("n > 1").select("tk", (-F.col("top.c")).alias("b"))
     buckets = written(tables.join(centres, "tk"), "near-buckets")
 
     needed = buckets.select("cid").distinct().join(classes.select("cid", "digest", "least_id"), "cid")
     texts = rows.join(needed.withColumnRenamed("least_id", "own_id"), F.col("doc_id").eqNullSafe(F.col("own_id")))
     sets = written(texts.select("cid", "digest", "text").mapInArrow(_sets, "cid long, members binary").dropDuplicates(["cid"]), "near-sets")
 
-    pairs = buckets.where("cid != b").select(F.col("cid").alias("a"), "b").distinct()
-    links = _verified(pairs, sets, "near-links")
-    roots = components(links)
-
-    # Another centre for each bucket, against those that it is not connected with.
-    open_rows = written(_in_components(buckets, roots), "near-open")
-    order = F.xxhash64("tk", "cid")
-    chosen = open_rows.groupBy("tk").agg(F.min(order).alias("first"))
-    heads = open_rows.join(chosen, "tk").where(order == F.col("first")).select("tk", F.col("cid").alias("other"), F.col("comp").alias("other_comp"))
-    pairs = open_rows.join(heads, "tk").where("comp != other_comp").select(F.least("cid", "other").alias("a"), F.greatest("cid", "other").alias("b")).distinct()
-    links = roots.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(_verified(pairs, sets, "near-links"))
-    roots = components(links)
-
-    # Every pair of a bucket that is still in two components.
-    left = written(_in_components(open_rows.select("tk", "cid"), roots), "near-left")
+    found = buckets.where("cid != b").select(F.col("cid").alias("a"), "b").distinct()
+    roots = components(_verified(found, sets, "near-links"))
+
+    # The most typical classes of each bucket, against those in other components.
+    apart = written(_in_components(buckets.drop("b"), roots), "near-apart")
+    met = apart.join(_top_rows(apart), "tk").where("comp != other_comp")
+    found = met.select(F.least("cid", "other").alias("a"), F.greatest("cid", "other").alias("b")).distinct()
+    roots = components(_with_links(roots, _verified(found, sets, "near-links")))
+
+    # Every pair of a bucket that is still in two components, in the first table that it shares.
+    left = written(_in_components(apart.drop("comp"), roots).join(classes.select("cid", "keys"), "cid"), "near-left")
     x, y = left.alias("x"), left.alias("y")
     met = (F.col("x.tk") == F.col("y.tk")) & (F.col("x.cid") < F.col("y.cid")) & (F.col("x.comp") != F.col("y.comp"))
-    pairs = x.join(y, met).select(F.col("x.cid").alias("a"), F.col("y.cid").alias("b")).distinct()
-    links = roots.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(_verified(pairs, sets, "near-links"))
-    roots = components(links)
+    met &= _first_shared(F.lit(0), F.col("x.i")) & _first_shared(F.lit(HALVES), F.col("x.j"))
+    found = x.join(y, met).select(F.col("x.cid").alias("a"), F.col("y.cid").alias("b"))
+    roots = components(_with_links(roots, _verified(found, sets, "near-links")))
 
     # Only classes of several documents or with a link can have another document's id.
     named = classes.select("cid", "digest", "least_id", "n_docs").join(roots.withColumnRenamed("node", "cid"), "cid", "left")
