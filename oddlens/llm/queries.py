@@ -5,18 +5,32 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from oddlens.llm.common import documents
+from oddlens.llm.common import ship
 from oddlens.llm.exact_dedup import exact_groups
 from oddlens.llm.line_rules import LEAST_SHARE, LEAST_WORDS, LIMIT, judged
 from oddlens.llm.near_dedup import near_groups
 from oddlens.llm.pieces import piece_digests
 from oddlens.llm.token_files import token_file_rows
+from oddlens.llm.toxicity import toxicity_scores
 from oddlens.llm.url_filter import judged_pages
 
 PIECE_MODEL = public_tokenizers.path("piece_bpe_32k.model")
 WORD_MODEL = public_tokenizers.path("word_bpe_49k.json")
 
 
+def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    ship(spark)
+    return spark.read.parquet(f"{folder}/{name}.parquet")
+
+
+def documents(spark: SparkSession, folder: str) -> DataFrame:
+    return table(spark, folder, "documents")
+
+
+def op1_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    return toxicity_scores(documents(spark, folder), table(spark, folder, "labels"))
+
+
 def op3_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
     return piece_digests(documents(spark, folder), PIECE_MODEL)
 
@@ -34,7 +48,7 @@ def op7_minhash_dedup(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op8_url_filter(spark: SparkSession, folder: str) -> DataFrame:
-    return judged_pages(spark.read.parquet(f"{folder}/pages.parquet"))
+    return judged_pages(table(spark, folder, "pages"))
 
 
 def op9_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
@@ -100,6 +114,7 @@ FROM judged
 """
 
 QUERIES = {
+    "op1_toxicity": op1_toxicity,
     "op3_sentencepiece": op3_sentencepiece,
     "op4_line_rules": op4_line_rules,
     "op5_token_files": op5_token_files,

@@ -45,7 +45,7 @@ LABELLED, TRAINING = 20_000, 12_000
 #: Lexicon voters that the found terms are dealt to, and the most terms of all of them.
 LISTS, TERMS = 12, 600
 #: A term must be in so many marked documents, and that many times likelier than in clean ones.
-LEAST_DOCS, LEAST_RATIO = 3, 8.0
+LEAST_DOCS, LEAST_RATIO = 4, 15.0
 #: Residual correlation from which two voters count as dependent.
 DEPENDENT = 0.1
 THRESHOLD = 0.3
@@ -60,7 +60,7 @@ INSULTS = (
 ).split()
 _DIGITS = str.maketrans("013457@$!", "oieastasi")
 _SPELLED = re.compile(r"(?<!\w)(?:\w[ .*_-]){3,}\w(?!\w)")
-_AIMED = re.compile(r"\b(?:you|du|tu|vous|usted|ustedes)\b(?:\W+\w+){0,4}?\W+(\w+)", re.I)
+_AIMED = re.compile(r"\b(?:you|du|tu|vous|usted|ustedes)\b((?:\W+\w+){1,5})", re.I)
 _SHOUT = re.compile(r"[!?]{3,}")
 
 
@@ -86,7 +86,7 @@ class Voters:
         if text:
             if any("".join(re.findall(r"\w", m)).lower() in _WRITTEN for m in _SPELLED.findall(text)):
                 found |= 1 << LISTS + 2
-            if found & (1 << LISTS) and any(m.lower() in _WRITTEN for m in _AIMED.findall(text)):
+            if found & (1 << LISTS) and any(w in _WRITTEN for m in _AIMED.findall(text) for w in re.findall(r"\w+", m.lower())):
                 found |= 1 << LISTS + 3
             if len(_SHOUT.findall(text)) > 2:
                 found |= 1 << LISTS + 4
@@ -252,7 +252,7 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, training: int = TRAINING) -
     rows = part.mapInArrow(lambda b: _sampled(b, shared.value), "votes long, slots array<int>").toArrow()
     slots_ = [x.values.to_numpy() for x in rows.column("slots")] if rows.num_rows else []
     posterior = model.posterior(rows.column("votes").to_numpy()) if rows.num_rows else np.empty(0)
-    weights, offset = fit_sparse(slots_, posterior, l1=2.0)
+    weights, offset = fit_sparse(slots_, posterior, l1=5.0)
     return ToxicityModel(weights, offset, model)
 
 
