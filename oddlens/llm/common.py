@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import atexit
 import shutil
 import tempfile
 import uuid
@@ -26,8 +27,9 @@ def ship(spark: SparkSession) -> None:
     context = spark.sparkContext
     if context.applicationId not in _shipped:
         package = Path(__file__).resolve().parents[1]
-        with tempfile.TemporaryDirectory() as folder:  # the driver's own; Spark copies the file
-            context.addPyFile(shutil.make_archive(f"{folder}/{package.name}", "zip", package.parent, package.name))
+        folder = tempfile.mkdtemp(prefix="oddlens-code-")  # the driver's own: it serves the file to the workers
+        atexit.register(shutil.rmtree, folder, ignore_errors=True)
+        context.addPyFile(shutil.make_archive(f"{folder}/{package.name}", "zip", package.parent, package.name))
         _shipped.add(context.applicationId)
 
 
