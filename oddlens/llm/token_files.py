@@ -18,6 +18,7 @@ their own, next to each other; an empty table gives no shard and no row.
 from __future__ import annotations
 
 import os
+import unicodedata
 import zlib
 from collections.abc import Iterable, Iterator
 
@@ -30,16 +31,19 @@ from pyspark.sql import functions as F
 
 from oddlens.llm.common import shared_path, slices, written
 
-#: Blank-separated parts that one task remembers at most, in each of two generations.
-REMEMBERED = 250_000
+#: Blank-separated parts, and words, that one worker remembers in each of two generations.
+PARTS, KNOWN = 300_000, 400_000
 NO_ID = -(1 << 63)
 
 
 class WordEncoder:
-    """Encodes texts part by part with the tokenizers library, remembering the parts.
+    """Encodes texts part by part with the tokenizers library, remembering parts and words.
 
     The vocabulary's normaliser folds white space and its pattern drops it, so no token
-    and no normalisation reaches over a blank or a line end.
+    and no normalisation reaches over a blank or a line end. Nor does one reach from a
+    letter to a closing punctuation mark, so a word is encoded once for all its endings
+    and, in ASCII, for all its cases. New words go to the library many at a time; the
+    tokens that end a word tell them apart.
     """
 
     def __init__(self, definition: str):
@@ -47,25 +51,59 @@ class WordEncoder:
         from tokenizers import Tokenizer  # reads the variable when it is loaded
 
         self.tokenizer = Tokenizer.from_str(definition)
-        self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
+        vocabulary = self.tokenizer.get_vocab()
+        self.dtype = np.dtype("<u2" if len(vocabulary) <= 1 << 16 else "<u4")
+        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.ends[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
         self.young: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
+        self.words: dict[str, bytes] = {}
+        self.old_words: dict[str, bytes] = {}
+
+    def _learn(self, words: list[str]) -> None:
+        single = [w for w in words if w.isalpha() and w.isascii()]  # each becomes one run of tokens with one end
+        for a in range(0, len(single), 500):
+            some = single[a : a + 500]
+            ids = np.array(self.tokenizer.encode(" ".join(some), add_special_tokens=False).ids)
+            stops = np.flatnonzero(self.ends[ids]) + 1
+            data, width = ids.astype(self.dtype).tobytes(), self.dtype.itemsize
+            start = 0
+            for word, stop in zip(some, (stops * width).tolist(), strict=True):
+                self.words[word] = data[start:stop]
+                start = stop
+        others = [w for w in words if not (w.isalpha() and w.isascii())]
+        for word, e in zip(others, self.tokenizer.encode_batch_fast(others, add_special_tokens=False), strict=True):
+            self.words[word] = np.array(e.ids, dtype=self.dtype).tobytes()
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """Ids of each text as little-endian bytes of ``dtype``."""
         parts = [(t or "").replace("\n", " ").split(" ") for t in texts]
         young, old = self.young, self.old
-        new = []
+        made, new = [], set()
         for part in {p for ps in parts for p in ps if p not in young}:
             if part in old:
                 young[part] = old[part]
-            else:
-                new.append(part)
-        for part, e in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False), strict=True):
-            young[part] = np.array(e.ids, dtype=self.dtype).tobytes()
+                continue
+            word = part.rstrip(".,;:!?|")
+            if not word or not unicodedata.normalize("NFC", word[-1]).lower().isalpha():
+                word = part
+            mark = part[len(word) :]
+            word = word.lower() if word.isascii() else word
+            made.append((part, word, mark))
+            for w in (word, mark):
+                if w not in self.words:
+                    if w in self.old_words:
+                        self.words[w] = self.old_words[w]
+                    else:
+                        new.add(w)
+        self._learn(list(new))
+        for part, word, mark in made:
+            young[part] = self.words[word] + self.words[mark]
         found = [b"".join(map(young.__getitem__, ps)) for ps in parts]
-        if len(young) >= REMEMBERED:
+        if len(young) >= PARTS:
             self.old, self.young = young, {}
+        if len(self.words) >= KNOWN:
+            self.old_words, self.words = self.words, {}
         return found
 
 
@@ -152,7 +190,8 @@ def read_token_files(manifest: DataFrame, folder: str) -> DataFrame:
                     names=["doc_id", "start", "n_tokens", "ids_crc32"],
                 )
 
-    one_each = manifest.select("shard", "dtype", "base").repartition("shard")
+    # A fixed number of tasks: the manifest's rows are small, what they stand for is not.
+    one_each = manifest.select("shard", "dtype", "base").repartition(max(1, manifest.count()), "shard")
     return one_each.mapInArrow(read, "doc_id long, start long, n_tokens long, ids_crc32 long")
 
 
