@@ -8,8 +8,10 @@ from pyspark.sql import DataFrame, SparkSession
 from oddlens.llm.common import ship
 from oddlens.llm.exact_dedup import exact_groups
 from oddlens.llm.line_rules import LEAST_SHARE, LEAST_WORDS, LIMIT, judged
+from oddlens.llm.mixing import mixing_rates
 from oddlens.llm.near_dedup import near_groups
 from oddlens.llm.pieces import piece_digests
+from oddlens.llm.quality import quality_scores
 from oddlens.llm.token_files import token_file_rows
 from oddlens.llm.toxicity import toxicity_scores
 from oddlens.llm.url_filter import judged_pages
@@ -31,6 +33,10 @@ def op1_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return toxicity_scores(documents(spark, folder), table(spark, folder, "labels"))
 
 
+def op2_quality(spark: SparkSession, folder: str) -> DataFrame:
+    return quality_scores(documents(spark, folder), table(spark, folder, "labels"))
+
+
 def op3_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
     return piece_digests(documents(spark, folder), PIECE_MODEL)
 
@@ -55,6 +61,10 @@ def op9_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact_groups(documents(spark, folder))
 
 
+def op10_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    return mixing_rates(documents(spark, folder), table(spark, folder, "labels"), {"high": 0.85, "low": 0.12, "toxic": 0.03})
+
+
 OP9_SQL = r"""
 WITH texts AS (
   SELECT doc_id, length(coalesce(text, '')) AS n_points,
@@ -115,11 +125,13 @@ FROM judged
 
 QUERIES = {
     "op1_toxicity": op1_toxicity,
+    "op2_quality": op2_quality,
     "op3_sentencepiece": op3_sentencepiece,
     "op4_line_rules": op4_line_rules,
     "op5_token_files": op5_token_files,
     "op7_minhash_dedup": op7_minhash_dedup,
     "op8_url_filter": op8_url_filter,
     "op9_exact_dedup": op9_exact_dedup,
+    "op10_mixing": op10_mixing,
 }
 CHECKS = {"op4_line_rules": OP4_SQL, "op9_exact_dedup": OP9_SQL}
