@@ -81,7 +81,7 @@ class ContentTable:
 
 FOLDED = pa.schema(
     [("local", pa.int64()), ("hashed", pa.int64()), ("content", pa.binary()), ("sha256", pa.string()), ("n_points", pa.int64()),
-     ("best", pa.int64()), ("best_at", pa.int32()), ("n", pa.int64()), ("doc_ids", pa.list_(pa.int64()))]
+     ("best", pa.int64()), ("best_at", pa.int32()), ("n", pa.int64()), ("doc_ids", pa.list_(pa.int64())), ("text_hashes", pa.list_(pa.int64()))]
 )
 LEVEL = pa.schema(
     [("local", pa.int64()), ("hashed", pa.int64()), ("content", pa.binary()), ("n_points", pa.int64()), ("best", pa.int64()),
@@ -99,7 +99,7 @@ def _batch(columns: Iterable, schema: pa.Schema) -> pa.RecordBatch:
 
 
 #: A content of one task: its best row (length, id, place in doc_ids) and all its documents.
-LOCALS = "local long, hashed long, content binary, sha256 string, n_points long, best long, best_at int, n long, doc_ids array<long>"
+LOCALS = "local long, hashed long, content binary, sha256 string, n_points long, best long, best_at int, n long, doc_ids array<long>, text_hashes array<long>"
 #: A spilled content as it came, or the verdict for a settled one.
 SETTLED = "local long, hashed long, content binary, n_points long, best long, n long, keep_local long, keep_id long, group_size long, spilled boolean"
 
@@ -111,7 +111,7 @@ def _signed(value: int) -> int:
 def _fold(batches: Iterable[pa.RecordBatch], table_mb: float) -> Iterator[pa.RecordBatch]:
     """Fold the equal contents of one task; see LOCALS."""
     first, flushed = TaskContext.get().partitionId() << 40, 0
-    table, best, ids, seen = ContentTable(), [], [], 0
+    table, best, ids, text_hashes, seen = ContentTable(), [], [], [], 0
 
     def flush() -> Iterator[pa.RecordBatch]:
         nonlocal flushed
@@ -126,13 +126,14 @@ def _fold(batches: Iterable[pa.RecordBatch], table_mb: float) -> Iterator[pa.Rec
                     *zip(*(best[i] for i in part), strict=True),
                     [len(ids[i]) for i in part],
                     [ids[i] for i in part],
+                    [text_hashes[i] for i in part],
                 ),
                 FOLDED,
             )
         flushed += len(best)
 
-    for doc_ids, texts in (part for batch in batches for part in slices(batch)):
-        for doc_id, text in zip(doc_ids, texts, strict=True):
+    for part in (part for batch in batches for part in slices(batch)):
+        for doc_id, text, text_hash in zip(*part, strict=True):
             content = text_bytes(text).translate(None, SPACES)
             hashed = xxhash.xxh3_64_intdigest(content)
             entry, at = table.find(hashed, content)
@@ -140,15 +141,17 @@ def _fold(batches: Iterable[pa.RecordBatch], table_mb: float) -> Iterator[pa.Rec
                 table.add(hashed, content, at)
                 best.append((len(text or ""), doc_id, 0))
                 ids.append([doc_id])
+                text_hashes.append([text_hash])
             else:
                 found = (len(text or ""), doc_id, len(ids[entry]))
                 ids[entry].append(doc_id)
+                text_hashes[entry].append(text_hash)
                 if _better(found, best[entry]):
                     best[entry] = found
             seen += 1
             if table.bytes > table_mb * 2**20 or seen >= FOLD_ROWS:
                 yield from flush()
-                table, best, ids, seen = ContentTable(), [], [], 0
+                table, best, ids, text_hashes, seen = ContentTable(), [], [], [], 0
     yield from flush()
 
 
@@ -187,11 +190,12 @@ def _settle(batches: Iterable[pa.RecordBatch], table_mb: float) -> Iterator[pa.R
 
 def exact_groups(docs: DataFrame, table_mb: float = TABLE_MB) -> DataFrame:
     """One row per document of ``docs`` (doc_id, text), dropped ones too: doc_id, keep_id,
-    group_size, kept, text_sha256 (of the text without white space).
+    group_size, kept, text_sha256 (of the text without white space), text_hash (xxhash64 of
+    the text as it is).
 
     ``table_mb`` bounds the content that one task holds; more levels follow if needed.
     """
-    folded = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(lambda b: _fold(b, table_mb), LOCALS)
+    folded = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"), F.xxhash64(F.col("text").cast("string"))).mapInArrow(lambda b: _fold(b, table_mb), LOCALS)
     locals_ = written(folded, "exact-locals")
     todo, settled, level = locals_, None, 0
     while True:
@@ -203,6 +207,6 @@ def exact_groups(docs: DataFrame, table_mb: float = TABLE_MB) -> DataFrame:
         if todo.isEmpty():
             break
         level += 1
-    members = locals_.select("local", "sha256", "best_at", F.posexplode("doc_ids").alias("at", "doc_id"))
+    members = locals_.select("local", "sha256", "best_at", "text_hashes", F.posexplode("doc_ids").alias("at", "doc_id"))
     stays = (F.col("local") == F.col("keep_local")) & (F.col("at") == F.col("best_at"))
-    return members.join(settled, "local").select("doc_id", "keep_id", "group_size", stays.alias("kept"), F.col("sha256").alias("text_sha256"))
+    return members.join(settled, "local").select("doc_id", "keep_id", "group_size", stays.alias("kept"), F.col("sha256").alias("text_sha256"), F.get("text_hashes", "at").alias("text_hash"))

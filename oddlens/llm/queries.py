@@ -58,7 +58,7 @@ def op8_url_filter(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op9_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
-    return exact_groups(documents(spark, folder))
+    return exact_groups(documents(spark, folder)).drop("text_hash")
 
 
 def op10_mixing(spark: SparkSession, folder: str) -> DataFrame:

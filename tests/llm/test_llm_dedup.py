@@ -41,7 +41,7 @@ def brute(rows):
 def test_groups_equal_brute_force_also_when_tables_spill(spark, table_mb):
     rows = ROWS + [(100 + i, f"text {i % 40}", "z", i) for i in range(400)]
     df = spark.createDataFrame(rows, SCHEMA).repartition(5)
-    found = sorted(map(tuple, exact_groups(df, table_mb).collect()), key=str)
+    found = sorted(map(tuple, exact_groups(df, table_mb).drop("text_hash").collect()), key=str)
     assert found == brute(rows)
 
 
