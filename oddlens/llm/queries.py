@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from oddlens.llm.common import ship
 from oddlens.llm.exact_dedup import exact_groups
+from oddlens.llm.language_model import language_scores
 from oddlens.llm.line_rules import LEAST_SHARE, LEAST_WORDS, LIMIT, judged
 from oddlens.llm.mixing import mixing_rates
 from oddlens.llm.near_dedup import near_groups
@@ -49,6 +50,10 @@ def op5_token_files(spark: SparkSession, folder: str) -> DataFrame:
     return token_file_rows(documents(spark, folder), WORD_MODEL, end_id=2)
 
 
+def op6_language_model(spark: SparkSession, folder: str) -> DataFrame:
+    return language_scores(documents(spark, folder))
+
+
 def op7_minhash_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return near_groups(documents(spark, folder)).drop("text_hash")
 
@@ -129,6 +134,7 @@ QUERIES = {
     "op3_sentencepiece": op3_sentencepiece,
     "op4_line_rules": op4_line_rules,
     "op5_token_files": op5_token_files,
+    "op6_language_model": op6_language_model,
     "op7_minhash_dedup": op7_minhash_dedup,
     "op8_url_filter": op8_url_filter,
     "op9_exact_dedup": op9_exact_dedup,
