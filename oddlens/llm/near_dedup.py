@@ -10,12 +10,16 @@ one table: HALVES ** 2 tables from 2 * HALVES * WIDTH minhashes.
    Equal sets become one class, so copies never meet as pairs.
 2. Half keys that only one class has are dropped before any table key is formed.
 3. Candidates share a table key. They are compared on their full sets, in rounds that
-   never list all pairs of a bucket whose members are already connected: the bucket's
-   most typical class (whose half keys most classes have: in a group of edited copies the
-   text that the others were made from) against its members; the ``HEADS`` most typical
-   ones against the members of other components; and at last every pair of the bucket in
-   different components, once, in the first table that it shares. No candidate pair that
-   could join two components is left out.
+   never list all pairs of a bucket whose members are already connected:
+   a. Each bucket's most typical class (whose half keys most classes have: in a group of
+      edited copies the text that the others were made from) meets its members. Pairs
+      at ``LEAST`` are links; pairs at ``KIN`` join classes to families.
+   b. Inside a family that the links leave in several components, every class outside the
+      largest one meets all others in blocks of ``BLOCK`` classes: a block holds its sets
+      once, and gives one link for each component that a class touches, not its pairs.
+   c. Classes of a bucket in different families are compared pair by pair, once, in the
+      first table that they share.
+   So no candidate pair that could join two components is left out.
 4. Components of the links, and the smallest doc_id of each.
 
 A pair at similarity 0.8 shares a table with probability (1 - (1 - 0.8 ** 2) ** 10) ** 2,
@@ -34,7 +38,7 @@ from collections.abc import Iterable, Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from oddlens.llm.common import LOWER, slices, text_bytes, written
@@ -43,8 +47,10 @@ from oddlens.llm.components import components
 HALVES, WIDTH, WORDS = 10, 2, 4
 #: Least intersection / union, in hundredths.
 LEAST = 80
-#: Classes of a bucket that its unconnected members meet before all pairs are compared.
-HEADS = 6
+#: The same for pairs that only show classes to be of one family.
+KIN = 50
+#: Classes, and shingles of all of them, in one side of a block.
+BLOCK, BLOCK_SHINGLES = 256, 200_000
 #: Words whose hashes one task remembers at most.
 REMEMBERED = 500_000
 
@@ -122,38 +128,77 @@ def _sets(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.binary())], names=["cid", "members"])
 
 
-def _compare(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _compare(batches: Iterable[pa.RecordBatch], least: int) -> Iterator[pa.RecordBatch]:
+    """Pairs at ``least`` hundredths or more, and whether they are links."""
     for a, b, left, right in (part for batch in batches for part in slices(batch, 64)):
-        linked = []
+        rows = []
         for k, (x, y) in enumerate(zip(left, right, strict=True)):
             n, m = len(x) // 8, len(y) // 8
-            if 100 * min(n, m) >= LEAST * max(n, m):
+            if 100 * min(n, m) >= least * max(n, m):
                 both = len(np.intersect1d(np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64), assume_unique=True))
-                if 100 * both >= LEAST * (n + m - both):
-                    linked.append(k)
-        yield pa.RecordBatch.from_arrays([pa.array([a[k] for k in linked], pa.int64()), pa.array([b[k] for k in linked], pa.int64())], names=["a", "b"])
+                if 100 * both >= least * (n + m - both):
+                    rows.append((a[k], b[k], 100 * both >= LEAST * (n + m - both)))
+        columns = list(zip(*rows, strict=True)) or [(), (), ()]
+        kinds = (pa.int64(), pa.int64(), pa.bool_())
+        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=["a", "b", "linked"])
 
 
-def _verified(pairs: DataFrame, sets: DataFrame, name: str) -> DataFrame:
-    """The pairs (a, b) whose full sets are similar enough."""
+def _verified(pairs: DataFrame, sets: DataFrame, least: int) -> DataFrame:
+    """The pairs (a, b) whose full sets are similar enough, and whether they are links."""
     left = sets.select(F.col("cid").alias("a"), F.col("members").alias("left"))
     right = sets.select(F.col("cid").alias("b"), F.col("members").alias("right"))
     joined = pairs.join(left, "a").join(right, "b").select("a", "b", "left", "right")
-    return written(joined.mapInArrow(_compare, "a long, b long"), name)
-
-
-def _in_components(buckets: DataFrame, roots: DataFrame) -> DataFrame:
-    """Bucket rows with their class's component, of buckets that hold two components or more."""
-    rows = buckets.join(roots.withColumnRenamed("node", "cid"), "cid", "left").withColumn("comp", F.coalesce("root", "cid")).drop("root")
-    apart = rows.groupBy("tk").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).where("x != y").select("tk")
-    return rows.join(apart, "tk", "left_semi")
-
-
-def _top_rows(apart: DataFrame) -> DataFrame:
-    """The HEADS most typical classes of each bucket: tk, other, other_comp."""
-    order = Window.partitionBy("tk").orderBy(F.col("typical").desc(), "cid")
-    top = apart.withColumn("at", F.row_number().over(order)).where(F.col("at") <= HEADS)  # Spark ranks in each task first
-    return top.select("tk", F.col("cid").alias("other"), F.col("comp").alias("other_comp"))
+    return written(joined.mapInArrow(lambda rows: _compare(rows, least), "a long, b long, linked boolean"), "near-links")
+
+
+def _block_links(table: pa.Table) -> pa.Table:
+    """Links between the two sides of a block; side 0 holds classes outside the largest component.
+
+    In a block of a chunk with itself all rows are on side 0.
+    """
+    cids, comps, sides = (table.column(c).to_numpy() for c in ("cid", "comp", "side"))
+    sets = [np.frombuffer(x, np.uint64) for x in table.column("members").to_pylist()]
+    mine = np.flatnonzero(sides == 0)
+    others = np.flatnonzero(sides == 1) if (sides == 1).any() else mine
+    sizes = np.array([len(sets[k]) for k in others])
+    owner = np.repeat(np.arange(len(others)), sizes)
+    all_members = np.concatenate([sets[k] for k in others]) if len(others) else np.empty(0, np.uint64)
+    found = []
+    for x in mine:
+        at = np.minimum(np.searchsorted(sets[x], all_members), len(sets[x]) - 1)
+        both = np.bincount(owner[sets[x][at] == all_members], minlength=len(others))
+        linked = (100 * both >= LEAST * (len(sets[x]) + sizes - both)) & (comps[others] != comps[x])
+        if linked.any():
+            _, first = np.unique(comps[others][linked], return_index=True)
+            found += [(int(cids[x]), int(cids[k])) for k in others[linked][first]]
+    return pa.table({"a": pa.array([f[0] for f in found], pa.int64()), "b": pa.array([f[1] for f in found], pa.int64())})
+
+
+def _family_links(classes: DataFrame, sets: DataFrame) -> DataFrame:
+    """Links inside families of several components, found in blocks; ``classes``: cid, comp, family."""
+    sized = classes.join(sets.select("cid", (F.octet_length("members") / 8).alias("n")), "cid")
+    per = sized.groupBy("family", "comp").agg(F.count("*").alias("k"), F.sum("n").alias("n"))
+    main = per.groupBy("family").agg(
+        F.max(F.struct("k", (-F.col("comp")).alias("c"))).alias("top"), F.count("*").alias("parts"), F.sum("k").alias("k"), F.sum("n").alias("n")
+    )
+    main = main.where("parts > 1").select("family", (-F.col("top.c")).alias("main"), "k", "n", F.col("top.k").alias("k1"))
+    chunks = lambda k, n: F.greatest(F.ceil(k / BLOCK), F.ceil(n / BLOCK_SHINGLES)).cast("int")
+    main = main.withColumn("inner", chunks(F.col("k1"), F.col("n"))).withColumn("outer", chunks(F.col("k") - F.col("k1"), F.col("n")))
+    rows = classes.join(main.select("family", "main", "inner", "outer"), "family")
+    outside = F.col("comp") != F.col("main")
+    spread = F.pmod(F.xxhash64("cid"), F.when(outside, F.col("outer")).otherwise(F.col("inner"))).cast("int")
+    rows = rows.withColumn("chunk", F.when(outside, spread).otherwise(F.col("outer") + spread))
+    # An outside chunk meets itself and every chunk after it; the largest component's meet outside ones.
+    upto = F.sequence(F.lit(0), F.least(F.col("chunk"), F.col("outer") - 1))
+    later = F.when(outside & (F.col("chunk") + 1 < F.col("outer") + F.col("inner")), F.sequence(F.col("chunk") + 1, F.col("outer") + F.col("inner") - 1))
+    first = F.transform(upto, lambda c: F.struct(c.alias("c1"), F.col("chunk").alias("c2"), F.when(c == F.col("chunk"), 0).otherwise(1).alias("side")))
+    second = F.transform(later, lambda c: F.struct(F.col("chunk").alias("c1"), c.alias("c2"), F.lit(0).alias("side")))
+    met = rows.select("family", "cid", "comp", F.explode(F.concat(first, F.coalesce(second, F.array().cast(_BLOCKS)))).alias("x"))
+    blocks = met.select("family", "x.c1", "x.c2", "x.side", "cid", "comp").join(sets, "cid")
+    return written(blocks.groupBy("family", "c1", "c2").applyInArrow(_block_links, "a long, b long"), "near-links")
+
+
+_BLOCKS = "array<struct<c1:int,c2:int,side:int>>"
 
 
 def _first_shared(start: Column, place: Column) -> Column:
@@ -164,7 +209,12 @@ def _first_shared(start: Column, place: Column) -> Column:
 
 
 def _with_links(roots: DataFrame, links: DataFrame) -> DataFrame:
-    return roots.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(links)
+    return roots.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(links.select("a", "b"))
+
+
+def _with_root(rows: DataFrame, roots: DataFrame, name: str) -> DataFrame:
+    """Adds each class's root among ``roots``; classes without one are their own."""
+    return rows.join(roots.withColumnRenamed("node", "cid"), "cid", "left").withColumn(name, F.coalesce("root", "cid")).drop("root")
 
 
 def near_groups(docs: DataFrame) -> DataFrame:
@@ -200,21 +250,22 @@ def near_groups(docs: DataFrame) -> DataFrame:
     sets = written(texts.select("cid", "digest", "text").mapInArrow(_sets, "cid long, members binary").dropDuplicates(["cid"]), "near-sets")
 
     found = buckets.where("cid != b").select(F.col("cid").alias("a"), "b").distinct()
-    roots = components(_verified(found, sets, "near-links"))
-
-    # The most typical classes of each bucket, against those in other components.
-    apart = written(_in_components(buckets.drop("b"), roots), "near-apart")
-    met = apart.join(_top_rows(apart), "tk").where("comp != other_comp")
-    found = met.select(F.least("cid", "other").alias("a"), F.greatest("cid", "other").alias("b")).distinct()
-    roots = components(_with_links(roots, _verified(found, sets, "near-links")))
-
-    # Every pair of a bucket that is still in two components, in the first table that it shares.
-    left = written(_in_components(apart.drop("comp"), roots).join(classes.select("cid", "keys"), "cid"), "near-left")
+    kin = _verified(found, sets, KIN)
+    families, roots = components(kin), components(kin.where("linked"))
+    members = needed.select("cid")
+    placed = written(_with_root(_with_root(members, roots, "comp"), families, "family"), "near-placed")
+    roots = components(_with_links(roots, _family_links(placed, sets)))
+
+    # Classes of a bucket in different families, in the first table that they share.
+    named = _with_root(placed.select("cid", "family"), roots, "comp")
+    rows = buckets.drop("b").join(named, "cid")
+    apart = rows.groupBy("tk").agg(F.min("family").alias("x"), F.max("family").alias("y")).where("x != y").select("tk")
+    left = written(rows.join(apart, "tk", "left_semi").join(classes.select("cid", "keys"), "cid"), "near-left")
     x, y = left.alias("x"), left.alias("y")
-    met = (F.col("x.tk") == F.col("y.tk")) & (F.col("x.cid") < F.col("y.cid")) & (F.col("x.comp") != F.col("y.comp"))
+    met = (F.col("x.tk") == F.col("y.tk")) & (F.col("x.cid") < F.col("y.cid")) & (F.col("x.family") != F.col("y.family")) & (F.col("x.comp") != F.col("y.comp"))
     met &= _first_shared(F.lit(0), F.col("x.i")) & _first_shared(F.lit(HALVES), F.col("x.j"))
     found = x.join(y, met).select(F.col("x.cid").alias("a"), F.col("y.cid").alias("b"))
-    roots = components(_with_links(roots, _verified(found, sets, "near-links")))
+    roots = components(_with_links(roots, _verified(found, sets, LEAST)))
 
     # Only classes of several documents or with a link can have another document's id.
     named = classes.select("cid", "digest", "least_id", "n_docs").join(roots.withColumnRenamed("node", "cid"), "cid", "left")

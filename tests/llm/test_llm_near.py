@@ -2,7 +2,9 @@ import random
 import re
 
 import numpy as np
+import pytest
 
+from oddlens.llm import near_dedup
 from oddlens.llm.components import components
 from oddlens.llm.near_dedup import HALVES, _WordHashes, half_keys, near_groups, shingles
 
@@ -53,7 +55,9 @@ def families(rng, n, words, edits):
     return out
 
 
-def test_families_equal_brute_force(spark):
+@pytest.mark.parametrize("block", [256, 3])
+def test_families_equal_brute_force(spark, block, monkeypatch):
+    monkeypatch.setattr(near_dedup, "BLOCK", block)
     rng = random.Random(4)
     texts = []
     for edits in (0, 1, 2, 3, 4, 5):
