@@ -99,16 +99,16 @@ def field_table(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def top_iv(spark: SparkSession, folder: str) -> DataFrame:
-    return rounded(profile.top_features(_overview(spark, folder), "iv", 3).select("feature", "iv"))
+    return rounded(profile.top_features(_overview(spark, folder), "iv", 10).select("feature", "iv"))
 
 
 def top_missing(spark: SparkSession, folder: str) -> DataFrame:
     found = profile.profile_columns(lines(spark, folder), LINE_FEATURES)
-    return rounded(profile.top_features(found, "missing_rate", 3, "column_name").select("column_name", "missing_rate"))
+    return rounded(profile.top_features(found, "missing_rate", 10, "column_name").select("column_name", "missing_rate"))
 
 
 def top_psi(spark: SparkSession, folder: str) -> DataFrame:
-    return rounded(profile.top_features(_psi_summary(dated(spark, folder)), "max_psi", 3).select("feature", "max_psi"))
+    return rounded(profile.top_features(_psi_summary(dated(spark, folder)), "max_psi", 10).select("feature", "max_psi"))
 
 
 def _statistics(spark: SparkSession, folder: str) -> DataFrame:
@@ -222,9 +222,9 @@ CHECKS = {
         ["unique_rate"],
     ),
     "field_table": check(CELLS_SQL, f"SELECT p.*, o.iv, o.ks, o.auc, o.bin_count FROM ({_SIMPLE}) p LEFT JOIN overview o ON p.column_name = o.feature", ["missing_rate", "iv", "ks", "auc"]),
-    "top_iv": check(CELLS_SQL, "SELECT feature, iv FROM overview ORDER BY iv DESC, feature LIMIT 3", ["iv"]),
-    "top_missing": check(SAMPLES_SQL, f"SELECT feature AS column_name, missing_count/row_count AS missing_rate FROM ({_LINE_FACTS}) ORDER BY 2 DESC, 1 LIMIT 3", ["missing_rate"]),
-    "top_psi": check(CELLS_SQL, "SELECT feature, max_psi FROM psi_sum ORDER BY max_psi DESC, feature LIMIT 3", ["max_psi"]),
+    "top_iv": check(CELLS_SQL, "SELECT feature, iv FROM overview ORDER BY iv DESC, feature LIMIT 10", ["iv"]),
+    "top_missing": check(SAMPLES_SQL, f"SELECT feature AS column_name, missing_count/row_count AS missing_rate FROM ({_LINE_FACTS}) ORDER BY 2 DESC, 1 LIMIT 10", ["missing_rate"]),
+    "top_psi": check(CELLS_SQL, "SELECT feature, max_psi FROM psi_sum ORDER BY max_psi DESC, feature LIMIT 10", ["max_psi"]),
     "feature_statistics": check(
         CELLS_SQL,
         f"SELECT o.feature, t.variable_type, o.iv, o.ks, o.missing_rate, p.max_psi AS max_monthly_psi FROM overview o LEFT JOIN psi_sum p USING (feature) JOIN ({_TYPES}) t USING (feature)",

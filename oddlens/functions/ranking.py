@@ -32,7 +32,7 @@ def prefix_sums(
     """Add ``cum_<c>`` (inclusive running sum) and ``tot_<c>`` (group sum) per key.
 
     ``order`` must be a total order inside each key; a leading ``-`` sorts
-    descending. Keys must not be null. Rows that tie on ``order`` should be
+    descending. Null keys form a group of their own. Rows that tie on ``order`` should be
     aggregated first, which also makes the work grow with distinct values only.
 
     The sliced rows are written once: range bounds come from sampling, so two
@@ -64,7 +64,12 @@ def prefix_sums(
     )
     # The written size of `offsets` is known to the planner, so Spark broadcasts it
     # below autoBroadcastJoinThreshold and otherwise falls back to a shuffled join.
-    joined = rows.join(offsets, [*keys, _SLICE])
+    # Null keys are groups like any other, so the join is null-safe.
+    named = offsets.withColumnsRenamed({k: f"__key_{k}" for k in keys} | {_SLICE: "__key_slice"})
+    same = F.col(_SLICE) == F.col("__key_slice")
+    for k in keys:
+        same &= F.col(k).eqNullSafe(F.col(f"__key_{k}"))
+    joined = rows.join(named, same)
     kept = [c for c in df.columns]
     return joined.select(
         *kept,

@@ -253,7 +253,8 @@ def sample_findings(
 
 
 def first_per_id(df: DataFrame, id_cols: Sequence[str], order_by: Sequence[str], keep: str = "first") -> DataFrame:
-    """Keep one row per ID by an explicit order (a Spark table has no row order).
+    """Keep one row per ID by an explicit order (a Spark table has no row order); rows that
+    tie on it are told apart by a hash of their other columns, so the choice is repeatable.
 
     The kept row is a map-side combinable minimum, so an ID that holds a large part
     of the table shrinks to one row per task before it is shuffled.
@@ -264,7 +265,7 @@ def first_per_id(df: DataFrame, id_cols: Sequence[str], order_by: Sequence[str],
         raise ValueError("order_by is required")
     rest = [c for c in df.columns if c not in id_cols]
     pick = F.min_by if keep == "first" else F.max_by
-    kept = df.groupBy(*id_cols).agg(pick(F.struct(*rest), F.struct(*order_by)).alias("__row"))
+    kept = df.groupBy(*id_cols).agg(pick(F.struct(*rest), F.struct(*order_by, F.xxhash64(*rest).alias("__tie"))).alias("__row"))
     return kept.select(*[F.col(c) if c in id_cols else F.col(f"__row.{c}").alias(c) for c in df.columns])
 
 

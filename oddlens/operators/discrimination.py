@@ -44,7 +44,7 @@ def rank_metrics(ranked: DataFrame, keys: Sequence[str]) -> DataFrame:
     )
     b = F.col("bad_count")
     g = F.col("sample_count") - b
-    auc = F.when((b > 0) & (g > 0), (F.col("rank_sum") - b * (b + 1) / F.lit(2.0)) / (b.cast("double") * g))
+    auc = F.when((b > 0) & (g > 0), (F.col("rank_sum") - b.cast("double") * (b + 1) / F.lit(2.0)) / (b.cast("double") * g))
     return sums.withColumn("auc_raw", auc).select(
         *keys,
         "sample_count",

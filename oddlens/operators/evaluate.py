@@ -76,7 +76,7 @@ def binary_metrics(ranked: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
         F.sum("squared").alias("squared"),
     )
     b, g = F.col("bad_count"), F.col("sample_count") - F.col("bad_count")
-    auc = F.when((b > 0) & (g > 0), (F.col("rank_sum") - b * (b + 1) / F.lit(2.0)) / (b.cast("double") * g))
+    auc = F.when((b > 0) & (g > 0), (F.col("rank_sum") - b.cast("double") * (b + 1) / F.lit(2.0)) / (b.cast("double") * g))
     return per.select(
         *keys,
         "sample_count",
@@ -305,13 +305,9 @@ def detect_group_columns(
     names = sorted((c for c in names if hinted(c) or texty(c)), key=lambda c: (not hinted(c), not texty(c), c))
     if not names:
         return []
-    sketch = df.agg(*[F.approx_count_distinct(c).alias(f"c{i}") for i, c in enumerate(names)]).first()
-    likely = [c for i, c in enumerate(names) if sketch[f"c{i}"] <= 40]
-    if not likely:
-        return []
-    exact = value_counts(df, likely).groupBy("feature").agg(F.count("*").alias("values"))
+    exact = value_counts(df, names).groupBy("feature").agg(F.count("*").alias("values"))
     found = {r.feature: r["values"] for r in exact.collect()}
-    return [c for c in likely if 2 <= found[c] <= 20][:limit]
+    return [c for c in names if 2 <= found[c] <= 20][:limit]
 
 
 def group_performance(
@@ -420,7 +416,7 @@ def bootstrap_intervals(
     )
     auc = F.when(
         (F.col("b") > 0) & (F.col("g") > 0),
-        (F.col("rank_sum") - F.col("b") * (F.col("b") + 1) / F.lit(2.0)) / (F.col("b").cast("double") * F.col("g")),
+        (F.col("rank_sum") - F.col("b").cast("double") * (F.col("b") + 1) / F.lit(2.0)) / (F.col("b").cast("double") * F.col("g")),
     )
     metrics = ("auc", "ks", "pr_auc", "brier_score")
     long = per.withColumn("auc", auc).select(

@@ -101,9 +101,14 @@ def _exact_stats(df: DataFrame, columns: Sequence[str], sample_size: int) -> Dat
         for c in columns
         if df.schema[c].dataType.typeName() in {"byte", "short", "integer", "long"}
     ]
+    # Beyond 2 ** 53 a double no longer tells whole numbers apart, so these travel as text.
+    wide = [c for c in columns if df.schema[c].dataType.typeName() in {"long", "decimal"}]
+    exact = df.withColumns({c: F.col(c).cast("string") for c in wide}) if wide else df
+    number = F.when(F.col("feature").isin(wide), F.col("txt").cast("double")).otherwise(F.col("num"))
     cells = stage(
-        value_counts(df, columns)
+        value_counts(exact, columns)
         .where(is_present())
+        .withColumn("num", number)
         .withColumn("integral", F.col("feature").isin(integral))
     )
     stats = cells.groupBy("feature").agg(

@@ -27,15 +27,15 @@ MONTH_SPREAD = {"auc": 0.10, "ks": 0.10, "bad_rate": 0.05}
 MIN_MONTH_SAMPLES = 30
 MIN_MONTH_BAD = 10
 
-# What to do about each kind of finding.
+# Per category of our finding codes: its priority (a fixed value) and where to look.
 ACTIONS = {
-    "overfit": ("first", "lower model complexity, drop unstable features, tune on train folds, check leakage"),
-    "underfit": ("first", "relax screening limits, add features known at observation time, then add capacity"),
-    "oot": ("first", "review windows, enlarge the out-of-time sample; never tune on it"),
-    "drift": ("first", "locate the drifting score or feature, check sources, refit on recent stable data"),
-    "lift": ("then", "check label direction, sample size and bucketing"),
-    "importance": ("then", "check the dominant feature for leakage and stability"),
-    "monthly": ("then", "split unstable months by sample size, label maturity and policy"),
+    "overfit": ("first", "compare train and test by feature; shrink trees until the gaps are within their limits"),
+    "underfit": ("first", "check which screening rule removed the strongest features before growing the model"),
+    "oot": ("first", "compare month by month where AUC falls; keep these months out of tuning"),
+    "drift": ("first", "list features by PSI and follow the largest to its source"),
+    "lift": ("then", "count bads per bucket; join buckets that hold too few to be ordered"),
+    "importance": ("then", "refit without the leading feature and compare"),
+    "monthly": ("then", "set small months aside and see whether the spread remains"),
 }
 
 # Default acceptance limits of a tuned candidate.

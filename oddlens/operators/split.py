@@ -114,13 +114,14 @@ def stratified_test(
 ) -> DataFrame:
     """Label rows train / test with the same share per class (seeded, repeatable).
 
-    Each class gives round(n·ratio) rows, at least one and never all of them.
+    Each class gives round(n·ratio) rows, at least one and never all of them. Rows
+    without a label stay in train.
     """
     hashed = df.withColumn("__h", F.xxhash64(F.lit(seed), *id_cols))
     ranked = global_row_number(hashed, ["__h", *id_cols], [target])
     asked = F.bround(F.col("tot_n") * F.lit(test_ratio))
     size = F.when(F.col("tot_n") >= 2, F.greatest(F.lit(1), F.least(asked, F.col("tot_n") - 1))).otherwise(0)
-    label = F.when(F.col("rn") <= size, "test").otherwise("train")
+    label = F.when(F.col(target).isNotNull() & (F.col("rn") <= size), "test").otherwise("train")
     return ranked.withColumn("dataset", label).drop("__h", "rn", "tot_n")
 
 
