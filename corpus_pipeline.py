@@ -19,7 +19,7 @@ kept until the last stage.
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from oddlens.llm.common import ship, written
@@ -45,25 +45,32 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return scored.where(F.col("__toxicity") < THRESHOLD).select(*(F.col(f"`{c}`") for c in docs.columns))
 
 
-def _with_verdicts(docs: DataFrame, verdicts: DataFrame) -> DataFrame:
-    """Rows of ``docs`` whose (doc_id, xxhash64 of the text) is among ``verdicts`` (id, hash)."""
-    same = F.col("doc_id").eqNullSafe(F.col("__id")) & (F.xxhash64("text") == F.col("__hash"))
-    return docs.join(verdicts, same, "left_semi")
+#: Stands for a null doc_id in keys, so that joins and windows share one partitioning.
+_NO_ID = -(1 << 63)
+
+
+def _keys(doc_id: str, text_hash: Column) -> tuple[Column, Column]:
+    return F.coalesce(F.col(doc_id).cast("long"), F.lit(_NO_ID)).alias("__id"), text_hash.alias("__hash")
+
+
+def _with_verdicts(docs: DataFrame, kept: DataFrame) -> DataFrame:
+    """Rows of ``docs``, with their keys, whose (doc_id, xxhash64 of the text) is in ``kept``."""
+    keyed = docs.select("*", *_keys("doc_id", F.xxhash64(F.col("text").cast("string"))))
+    return keyed.join(written(kept.select(*_keys("doc_id", F.col("text_hash"))), "kept"), ["__id", "__hash"], "left_semi")
 
 
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     ship(spark)
-    kept = exact_groups(docs).where("kept").select(F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash"))
-    rows = _with_verdicts(docs, written(kept, "exact-kept"))
+    rows = _with_verdicts(docs, exact_groups(docs).where("kept"))
     # Equal (doc_id, text) rows are one document; which of them stays follows their other columns.
-    whole = Window.partitionBy("doc_id", F.xxhash64("text")).orderBy(F.xxhash64(*(F.col(f"`{c}`") for c in docs.columns)))
-    return rows.withColumn("__at", F.row_number().over(whole)).where("__at = 1").drop("__at")
+    # The join has dealt the rows by the same keys, so this moves nothing.
+    whole = Window.partitionBy("__id", "__hash").orderBy(F.xxhash64(*(F.col(f"`{c}`") for c in docs.columns)))
+    return rows.withColumn("__at", F.row_number().over(whole)).where("__at = 1").select(*(F.col(f"`{c}`") for c in docs.columns))
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     ship(spark)
-    kept = near_groups(docs).where("kept").select(F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash"))
-    return _with_verdicts(docs, written(kept, "near-kept"))
+    return _with_verdicts(docs, near_groups(docs).where("kept")).select(*(F.col(f"`{c}`") for c in docs.columns))
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
