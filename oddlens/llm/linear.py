@@ -17,6 +17,7 @@ PREFIXES = (4, 5, 6)
 REMEMBERED = 300_000
 
 
+_MASK = (1 << BITS) - 1
 _PUNCTUATION = string.punctuation + "«»“”„…–—¡¿‚‘’"
 
 
@@ -33,7 +34,7 @@ def terms(token: str) -> list[str]:
 
 
 def slots(token: str) -> list[int]:
-    return [zlib.crc32(t.encode("utf-8", "surrogatepass")) & (1 << BITS) - 1 for t in terms(token)]
+    return [zlib.crc32(t.encode("utf-8", "surrogatepass")) & _MASK for t in terms(token)]
 
 
 class _Slots(dict):
@@ -117,26 +118,33 @@ def logit(p):
     return np.log(p / (1 - p))
 
 
-class WordWeights:
-    """Sum of the weights of a text's words, remembered by word."""
+class WordWeights(dict):
+    """Sums of the weights of a text's tokens.
+
+    Maps a token to the row of its weights, 0 if none of its features has a weight; tokens
+    are remembered, so that most of a text is looked up without a step of Python for each.
+    """
 
     def __init__(self, weights: np.ndarray):
         """``weights``: one row for each output, over the hashed features."""
+        super().__init__()
         self.weights = weights
-        self.known: dict[str, object] = {}
         self.active = set(np.flatnonzero(weights.any(axis=0)).tolist())
-
-    def _word(self, word: str):
-        found = [s for s in slots(word) if s in self.active]
-        if len(self.known) >= REMEMBERED:
-            self.known.clear()
-        self.known[word] = value = self.weights[:, found].sum(axis=1) if found else None
-        return value
+        self.rows = [np.zeros(len(weights))]
+
+    def __missing__(self, token: str) -> int:
+        active = self.active
+        found = [s for s in slots(token) if s in active]
+        row = 0
+        if found:
+            row = len(self.rows)
+            self.rows.append(self.weights[:, found].sum(axis=1))
+        self[token] = row
+        return row
 
     def score(self, words: Iterable[str]) -> np.ndarray:
-        total, known = np.zeros(len(self.weights)), self.known
-        for w in words:
-            v = known[w] if w in known else self._word(w)
-            if v is not None:
-                total += v
-        return total
+        if len(self) > 2 * REMEMBERED:
+            self.clear()
+            del self.rows[1:]
+        hits = [row for row in map(self.__getitem__, words) if row]
+        return sum((self.rows[row] for row in hits), self.rows[0])

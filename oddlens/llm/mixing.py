@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 
 from oddlens.llm.common import slices, written
 from oddlens.llm.linear import BITS, WordWeights, fit_sparse, hash_sample, new_slots, sigmoid, text_slots, tokens
-from oddlens.llm.quality import content_slots
+from oddlens.llm.quality import share_slots
 
 DOMAINS = ("high", "low", "toxic")
 #: Expected bound of the labelled rows that the classifier is fitted on.
@@ -58,8 +58,7 @@ class DomainModel:
 
 
 def _both(text: str | None, known: dict) -> np.ndarray:
-    # The shares of the text stand at the end of content_slots; its words are in text_slots.
-    return np.concatenate([text_slots(text, known), np.array(content_slots(text)[-28:], np.int32)])
+    return np.concatenate([text_slots(text, known), np.array(share_slots(text), np.int32)])
 
 
 def domain_labels(labels: DataFrame) -> DataFrame:
@@ -105,7 +104,7 @@ def with_posteriors(docs: DataFrame, model: DomainModel) -> DataFrame:
             for text in texts:
                 one = np.ones(1)
                 if len(own.domains) > 1:
-                    raw = words.score(tokens(text)) + weights[:, content_slots(text)[-28:]].sum(axis=1) + own.offsets
+                    raw = words.score(tokens(text)) + weights[:, share_slots(text)].sum(axis=1) + own.offsets
                     p = sigmoid(raw)
                     one = p / p.sum()
                 posteriors.append(one.tolist())

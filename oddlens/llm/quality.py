@@ -50,15 +50,14 @@ def _share(data: bytes, chosen: bytes, n: int) -> float:
     return (len(data) - len(data.translate(None, chosen))) / n
 
 
+_MASK = (1 << BITS) - 1
+
+
 def _slot(name: str) -> int:
-    return zlib.crc32(name.encode("utf-8", "surrogatepass")) & (1 << BITS) - 1
+    return zlib.crc32(name.encode()) & _MASK
 
 
-def content_slots(text: str | None) -> list[int]:
-    """Hashed features of the words: the distinct words, and steps of shares of the text."""
-    data = text_bytes(text)
-    words = data.lower().split()
-    distinct = set(words)
+def _shares(data: bytes, words: list[bytes], distinct: set[bytes]) -> list[int]:
     n = max(1, len(data))
     shares = {
         "upper": _share(data, _UPPER, n),
@@ -69,9 +68,23 @@ def content_slots(text: str | None) -> list[int]:
         "word": sum(map(len, words)) / max(1, len(words)) / 20,
     }
     steps = [_slot(f" {k} {min(20, int(20 * v))}") for k, v in shares.items()]
-    size = _slot(f" words {len(words).bit_length()}")
     # Each step counts several times, as it sums up the whole text.
-    return [zlib.crc32(w) & (1 << BITS) - 1 for w in distinct] + (steps + [size]) * 4
+    return [*steps, _slot(f" words {len(words).bit_length()}")] * 4
+
+
+def share_slots(text: str | None) -> list[int]:
+    """Hashed features: steps of the shares of character kinds and of repetition in a text."""
+    data = text_bytes(text)
+    words = data.lower().split()
+    return _shares(data, words, set(words))
+
+
+def content_slots(text: str | None) -> list[int]:
+    """Hashed features of the words: the distinct words, and ``share_slots``."""
+    data = text_bytes(text)
+    words = data.lower().split()
+    distinct = set(words)
+    return [zlib.crc32(w) & _MASK for w in distinct] + _shares(data, words, distinct)
 
 
 def page_features(text: str | None, lang: str | None, source: str | None, n_chars: int | None) -> list[float]:
