@@ -188,10 +188,11 @@ def fit_bins(
     bad: Column | None = None,
     side: str = "right",
     ranked: DataFrame | None = None,
+    fine: int = 100,
 ) -> dict[str, NumericBins | CategoryBins]:
     """Fit every feature. ``quantile`` and ``distinct`` edges are data values,
     ``linear`` edges are interpolated, ``approx`` edges come from one sketch pass,
-    ``chi`` merges fine bins by their chi-square statistic."""
+    ``chi`` merges at most ``fine`` quantile bins by their chi-square statistic."""
     if method not in METHODS:
         raise ValueError(f"method must be one of {METHODS}")
     numeric, categorical = split_types(df, features)
@@ -201,7 +202,7 @@ def fit_bins(
     elif numeric and method == "chi":
         if bad is None:
             raise ValueError("chi-square bins need the bad label")
-        edges |= _chi_edges(df, numeric, bins, bad)
+        edges |= _chi_edges(df, numeric, bins, bad, fine)
     elif numeric:
         if ranked is None:
             ranked = ranked_values(df, numeric, F.lit(0))
@@ -230,7 +231,7 @@ def _approx_edges(df: DataFrame, features: Sequence[str], bins: int, accuracy: i
 
 
 def _chi_edges(
-    df: DataFrame, features: Sequence[str], bins: int, bad: Column, fine: int = 100, min_share: float = 0.01
+    df: DataFrame, features: Sequence[str], bins: int, bad: Column, fine: int, min_share: float = 0.01
 ) -> dict:
     """Merge at most ``fine`` quantile bins per feature down to ``bins``.
 
