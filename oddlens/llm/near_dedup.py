@@ -208,8 +208,12 @@ def _first_shared(start: Column, place: Column) -> Column:
     return F.array_position(same, F.lit(True)) == n
 
 
-def _with_links(roots: DataFrame, links: DataFrame) -> DataFrame:
-    return roots.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(links.select("a", "b"))
+def _two_components(first: DataFrame, second: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Components of two link tables in one run: their nodes are told apart by the last bit."""
+    links = [t.select((F.col("a") * 2 + k).alias("a"), (F.col("b") * 2 + k).alias("b")) for k, t in enumerate((first, second))]
+    found = components(links[0].unionByName(links[1]))
+    halves = [found.where(F.pmod("node", F.lit(2)) == k) for k in (0, 1)]
+    return tuple(h.select(F.shiftright("node", 1).alias("node"), F.shiftright("root", 1).alias("root")) for h in halves)
 
 
 def _with_root(rows: DataFrame, roots: DataFrame, name: str) -> DataFrame:
@@ -251,21 +255,21 @@ def near_groups(docs: DataFrame) -> DataFrame:
 
     found = buckets.where("cid != b").select(F.col("cid").alias("a"), "b").distinct()
     kin = _verified(found, sets, KIN)
-    families, roots = components(kin), components(kin.where("linked"))
-    members = needed.select("cid")
-    placed = written(_with_root(_with_root(members, roots, "comp"), families, "family"), "near-placed")
-    roots = components(_with_links(roots, _family_links(placed, sets)))
+    families, roots = _two_components(kin, kin.where("linked"))
+    placed = written(_with_root(_with_root(needed.select("cid"), roots, "comp"), families, "family"), "near-placed")
+    inside = _family_links(placed, sets)
 
     # Classes of a bucket in different families, in the first table that they share.
-    named = _with_root(placed.select("cid", "family"), roots, "comp")
-    rows = buckets.drop("b").join(named, "cid")
+    rows = buckets.drop("b").join(placed.select("cid", "family"), "cid")
     apart = rows.groupBy("tk").agg(F.min("family").alias("x"), F.max("family").alias("y")).where("x != y").select("tk")
     left = written(rows.join(apart, "tk", "left_semi").join(classes.select("cid", "keys"), "cid"), "near-left")
     x, y = left.alias("x"), left.alias("y")
-    met = (F.col("x.tk") == F.col("y.tk")) & (F.col("x.cid") < F.col("y.cid")) & (F.col("x.family") != F.col("y.family")) & (F.col("x.comp") != F.col("y.comp"))
+    met = (F.col("x.tk") == F.col("y.tk")) & (F.col("x.cid") < F.col("y.cid")) & (F.col("x.family") != F.col("y.family"))
     met &= _first_shared(F.lit(0), F.col("x.i")) & _first_shared(F.lit(HALVES), F.col("x.j"))
     found = x.join(y, met).select(F.col("x.cid").alias("a"), F.col("y.cid").alias("b"))
-    roots = components(_with_links(roots, _verified(found, sets, LEAST)))
+    across = _verified(found, sets, LEAST)
+    stars = roots.select(F.col("node").alias("a"), F.col("root").alias("b"))
+    roots = components(stars.unionByName(inside).unionByName(across.select("a", "b")))
 
     # Only classes of several documents or with a link can have another document's id.
     named = classes.select("cid", "digest", "least_id", "n_docs").join(roots.withColumnRenamed("node", "cid"), "cid", "left")
