@@ -369,7 +369,7 @@ def language_scores(docs: DataFrame, rounds: int = ROUNDS) -> DataFrame:
     encoded = written(rows.select("doc_id", "text", "held_out").mapInArrow(lambda b: _encoded(b, words.value), ENCODED), "lm-encoded")
     model = train(encoded, vocabulary.frequency, rounds)
     shared = spark.sparkContext.broadcast((model, *normalisers(spark, model, vocabulary.shared), vocabulary.mass, vocabulary.unknown))
-    scored = encoded.mapInArrow(lambda b: _scored(b, *shared.value), SCORED)
+    scored = written(encoded.mapInArrow(lambda b: _scored(b, *shared.value), SCORED), "lm-scored")  # read twice below
 
     # Rarer words: their counts, or none; summed up for each document.
     hashed = counts.mapInArrow(_hashed, "h long, c long")
