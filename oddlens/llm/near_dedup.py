@@ -48,7 +48,7 @@ HALVES, WIDTH, WORDS = 10, 2, 4
 #: Least intersection / union, in hundredths.
 LEAST = 80
 #: The same for pairs that only show classes to be of one family.
-KIN = 50
+KIN = 30
 #: Classes, and shingles of all of them, in one side of a block.
 BLOCK, BLOCK_SHINGLES = 256, 200_000
 #: Words whose hashes one task remembers at most.
