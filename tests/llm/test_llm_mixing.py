@@ -36,6 +36,30 @@ def test_replayed_steps_equal_a_vector_of_rates(spark):
     assert np.allclose((best * n) @ p, goals, rtol=0.02)
 
 
+@pytest.mark.parametrize("input_shares", [(0.3, 0.65, 0.05), (0.2, 0.75, 0.05), (0.33, 0.33, 0.34)])
+@pytest.mark.parametrize("soft", [0.0, 0.1])
+def test_skewed_inputs_reach_the_minimum(spark, input_shares, soft):
+    rng = np.random.default_rng(4)
+    kind = rng.choice(3, 400, p=input_shares)
+    p = (1 - soft) * np.eye(3)[kind] + soft * rng.dirichlet([1, 1, 1], 400)
+    n = rng.integers(50, 500, 400)
+    members = spark.createDataFrame([(k, p[k].tolist(), int(n[k])) for k in range(400)], f"k long, {_P} array<double>, {_N} long").repartition(3)
+    goals = np.array([0.85, 0.12, 0.03]) * n.sum()
+    fit = fit_rates(members, goals.tolist(), 8.0)
+    best = brute(p, n, goals, 8.0, fit.step)
+    assert np.allclose(fit.totals, (best * n) @ p, rtol=0.02, atol=0.002 * n.sum())
+    assert fit.totals[0] >= 0.97 * goals[0]
+    rate = np.array([r.r for r in members.select("k", fit.rate().alias("r")).orderBy("k").collect()])
+    assert ((rate * n) @ p)[0] == pytest.approx(fit.totals[0], rel=0.02)
+
+
+def test_a_gap_that_bounds_leave_is_told(spark):
+    members = spark.createDataFrame([([1.0, 0.0], 10), ([0.0, 1.0], 90)], f"{_P} array<double>, {_N} long")
+    with pytest.warns(UserWarning, match="from their targets"):
+        fit = fit_rates(members, [90.0, 10.0], 2.0)
+    assert fit.gap == pytest.approx(70 / 90, abs=0.01) and fit.totals[1] == pytest.approx(10, rel=0.02)
+
+
 def test_documents_reach_the_targets(spark):
     docs, labels = (spark.read.parquet(f"{DATA}/{t}.parquet") for t in ("documents", "labels"))
     shares = {"high": 0.7, "low": 0.2, "toxic": 0.1}
