@@ -49,7 +49,7 @@ DOMAINS = ("high", "low", "toxic")
 LABELLED = 8_000
 RIDGE = 0.005
 #: Gradient steps before Newton's, and the relative distance of a domain's tokens from its goal that ends both.
-STEPS, CLOSE = 12, 0.01
+STEPS, CLOSE = 3, 0.01
 #: Newton steps after which the fit is an error: each one descends, and some ten are usual.
 NEWTON = 200
 #: Rates this near to a whole number are that number: fewer copies left to chance.

@@ -22,6 +22,7 @@ from __future__ import annotations
 
 import math
 import zlib
+from collections import Counter
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
@@ -64,7 +65,7 @@ def _shares(data: bytes, words: list[bytes], distinct: set[bytes]) -> list[int]:
         "digit": _share(data, _DIGITS, n),
         "symbol": _share(data, _SYMBOLS, n),
         "variety": len(distinct) / max(1, math.sqrt(len(words))) / 20,
-        "common": max((words.count(w) for w in words[:: max(1, len(words) // 5)][:5]), default=0) / max(1, len(words)),
+        "common": max(Counter(words).values(), default=0) / max(1, len(words)),
         "word": sum(map(len, words)) / max(1, len(words)) / 20,
     }
     steps = [_slot(f" {k} {min(20, int(20 * v))}") for k, v in shares.items()]

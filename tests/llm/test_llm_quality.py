@@ -1,6 +1,6 @@
 import numpy as np
 
-from oddlens.llm.quality import co_train, content_slots, page_features, quality_scores
+from oddlens.llm.quality import _slot, co_train, content_slots, page_features, quality_scores, share_slots
 
 DATA = "/root/testdata/sf0.01"
 
@@ -43,3 +43,13 @@ def test_odd_tables(spark):
     assert len({r.score for r in found if r.doc_id == 50}) == 1
     assert quality_scores(docs.limit(0), labels).collect() == []
     assert len(page_features(None, None, None, None)) == len(page_features("a\n\nb", "en", "x", 4)) and len(content_slots(None)) == 28
+
+
+def test_the_commonest_word_is_seen_wherever_it_is():
+    words = [f"w{k}" for k in range(1000)]
+    for k in range(7, 1000, 6):
+        words[k] = "spam"
+    assert all("spam" != w for w in words[::200])
+    share = words.count("spam") / 1000
+    for text in (" ".join(words), " ".join(["first", *words])):
+        assert _slot(f" common {int(20 * share)}") in share_slots(text)
