@@ -82,6 +82,15 @@ def test_poisson_weights_have_mean_and_variance_n(spark):
         assert row.m == pytest.approx(n, rel=0.03) and row.v == pytest.approx(n, rel=0.06)
 
 
+def test_large_cells_keep_the_skew_of_a_poisson_draw(spark):
+    for n in (30, 61, 4_125):
+        draws = spark.range(100_000).select(evaluate._poisson_weight(F.lit(n), F.col("id")).alias("w"))
+        row = draws.agg(F.avg("w").alias("m"), F.var_pop("w").alias("v"), F.skewness("w").alias("s")).first()
+        assert row.m == pytest.approx(n, rel=0.01) and row.v == pytest.approx(n, rel=0.03)
+        if n < 100:  # a rounded normal has none
+            assert row.s == pytest.approx(n**-0.5, abs=0.04)
+
+
 def test_thin_curve_keeps_ends(spark):
     points = spark.range(200).select(F.col("id").cast("double").alias("x"))
     kept = sorted(r.x for r in evaluate.thin_curve(points, ["x"]).collect())
