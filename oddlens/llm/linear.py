@@ -1,12 +1,14 @@
-"""Linear text classifiers on hashed word features, fitted from bounded samples."""
+"""Linear text classifiers on hashed word features, fitted from bounded samples or, in tasks, from all rows."""
 
 from __future__ import annotations
 
 import string
 import zlib
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable, Iterator
+from dataclasses import dataclass
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -95,6 +97,85 @@ def fit_sparse(rows: list[np.ndarray], targets: np.ndarray, weights: np.ndarray
     return w, offset
 
 
+@dataclass(frozen=True)
+class Ftrl:
+    """State of FTRL-proximal steps that tasks share: sums of gradients ``z``, of their squares
+    ``n`` and of the rates' inverses ``root``. Each of them is a sum over rows, so what tasks add
+    is summed; a word that is once in each of many tasks passes the L1 term in the sum."""
+
+    z: np.ndarray
+    n: np.ndarray
+    root: np.ndarray
+    offset: float
+    square: float
+
+    @staticmethod
+    def start(mean: float) -> Ftrl:
+        size = 1 << BITS
+        return Ftrl(np.zeros(size), np.zeros(size), np.zeros(size), float(logit(mean)), 1.0)
+
+    def weights(self, l1: float) -> np.ndarray:
+        return np.where(np.abs(self.z) <= l1, 0.0, -(self.z - np.sign(self.z) * l1) / ((1 + self.root) / 0.2))
+
+
+#: Grain of the sums that tasks return: whole numbers add up alike in any order.
+_GRAIN = float(1 << 24)
+_ADDED = "slot int, z long, n long, root long"
+
+
+def _ftrl_steps(rows: Iterable[tuple[np.ndarray, float]], state: Ftrl, l1: float) -> pa.RecordBatch:
+    """What one task's rows (slots, target) add to the state; slot -1 holds rows, the offset and its rate."""
+    z, n, root, w = state.z.copy(), state.n.copy(), state.root.copy(), state.weights(l1)
+    offset, square, seen = state.offset, state.square, 0
+    for slots_, target in rows:
+        seen += 1
+        at, count = np.unique(slots_, return_counts=True)
+        g = float(sigmoid(w[at] @ count + offset)) - target
+        if abs(g) < 1e-7:
+            continue
+        square += g * g
+        offset -= 0.1 * g / np.sqrt(square)
+        own = g * count
+        grown = np.sqrt(n[at] + own * own) - np.sqrt(n[at])
+        z[at] += own - grown / 0.2 * w[at]
+        n[at] += own * own
+        root[at] += grown
+        w[at] = np.where(np.abs(z[at]) <= l1, 0.0, -(z[at] - np.sign(z[at]) * l1) / ((1 + root[at]) / 0.2))
+    at = np.flatnonzero(n != state.n)
+    sums = [np.rint(_GRAIN * x).astype(np.int64) for x in (z[at] - state.z[at], n[at] - state.n[at], root[at] - state.root[at])]
+    ends = [seen, round(_GRAIN * seen * (offset - state.offset)), round(_GRAIN * (square - state.square))]
+    return pa.RecordBatch.from_arrays(
+        [pa.array(np.append(at, -1), pa.int32()), *(pa.array(np.append(x, e), pa.int64()) for x, e in zip(sums, (ends[0], ends[1], ends[2]), strict=True))],
+        names=["slot", "z", "n", "root"],
+    )
+
+
+def fit_in_tasks(rows: DataFrame, target: Callable[[np.ndarray], np.ndarray], mean: float, l1: float, epochs: int) -> tuple[np.ndarray, float]:
+    """Logistic weights and offset from all ``rows`` (slots, mark), a pass for each epoch; ``target``
+    gives the soft labels of marks. The driver holds one number of each kind for each slot."""
+    state = Ftrl.start(mean)
+    for _ in range(epochs):
+        shared = rows.sparkSession.sparkContext.broadcast(state)
+
+        def steps(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
+            def each() -> Iterator[tuple[np.ndarray, float]]:
+                for batch in batches:
+                    yield from zip((x.values.to_numpy() for x in batch.column(0)), target(batch.column(1).to_numpy()), strict=True)
+
+            yield _ftrl_steps(each(), shared.value, l1)
+
+        added = rows.select("slots", "mark").mapInArrow(steps, _ADDED).groupBy("slot").agg(*(F.sum(c).alias(c) for c in ("z", "n", "root"))).toArrow()
+        shared.unpersist()
+        slot, *sums = (added.column(c).to_numpy() for c in ("slot", "z", "n", "root"))
+        end, at = slot < 0, slot[slot >= 0]
+        grown = [old.copy() for old in (state.z, state.n, state.root)]
+        for old, x in zip(grown, sums, strict=True):
+            old[at] += x[~end] / _GRAIN
+        seen, offsets, square = (int(x[end].sum()) for x in sums)
+        state = Ftrl(*grown, state.offset + offsets / _GRAIN / max(1, seen), state.square + square / _GRAIN)
+    return state.weights(l1), state.offset
+
+
 def fit_dense(x: np.ndarray, targets: np.ndarray, weights: np.ndarray | None = None, ridge: float = 1.0) -> np.ndarray:
     """Logistic weights (the last is the offset) for soft targets, by Newton's method."""
     design = np.column_stack([x, np.ones(len(x))])

@@ -10,8 +10,9 @@
    correlated, left out of the fit, and later weigh less together. With the share of
    marked documents this gives each voter's rate among toxic and among clean documents,
    and from them a posterior for every combination of votes.
-3. A linear classifier on hashed words and word starts is trained on the posteriors of a
-   bounded sample of training documents, which need no label. It scores every whole text.
+3. A linear classifier on hashed words and word starts is trained on the posteriors of all
+   training documents, which need no label: tasks make its steps and their sums are added
+   after each pass. Features and votes are written once. It scores every whole text.
 
 Labels are read only for documents whose crc32(doc_id) modulo 4 is not 2, and only in
 step 1 (which terms, and the share of marked documents). Labels, lang, source and doc_id
@@ -37,11 +38,13 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from oddlens.llm.common import remainder, slices
-from oddlens.llm.linear import BITS, WordWeights, fit_sparse, fraction, hash_sample, logit, new_slots, sigmoid, terms, text_slots, tokens
+from oddlens.llm.common import remainder, slices, written
+from oddlens.llm.linear import BITS, WordWeights, fit_in_tasks, hash_sample, logit, new_slots, sigmoid, terms, text_slots, tokens
 
-#: Bounds of the two samples (expected rows) that lists and classifier are fitted on.
-LABELLED, TRAINING = 20_000, 12_000
+#: Bound of the labelled sample (expected rows) that the lists are found in.
+LABELLED = 20_000
+#: L1 term and passes of the classifier over all training documents.
+L1, EPOCHS = 5.0, 4
 #: Lexicon voters that the found terms are dealt to, and the most terms of all of them.
 LISTS, TERMS = 12, 600
 #: A term must be in so many marked documents, and that many times likelier than in clean ones.
@@ -204,25 +207,10 @@ def fit_label_model(n: int, joint: np.ndarray, prior: float) -> LabelModel:
 
 
 def _voted(batches: Iterable[pa.RecordBatch], voters: Voters) -> Iterator[pa.RecordBatch]:
-    """Joint votes of one task: a row for each pair of voters (j, k); j = -1 counts documents."""
-    m = len(voters.names)
-    joint, n, known = np.zeros((m, m), np.int64), 0, {}
-    for (texts,) in (part for batch in batches for part in slices(batch)):
-        votes = np.array([voters.votes(t, known) for t in texts], np.int64)
-        bits = (votes[:, None] >> np.arange(m)) & 1
-        joint += bits.T @ bits
-        n += len(texts)
-    j, k = np.nonzero(joint)
-    yield pa.RecordBatch.from_arrays(
-        [pa.array([-1, *j], pa.int32()), pa.array([-1, *k], pa.int32()), pa.array([n, *joint[j, k]], pa.int64())], names=["j", "k", "n"]
-    )
-
-
-def _sampled(batches: Iterable[pa.RecordBatch], voters: Voters) -> Iterator[pa.RecordBatch]:
     known, slots_of = {}, new_slots()
     for (texts,) in (part for batch in batches for part in slices(batch)):
         yield pa.RecordBatch.from_arrays(
-            [pa.array([voters.votes(t, known) for t in texts], pa.int64()), pa.array([text_slots(t, slots_of) for t in texts], pa.list_(pa.int32()))], names=["votes", "slots"]
+            [pa.array([text_slots(t, slots_of) for t in texts], pa.list_(pa.int32())), pa.array([voters.votes(t, known) for t in texts], pa.int64())], names=["slots", "mark"]
         )
 
 
@@ -233,26 +221,20 @@ class ToxicityModel:
     labels: LabelModel
 
 
-def fit_toxicity(docs: DataFrame, labels: DataFrame, training: int = TRAINING) -> ToxicityModel:
-    """Voters, label model and classifier, from the documents whose remainder is not 2."""
+def fit_toxicity(docs: DataFrame, labels: DataFrame) -> ToxicityModel:
+    """Voters, label model and classifier, from all documents whose remainder is not 2."""
     voters, prior = find_voters(docs, labels)
     shared = docs.sparkSession.sparkContext.broadcast(voters)  # TERMS terms at most
-    own = docs.where(remainder("doc_id", 4) != 2).select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    cells = own.select("text").mapInArrow(lambda b: _voted(b, shared.value), "j int, k int, n long").groupBy("j", "k").agg(F.sum("n").alias("n")).collect()
+    own = docs.where(remainder("doc_id", 4) != 2).select(F.col("text").cast("string").alias("text"))
+    rows = written(own.mapInArrow(lambda b: _voted(b, shared.value), "slots array<int>, mark long"), "toxicity-votes")
     m = len(Voters.names)
     joint, n = np.zeros((m, m)), 0
-    for r in cells:
-        if r.j < 0:
-            n = r.n
-        else:
-            joint[r.j, r.k] = r.n
+    for r in rows.groupBy("mark").count().collect():  # combinations of votes: few of the 2 ** m occur
+        bits = (r.mark >> np.arange(m)) & 1
+        joint += r["count"] * np.outer(bits, bits)
+        n += r["count"]
     model = fit_label_model(n, joint, prior)
-    share, grain = fraction(n, training), 1 << 30
-    part = own.where(F.pmod(F.xxhash64("doc_id", F.lit(29)), F.lit(grain)) < int(grain * share)).select("text")
-    rows = part.mapInArrow(lambda b: _sampled(b, shared.value), "votes long, slots array<int>").toArrow()
-    slots_ = [x.values.to_numpy() for x in rows.column("slots")] if rows.num_rows else []
-    posterior = model.posterior(rows.column("votes").to_numpy()) if rows.num_rows else np.empty(0)
-    weights, offset = fit_sparse(slots_, posterior, l1=5.0)
+    weights, offset = fit_in_tasks(rows, model.posterior, prior, L1, EPOCHS)
     return ToxicityModel(weights, offset, model)
 
 
@@ -273,9 +255,9 @@ def with_toxicity(docs: DataFrame, model: ToxicityModel, column: str = "score")
     return docs.withColumn(column, score(F.col("text").cast("string")))
 
 
-def toxicity_scores(docs: DataFrame, labels: DataFrame, training: int = TRAINING) -> DataFrame:
+def toxicity_scores(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """doc_id, held_out, score and predicted of every document."""
-    model = fit_toxicity(docs, labels, training)
+    model = fit_toxicity(docs, labels)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     scored = with_toxicity(rows, model)
     held: Column = remainder("doc_id", 4) == 2

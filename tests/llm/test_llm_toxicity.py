@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from oddlens.llm.linear import fit_sparse, fraction
+from oddlens.llm.linear import BITS, fit_in_tasks, fit_sparse, fraction
 from oddlens.llm.toxicity import LISTS, Voters, fit_label_model, toxicity_scores
 
 DATA = "/root/testdata/sf0.01"
@@ -76,3 +76,11 @@ def test_odd_tables(spark):
         assert len(found) == 34 and all(0 <= r.score <= 1 for r in found)
         assert len({r.score for r in found if r.doc_id in (None, 50)}) == 1
     assert toxicity_scores(docs.limit(0), labels).collect() == []
+
+
+def test_a_word_that_is_rare_in_each_task_gets_a_weight(spark):
+    # Once or twice in each of eight tasks: below the L1 term in each, above it in their sum.
+    rows = [([1000 + (37 * k) % 5000, *([7] if k % 60 == 0 else [])], int(k % 60 == 0)) for k in range(1200)]
+    df = spark.createDataFrame(rows, "slots array<int>, mark long").repartition(8)
+    w, offset = fit_in_tasks(df, lambda marks: marks.astype(float), 1 / 60, 5.0, 4)
+    assert w.shape == (1 << BITS,) and w[7] > 0.5 and np.abs(w[1000:]).max() == 0
