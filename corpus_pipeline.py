@@ -30,6 +30,8 @@ from oddlens.llm.pieces import piece_digests
 from oddlens.llm.toxicity import THRESHOLD, fit_toxicity, with_toxicity
 
 PIECE_MODEL = public_tokenizers.path("piece_bpe_32k.model")
+#: Words of a near-duplicate shingle (the rule of stages; op7's own contract has four).
+NEAR_WORDS = 5
 #: Tokens of each domain after mixing, against before.
 FACTORS = {"high": 1.0, "low": 0.5, "toxic": 0.5}
 
@@ -70,7 +72,7 @@ def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     ship(spark)
-    return _with_verdicts(docs, near_groups(docs).where("kept")).select(*(F.col(f"`{c}`") for c in docs.columns))
+    return _with_verdicts(docs, near_groups(docs, NEAR_WORDS).where("kept")).select(*(F.col(f"`{c}`") for c in docs.columns))
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -1,6 +1,6 @@
 """Near-duplicate documents by MinHash with tensored banding.
 
-A document's set holds its distinct 4-word shingles; two documents are linked when
+A document's set holds its distinct shingles of ``words`` words (4 by default); two documents are linked when
 their sets have a Jaccard similarity of 0.8 or more. Plain banding into L tables of k
 values needs L * k minhashes. Here two collections of ``HALVES`` half keys (of ``WIDTH``
 minhashes each) are formed, and every pair of a left and a right half key is the key of
@@ -34,6 +34,7 @@ result; other columns are not read.
 from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
@@ -45,6 +46,8 @@ from oddlens.llm.common import LOWER, slices, text_bytes, written
 from oddlens.llm.components import components
 
 HALVES, WIDTH, WORDS = 10, 2, 4
+#: Most words of a shingle.
+MOST_WORDS = 16
 #: Least intersection / union, in hundredths.
 LEAST = 80
 #: The same for pairs that only show classes to be of one family.
@@ -58,6 +61,7 @@ _rng = np.random.default_rng(7)
 _MULTIPLY = _rng.integers(1, 1 << 63, 2 * HALVES * WIDTH, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _PLACES = _rng.integers(1, 1 << 63, WORDS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _SALTS = _rng.integers(1, 1 << 63, 2 * HALVES, dtype=np.uint64)
+_PLACES = np.append(_PLACES, _rng.integers(1, 1 << 63, MOST_WORDS - WORDS, dtype=np.uint64) * np.uint64(2) + np.uint64(1))
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -75,18 +79,18 @@ class _WordHashes(dict):
         return found
 
 
-def shingles(text: str | None, hashes: dict) -> np.ndarray:
-    """Sorted distinct 64-bit hashes of the 4-word shingles; all words if there are fewer."""
+def shingles(text: str | None, hashes: dict, size: int = WORDS) -> np.ndarray:
+    """Sorted distinct 64-bit hashes of the shingles of ``size`` words; all words if there are fewer."""
     words = text_bytes(text).translate(LOWER).split()
     n = len(words)
     if not n:
         return np.empty(0, np.uint64)
     each = np.fromiter(map(hashes.__getitem__, words), np.uint64, n)
-    if n < WORDS:
+    if n < size:
         return _mix((each * _PLACES[:n]).sum(keepdims=True) + np.uint64(n))
-    total = each[: n - WORDS + 1] * _PLACES[0]
-    for k in range(1, WORDS):
-        total += each[k : n - WORDS + 1 + k] * _PLACES[k]
+    total = each[: n - size + 1] * _PLACES[0]
+    for k in range(1, size):
+        total += each[k : n - size + 1 + k] * _PLACES[k]
     return np.unique(_mix(total))
 
 
@@ -101,12 +105,12 @@ def half_keys(found: np.ndarray) -> np.ndarray:
     return keys.view(np.int64)
 
 
-def _signed(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _signed(batches: Iterable[pa.RecordBatch], words: int) -> Iterator[pa.RecordBatch]:
     hashes = _WordHashes()
     for doc_ids, texts, text_hashes in (part for batch in batches for part in slices(batch)):
         sizes, digests, keys = [], [], []
         for text in texts:
-            found = shingles(text, hashes)
+            found = shingles(text, hashes, words)
             sizes.append(len(found))
             digests.append(xxhash.xxh3_128_digest(found.tobytes()))
             keys.append(half_keys(found) if len(found) else None)
@@ -116,13 +120,13 @@ def _signed(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-def _sets(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _sets(batches: Iterable[pa.RecordBatch], words: int) -> Iterator[pa.RecordBatch]:
     """Full sets of the documents whose text has the digest of their class."""
     hashes = _WordHashes()
     for cids, expected, texts in (part for batch in batches for part in slices(batch, 64)):
         rows = []
         for cid, digest, text in zip(cids, expected, texts, strict=True):
-            found = shingles(text, hashes).tobytes()
+            found = shingles(text, hashes, words).tobytes()
             if xxhash.xxh3_128_digest(found) == digest:
                 rows.append((cid, found))
         yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.binary())], names=["cid", "members"])
@@ -221,12 +225,12 @@ def _with_root(rows: DataFrame, roots: DataFrame, name: str) -> DataFrame:
     return rows.join(roots.withColumnRenamed("node", "cid"), "cid", "left").withColumn(name, F.coalesce("root", "cid")).drop("root")
 
 
-def near_groups(docs: DataFrame) -> DataFrame:
-    """One row per document of ``docs`` (doc_id, text): doc_id, n_shingles, component_id (the
+def near_groups(docs: DataFrame, words: int = WORDS) -> DataFrame:
+    """With shingles of ``words`` words (at most MOST_WORDS), one row per document of ``docs`` (doc_id, text): doc_id, n_shingles, component_id (the
     smallest doc_id of its group), kept, and text_hash (xxhash64 of the text)."""
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     hashed = rows.withColumn("text_hash", F.xxhash64("text"))
-    signed = written(hashed.mapInArrow(_signed, "doc_id long, text_hash long, n_shingles long, digest binary, keys array<long>"), "near-signed")
+    signed = written(hashed.mapInArrow(partial(_signed, words=words), "doc_id long, text_hash long, n_shingles long, digest binary, keys array<long>"), "near-signed")
 
     grouped = signed.where("n_shingles > 0").groupBy("digest").agg(F.min("doc_id").alias("least_id"), F.count("*").alias("n_docs"), F.any_value("keys").alias("keys"))
     classes = written(grouped.withColumn("cid", F.monotonically_increasing_id()), "near-classes")
@@ -251,7 +255,7 @@ def near_groups(docs: DataFrame) -> DataFrame:
 
     needed = buckets.select("cid").distinct().join(classes.select("cid", "digest", "least_id"), "cid")
     texts = rows.join(needed.withColumnRenamed("least_id", "own_id"), F.col("doc_id").eqNullSafe(F.col("own_id")))
-    sets = written(texts.select("cid", "digest", "text").mapInArrow(_sets, "cid long, members binary").dropDuplicates(["cid"]), "near-sets")
+    sets = written(texts.select("cid", "digest", "text").mapInArrow(partial(_sets, words=words), "cid long, members binary").dropDuplicates(["cid"]), "near-sets")
 
     found = buckets.where("cid != b").select(F.col("cid").alias("a"), "b").distinct()
     kin = _verified(found, sets, KIN)

@@ -107,3 +107,17 @@ def test_components_of_paths_and_stars(spark):
     roots = {r.node: r.root for r in components(spark.createDataFrame(links, "a long, b long")).collect()}
     path, star = {names[k] for k in range(61)}, {names[k] for k in range(100, 131)}
     assert roots == {k: min(path) for k in path - {min(path)}} | {k: min(star) for k in star - {min(star)}}
+
+
+def test_words_of_a_shingle_are_an_argument(spark):
+    # 45 words, one replaced: 4-word similarity 38/46, 5-word 36/46.
+    words = [f"w{k}" for k in range(45)]
+    other = [*words[:20], "x", *words[21:]]
+    texts = " ".join(words), " ".join(other)
+    for size, alike in ((4, True), (5, False)):
+        x, y = (set(shingles(t, _WordHashes(), size).tolist()) for t in texts)
+        assert (100 * len(x & y) >= 80 * len(x | y)) == alike
+    import corpus_pipeline
+
+    df = spark.createDataFrame(enumerate(texts), "doc_id long, text string")
+    assert corpus_pipeline.near_dedup(spark, df, "").count() == 2
