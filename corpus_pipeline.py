@@ -32,7 +32,9 @@ from oddlens.llm.toxicity import THRESHOLD, fit_toxicity, with_toxicity
 PIECE_MODEL = public_tokenizers.path("piece_bpe_32k.model")
 #: Words of a near-duplicate shingle (the rule of stages; op7's own contract has four).
 NEAR_WORDS = 5
-#: Tokens of each domain after mixing, against before.
+#: Tokens of each domain after mixing, against before: factors of the input, no target weights.
+#: Shares like op10's (85 % high) would need rows of high text repeated, or, with rates of at
+#: most 1, most other text dropped from an input that has little high text.
 FACTORS = {"high": 1.0, "low": 0.5, "toxic": 0.5}
 
 
