@@ -218,7 +218,8 @@ def fit_residuals(members: DataFrame, goals: list[float], scale: list[float], ma
 
 def fit_rates(members: DataFrame, goals: list[float], max_rate: float, steps: int = STEPS) -> Fit:
     """Fit the rates over ``members`` (posterior and tokens of every document). ``goals`` are
-    expected tokens of each domain; ``totals`` and ``gap`` of the fit are those of its rates."""
+    expected tokens of each domain; ``totals`` and ``gap`` of the fit are those of
+    its rates before they are snapped to whole numbers."""
     totals = domain_tokens(members, F.lit(1.0), len(goals))
     size = max(1.0, sum(totals))
     scale = [max(g, 1e-3 * size) for g in goals]
