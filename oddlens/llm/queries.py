@@ -5,10 +5,13 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from oddlens.llm.alignment import aligned
 from oddlens.llm.common import ship
+from oddlens.llm.decontamination import contaminated
 from oddlens.llm.exact_dedup import exact_groups
 from oddlens.llm.language_model import language_scores
 from oddlens.llm.line_rules import LEAST_SHARE, LEAST_WORDS, LIMIT, judged
+from oddlens.llm.merkle import merkle_proofs
 from oddlens.llm.mixing import mixing_rates
 from oddlens.llm.near_dedup import near_groups
 from oddlens.llm.pieces import piece_digests
@@ -19,6 +22,7 @@ from oddlens.llm.url_filter import judged_pages
 
 PIECE_MODEL = public_tokenizers.path("piece_bpe_32k.model")
 WORD_MODEL = public_tokenizers.path("word_bpe_49k.json")
+BYTE_MODEL = public_tokenizers.path("byte_bpe_50k.json")
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -70,6 +74,19 @@ def op10_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mixing_rates(documents(spark, folder), table(spark, folder, "labels"), {"high": 0.85, "low": 0.12, "toxic": 0.03})
 
 
+def op11_merkle_proofs(spark: SparkSession, folder: str) -> DataFrame:
+    return merkle_proofs(documents(spark, folder))
+
+
+def op12_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    found = contaminated(documents(spark, folder), table(spark, folder, "benchmark"))
+    return found.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
+
+
+def op13_tokenizer_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    return aligned(documents(spark, folder), BYTE_MODEL, PIECE_MODEL)
+
+
 OP9_SQL = r"""
 WITH texts AS (
   SELECT doc_id, length(coalesce(text, '')) AS n_points,
@@ -139,5 +156,8 @@ QUERIES = {
     "op8_url_filter": op8_url_filter,
     "op9_exact_dedup": op9_exact_dedup,
     "op10_mixing": op10_mixing,
+    "op11_merkle_proofs": op11_merkle_proofs,
+    "op12_decontamination": op12_decontamination,
+    "op13_tokenizer_alignment": op13_tokenizer_alignment,
 }
 CHECKS = {"op4_line_rules": OP4_SQL, "op9_exact_dedup": OP9_SQL}
