@@ -5,7 +5,6 @@ from __future__ import annotations
 import string
 import zlib
 from collections.abc import Callable, Iterable, Iterator
-from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -97,83 +96,137 @@ def fit_sparse(rows: list[np.ndarray], targets: np.ndarray, weights: np.ndarray
     return w, offset
 
 
-@dataclass(frozen=True)
-class Ftrl:
-    """State of FTRL-proximal steps that tasks share: sums of gradients ``z``, of their squares
-    ``n`` and of the rates' inverses ``root``. Each of them is a sum over rows, so what tasks add
-    is summed; a word that is once in each of many tasks passes the L1 term in the sum."""
-
-    z: np.ndarray
-    n: np.ndarray
-    root: np.ndarray
-    offset: float
-    square: float
-
-    @staticmethod
-    def start(mean: float) -> Ftrl:
-        size = 1 << BITS
-        return Ftrl(np.zeros(size), np.zeros(size), np.zeros(size), float(logit(mean)), 1.0)
-
-    def weights(self, l1: float) -> np.ndarray:
-        return np.where(np.abs(self.z) <= l1, 0.0, -(self.z - np.sign(self.z) * l1) / ((1 + self.root) / 0.2))
-
-
 #: Grain of the sums that tasks return: whole numbers add up alike in any order.
 _GRAIN = float(1 << 24)
-_ADDED = "slot int, z long, n long, root long"
-
-
-def _ftrl_steps(rows: Iterable[tuple[np.ndarray, float]], state: Ftrl, l1: float) -> pa.RecordBatch:
-    """What one task's rows (slots, target) add to the state; slot -1 holds rows, the offset and its rate."""
-    z, n, root, w = state.z.copy(), state.n.copy(), state.root.copy(), state.weights(l1)
-    offset, square, seen = state.offset, state.square, 0
-    for slots_, target in rows:
-        seen += 1
-        at, count = np.unique(slots_, return_counts=True)
-        g = float(sigmoid(w[at] @ count + offset)) - target
-        if abs(g) < 1e-7:
-            continue
-        square += g * g
-        offset -= 0.1 * g / np.sqrt(square)
-        own = g * count
-        grown = np.sqrt(n[at] + own * own) - np.sqrt(n[at])
-        z[at] += own - grown / 0.2 * w[at]
-        n[at] += own * own
-        root[at] += grown
-        w[at] = np.where(np.abs(z[at]) <= l1, 0.0, -(z[at] - np.sign(z[at]) * l1) / ((1 + root[at]) / 0.2))
-    at = np.flatnonzero(n != state.n)
-    sums = [np.rint(_GRAIN * x).astype(np.int64) for x in (z[at] - state.z[at], n[at] - state.n[at], root[at] - state.root[at])]
-    ends = [seen, round(_GRAIN * seen * (offset - state.offset)), round(_GRAIN * (square - state.square))]
+_SUMS = "slot int, total long, curve long"
+#: Slots that stand for the offset's slope and for the loss.
+_OFFSET, _LOSS = -1, -2
+#: Pairs of steps that the quasi-Newton direction remembers, and rounds of choosing the slots that may move.
+_MEMORY, _ROUNDS = 8, 2
+#: Relative fall of the objective that ends a round.
+_STILL = 1e-5
+
+
+def _row_sums(batches: Iterable[pa.RecordBatch], target: Callable[[np.ndarray], np.ndarray], w: np.ndarray, offset: float, chosen: np.ndarray | None) -> pa.RecordBatch:
+    """One task's sums over its rows (slots, mark): of the loss, its slopes and their curvature."""
+    slope, curve = np.zeros(1 << BITS), np.zeros(1 << BITS)
+    totals, offset_curve = {_OFFSET: 0, _LOSS: 0}, 0
+    for batch in batches:
+        lists = batch.column(0)
+        sizes, found = np.diff(lists.offsets.to_numpy()), lists.flatten().to_numpy()
+        filled = np.flatnonzero(sizes)
+        raw = np.full(len(sizes), offset)
+        if len(filled):
+            starts = np.concatenate([[0], np.cumsum(sizes)[:-1]])[filled].astype(np.int64)
+            raw[filled] += np.add.reduceat(w[found], starts)
+        y = target(batch.column(1).to_numpy())
+        p = sigmoid(raw)
+        error, bend = np.rint(_GRAIN * (p - y)), np.rint(_GRAIN * p * (1 - p))
+        offset_curve += int(bend.sum())
+        totals[_OFFSET] += int(error.sum())
+        totals[_LOSS] += int(np.rint(_GRAIN * (np.logaddexp(0, raw) - y * raw)).sum())
+        slope += np.bincount(found, weights=np.repeat(error, sizes), minlength=1 << BITS)
+        curve += np.bincount(found, weights=np.repeat(bend, sizes), minlength=1 << BITS)
+    at = np.flatnonzero(slope) if chosen is None else chosen[slope[chosen] != 0]
     return pa.RecordBatch.from_arrays(
-        [pa.array(np.append(at, -1), pa.int32()), *(pa.array(np.append(x, e), pa.int64()) for x, e in zip(sums, (ends[0], ends[1], ends[2]), strict=True))],
-        names=["slot", "z", "n", "root"],
+        [
+            pa.array([*totals, *at.tolist()], pa.int32()),
+            pa.array([*totals.values(), *np.rint(slope[at]).astype(np.int64).tolist()], pa.int64()),
+            pa.array([offset_curve, 0, *np.rint(curve[at]).astype(np.int64).tolist()], pa.int64()),
+        ],
+        names=["slot", "total", "curve"],
     )
 
 
-def fit_in_tasks(rows: DataFrame, target: Callable[[np.ndarray], np.ndarray], mean: float, l1: float, epochs: int) -> tuple[np.ndarray, float]:
-    """Logistic weights and offset from all ``rows`` (slots, mark), a pass for each epoch; ``target``
-    gives the soft labels of marks. The driver holds one number of each kind for each slot."""
-    state = Ftrl.start(mean)
-    for _ in range(epochs):
-        shared = rows.sparkSession.sparkContext.broadcast(state)
+def _direction(slope: np.ndarray, steps: list[tuple[np.ndarray, np.ndarray]], curve: np.ndarray) -> np.ndarray:
+    """Minus the slope times the inverse of the curvature that the last steps showed, from its diagonal on."""
+    q, parts = slope.copy(), []
+    for s, y in reversed(steps):
+        part = s @ q / (s @ y)
+        parts.append(part)
+        q -= part * y
+    q /= curve
+    if steps:
+        s, y = steps[-1]
+        q *= (s @ y) / (y @ (y / curve))
+    for (s, y), part in zip(steps, reversed(parts), strict=True):
+        q += (part - y @ q / (s @ y)) * s
+    return -q
+
+
+def fit_in_tasks(rows: DataFrame, target: Callable[[np.ndarray], np.ndarray], mean: float, l1: float, passes: int) -> tuple[np.ndarray, float]:
+    """Logistic weights with an L1 term, and the offset, from all ``rows`` (slots, mark); ``target``
+    gives the soft labels of marks.
+
+    Each pass sums the loss and its slopes over all rows at one common state; the driver, which
+    holds one number for each slot, makes a quasi-Newton step that keeps signs (orthant-wise),
+    halved until the objective falls. Sums are whole numbers, so the result does not depend (but for the rounding of a row) on
+    how the rows are partitioned. A first pass shows which slots the L1 term lets move at all;
+    only their slopes are returned by the ``passes`` passes that follow, and further passes over
+    all slots add those that have to move after these.
+    """
+    session = rows.sparkSession
+    narrow = rows.select("slots", "mark")
+    few = narrow.coalesce(max(1, 2 * session.sparkContext.defaultParallelism))  # fewer partial sums to move
+    w, offset = np.zeros(1 << BITS), float(logit(mean))
 
-        def steps(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
-            def each() -> Iterator[tuple[np.ndarray, float]]:
-                for batch in batches:
-                    yield from zip((x.values.to_numpy() for x in batch.column(0)), target(batch.column(1).to_numpy()), strict=True)
+    def sums(w: np.ndarray, offset: float, chosen: np.ndarray | None) -> tuple[float, np.ndarray, np.ndarray]:
+        """The loss, and slopes and curvatures of all slots and, last, of the offset."""
+        shared = session.sparkContext.broadcast((w, offset, chosen))
 
-            yield _ftrl_steps(each(), shared.value, l1)
+        def one(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            yield _row_sums(batches, target, *shared.value)
 
-        added = rows.select("slots", "mark").mapInArrow(steps, _ADDED).groupBy("slot").agg(*(F.sum(c).alias(c) for c in ("z", "n", "root"))).toArrow()
+        found = few.mapInArrow(one, _SUMS).groupBy("slot").agg(F.sum("total").alias("total"), F.sum("curve").alias("curve")).toArrow()
         shared.unpersist()
-        slot, *sums = (added.column(c).to_numpy() for c in ("slot", "z", "n", "root"))
-        end, at = slot < 0, slot[slot >= 0]
-        grown = [old.copy() for old in (state.z, state.n, state.root)]
-        for old, x in zip(grown, sums, strict=True):
-            old[at] += x[~end] / _GRAIN
-        seen, offsets, square = (int(x[end].sum()) for x in sums)
-        state = Ftrl(*grown, state.offset + offsets / _GRAIN / max(1, seen), state.square + square / _GRAIN)
-    return state.weights(l1), state.offset
+        slot, *columns = (found.column(c).to_numpy() for c in ("slot", "total", "curve"))
+        loss = int(columns[0][slot == _LOSS].sum()) / _GRAIN
+        kept = slot != _LOSS
+        out = np.zeros((2, (1 << BITS) + 1))
+        out[:, np.where(slot[kept] == _OFFSET, 1 << BITS, slot[kept])] = np.array([c[kept] for c in columns]) / _GRAIN
+        return loss, out[0], out[1]
+
+    chosen = np.empty(0, np.int64)
+    for _ in range(_ROUNDS):
+        loss, slope, curve = sums(w, offset, None)
+        moved = np.flatnonzero((w != 0) | (np.abs(slope[:-1]) > l1 * (1 + 1e-9)))
+        if len(np.setdiff1d(moved, chosen, assume_unique=True)) == 0:
+            break
+        chosen = np.union1d(chosen, moved)
+        places = np.append(chosen, 1 << BITS)
+        x, g, bend = np.append(w[chosen], offset), slope[places], curve[places] + 1.0
+        term = np.append(np.full(len(chosen), l1), 0.0)  # the offset has no L1 term
+        value, steps = loss + term @ np.abs(x), []
+        for _ in range(passes):
+            pull = np.where(x != 0, g + term * np.sign(x), np.sign(g) * np.maximum(np.abs(g) - term, 0))
+            move = _direction(pull, steps, bend)
+            move[move * pull >= 0] = 0
+            if not move.any():
+                break
+            side = np.where(x != 0, np.sign(x), -np.sign(pull))
+            part = min(1.0, 2 / np.abs(move).max())  # no weight moves by more than two at once
+            for _ in range(8):
+                new = x + part * move
+                new[:-1] = np.where(new[:-1] * side[:-1] > 0, new[:-1], 0.0)
+                w_new = np.zeros(1 << BITS)
+                w_new[chosen] = new[:-1]
+                loss, slope, curve = sums(w_new, float(new[-1]), chosen)
+                found = loss + term @ np.abs(new)
+                if found <= value + 1e-4 * pull @ (new - x):
+                    break
+                part /= 2
+            else:
+                break
+            g_new, bend = slope[places], curve[places] + 1.0
+            if (new - x) @ (g_new - g) > 1e-12:
+                steps = [*steps, (new - x, g_new - g)][-_MEMORY:]
+            still = value - found <= _STILL * abs(value)
+            x, g, value = new, g_new, found
+            if still:
+                break
+        w = np.zeros(1 << BITS)
+        w[chosen], offset = x[:-1], float(x[-1])
+    return w, offset
 
 
 def fit_dense(x: np.ndarray, targets: np.ndarray, weights: np.ndarray | None = None, ridge: float = 1.0) -> np.ndarray:

@@ -10,9 +10,13 @@
    correlated, left out of the fit, and later weigh less together. With the share of
    marked documents this gives each voter's rate among toxic and among clean documents,
    and from them a posterior for every combination of votes.
-3. A linear classifier on hashed words and word starts is trained on the posteriors of all
-   training documents, which need no label: tasks make its steps and their sums are added
-   after each pass. Features and votes are written once. It scores every whole text.
+3. A linear classifier on words and word starts is trained on the posteriors of all
+   training documents, which need no label. One pass sums, for each hashed slot, the slope of
+   the loss before any weight; the next one looks into the slots that are steep enough for the
+   L1 term and sums the slopes of the terms themselves, so no term shares a weight
+   with another. The terms that may move are fitted in further passes, each of which sums
+   slopes of all rows at one common state: the result does not depend on partitions. No
+   table of features is written but the rows of these terms. It scores every whole text.
 
 Labels are read only for documents whose crc32(doc_id) modulo 4 is not 2, and only in
 step 1 (which terms, and the share of marked documents). Labels, lang, source and doc_id
@@ -27,6 +31,7 @@ decides the lists; other columns are not read.
 from __future__ import annotations
 
 import re
+import string
 from collections import Counter
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
@@ -39,12 +44,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from oddlens.llm.common import remainder, slices, written
-from oddlens.llm.linear import BITS, WordWeights, fit_in_tasks, hash_sample, logit, new_slots, sigmoid, terms, text_slots, tokens
+from oddlens.llm.hashed_words import IS_WORD, Scan, Terms, lowered, scan_slots, scans, sifted, summed, term_hashes, text_rows
+from oddlens.llm.linear import BITS, PREFIXES, fit_in_tasks, hash_sample, logit, sigmoid, tokens
 
 #: Bound of the labelled sample (expected rows) that the lists are found in.
 LABELLED = 20_000
-#: L1 term and passes of the classifier over all training documents.
-L1, EPOCHS = 5.0, 4
+#: L1 term of the classifier, in standard deviations of the slope of a word in all documents, and its passes.
+L1, PASSES = 0.05, 12
+#: Terms of the classifier at most: those with the steepest slopes.
+MOST = 1 << 17
 #: Lexicon voters that the found terms are dealt to, and the most terms of all of them.
 LISTS, TERMS = 12, 600
 #: A term must be in so many marked documents, and that many times likelier than in clean ones.
@@ -78,15 +86,16 @@ class Voters:
     def votes(self, text: str | None, known: dict[str, int]) -> int:
         """Bit field of the voters that vote 1."""
         found = 0
-        words = tokens(text)
-        for token in words:
-            mask = known.get(token)
+        for word in words(text):
+            mask = known.get(word)
             if mask is None:
                 if len(known) > 300_000:
                     known.clear()
-                mask = known[token] = self._mask(token)
+                mask = known[word] = self._mask(word)
             found |= mask
         if text:
+            if any((plain := word.translate(_DIGITS)) != word and plain in _WRITTEN for word in (t.strip(string.punctuation) for t in tokens(text))):
+                found |= 1 << LISTS + 1
             if any("".join(re.findall(r"\w", m)).lower() in _WRITTEN for m in _SPELLED.findall(text)):
                 found |= 1 << LISTS + 2
             if found & (1 << LISTS) and any(w in _WRITTEN for m in _AIMED.findall(text) for w in re.findall(r"\w+", m.lower())):
@@ -95,18 +104,54 @@ class Voters:
                 found |= 1 << LISTS + 4
         return found
 
-    def _mask(self, token: str) -> int:
-        own = terms(token)
-        mask = 0
-        for term in own:
+    def _mask(self, word: str) -> int:
+        mask = 1 << LISTS if word in _WRITTEN else 0
+        for term in terms(word):
             if term in self.lists:
                 mask |= 1 << self.lists[term]
-        if own[0] in _WRITTEN:
-            mask |= 1 << LISTS
-        elif (plain := own[0].translate(_DIGITS)) != own[0] and plain in _WRITTEN:
-            mask |= 1 << LISTS + 1
         return mask
 
+    def by_hash(self) -> tuple[Terms, np.ndarray]:
+        """All terms that list voters know, and the bits of the voters that know each."""
+        bits: dict[int, int] = {}
+        named = [(t, 1 << k) for t, k in self.lists.items()] + [(t, 1 << LISTS) for t in _WRITTEN]
+        for h, (_, bit) in zip(term_hashes([t for t, _ in named]).tolist(), named, strict=True):
+            bits[h] = bits.get(h, 0) | bit
+        hashes = sorted(bits)
+        return Terms(np.array(hashes, np.uint64)), np.array([bits[h] for h in hashes], np.int64)
+
+
+def words(text: str | None) -> set[str]:
+    """Distinct words of a text, in lower case, as ``hashed_words`` finds them."""
+    return {w.decode("utf-8", "surrogatepass") for w in lowered(text).translate(_BLANKED).split()}
+
+
+_BLANKED = bytes(b if IS_WORD[b] else 32 for b in range(256))
+
+
+def terms(word: str) -> list[str]:
+    """A word, and its starts; a start carries its length, so it differs from a word."""
+    return [word, *(f"{k} {word[:k]}" for k in PREFIXES if len(word) > k)]
+
+
+def _near(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Places of ``a`` with ``b`` at the next one."""
+    return np.flatnonzero(a[:-1] & b[1:])
+
+
+_LETTER = np.array([97 <= b <= 122 or b >= 128 for b in range(256)])
+_DIGIT, _SIGN, _LOUD = (np.isin(np.arange(256), list(x)) for x in (b"013457", b"@$!", b"!?"))
+
+
+def suspects(scan: Scan) -> np.ndarray:
+    """Places of a buffer where a pattern voter may vote: a digit or sign inside a word, single
+    letters in a row, or a run of marks. A superset; the voters themselves decide."""
+    letter, digit, sign, loud = (kind[scan.data] for kind in (_LETTER, _DIGIT, _SIGN, _LOUD))
+    one = scan.single()
+    row = one[:-1] & one[1:] & (scan.starts[1:] - scan.ends[:-1] == 1)
+    letters = scan.starts[:-3][row[:-2] & row[1:-1] & row[2:]]
+    return np.concatenate([_near(letter, digit), _near(digit | sign, letter), letters, _near(loud[:-1] & loud[1:], loud[1:])])
+
 
 _WRITTEN = frozenset(INSULTS)
 
@@ -123,7 +168,7 @@ def _term_rows(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     for texts, marks in (part for batch in batches for part in slices(batch)):
         for text, mark in zip(texts, marks, strict=True):
-            seen[mark].update({t for token in tokens(text) for t in terms(token)} | {""})
+            seen[mark].update({t for word in words(text) for t in terms(word)} | {""})
         if len(seen[0]) + len(seen[1]) > 400_000:
             yield flush()
             for c in seen:
@@ -206,16 +251,85 @@ def fit_label_model(n: int, joint: np.ndarray, prior: float) -> LabelModel:
     return LabelModel(prior, toxic, clean, 1 / (1 + rho.sum(axis=1)), pairs)
 
 
-def _voted(batches: Iterable[pa.RecordBatch], voters: Voters) -> Iterator[pa.RecordBatch]:
-    known, slots_of = {}, new_slots()
-    for (texts,) in (part for batch in batches for part in slices(batch)):
-        yield pa.RecordBatch.from_arrays(
-            [pa.array([text_slots(t, slots_of) for t in texts], pa.list_(pa.int32())), pa.array([voters.votes(t, known) for t in texts], pa.int64())], names=["slots", "mark"]
-        )
+def _marks(texts: list[str | None], scanned: list, voters: Voters, terms: Terms, bits: np.ndarray, known: dict[str, int]) -> np.ndarray:
+    """Votes of each text: those of lists by looked-up hashes, the others' only where they may vote."""
+    sizes, found = terms.rows(scanned, len(texts))
+    votes = np.zeros(len(texts), np.int64)
+    filled = np.flatnonzero(sizes)
+    if len(filled):
+        votes[filled] = np.bitwise_or.reduceat(bits[found], (np.cumsum(sizes) - sizes)[filled])
+    marked = votes & (1 << LISTS) != 0
+    for scan, ends, numbers in scanned:
+        marked[numbers[np.searchsorted(ends, suspects(scan), "right")]] = True
+    for k in np.flatnonzero(marked).tolist():
+        votes[k] = voters.votes(texts[k], known)
+    return votes
+
+
+#: Grain of summed slopes: whole numbers add up alike in any order.
+_GRAIN = float(1 << 24)
+
+
+class _Rows:
+    """What tasks read from training texts, with the voters and the label model."""
+
+    def __init__(self, voters: Voters, labels: LabelModel | None = None):
+        self.voters, self.labels = voters, labels
+
+    def scanned(self, batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[list, np.ndarray]]:
+        """Scans of some texts at a time, and the texts' votes."""
+        known, (terms, bits) = {}, self.voters.by_hash()
+        for (texts,) in (part for batch in batches for part in slices(batch)):
+            found = list(scans(texts))
+            yield found, _marks(texts, found, self.voters, terms, bits, known)
+
+    def _slopes(self, marks: np.ndarray) -> np.ndarray:
+        """Slope of the loss by each text's score before any weight."""
+        return np.rint(_GRAIN * (self.labels.prior - self.labels.posterior(marks)))
+
+    def votes(self, batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: Counter = Counter()
+        for _, marks in self.scanned(batches):
+            seen.update(marks.tolist())
+        yield pa.RecordBatch.from_arrays([pa.array(seen.keys(), pa.int64()), pa.array(seen.values(), pa.int64())], names=["mark", "n"])
+
+    def slot_slopes(self, batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(1 << BITS)
+        for scanned, marks in self.scanned(batches):
+            sizes, found = text_rows([scan_slots(*s) for s in scanned], len(marks))
+            total += np.bincount(found, weights=np.repeat(self._slopes(marks), sizes), minlength=1 << BITS)
+        at = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[at].astype(np.int64))], names=["slot", "total"])
+
+    def term_slopes(self, batches: Iterable[pa.RecordBatch], sieve: np.ndarray) -> Iterator[pa.RecordBatch]:
+        """Slopes of the terms themselves whose slot is in the sieve, in parts."""
+        for scanned, marks in self.scanned(batches):
+            slopes, keys, places = self._slopes(marks), [], []
+            for scan, ends, numbers in scanned:
+                for owner, found in sifted(scan, sieve):
+                    keys.append(found)
+                    places.append(numbers[np.searchsorted(ends, scan.starts[owner], "right")])
+            keys, places = np.concatenate([np.empty(0, np.uint64), *keys]), np.concatenate([np.empty(0, np.int64), *places])
+            by = np.lexsort((places, keys))
+            keys, places = keys[by], places[by]
+            once = np.append(True, (keys[1:] != keys[:-1]) | (places[1:] != places[:-1])) if len(keys) else []
+            keys, places = keys[once], places[once]
+            heads = np.flatnonzero(np.append(True, keys[1:] != keys[:-1])) if len(keys) else np.empty(0, np.int64)
+            totals = np.add.reduceat(slopes[places], heads) if len(heads) else np.empty(0)
+            yield pa.RecordBatch.from_arrays([pa.array(keys[heads].view(np.int64)), pa.array(totals.astype(np.int64))], names=["term", "total"])
+
+    def rows(self, batches: Iterable[pa.RecordBatch], terms: Terms) -> Iterator[pa.RecordBatch]:
+        for scanned, marks in self.scanned(batches):
+            sizes, found = terms.rows(scanned, len(marks))
+            lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(sizes)]), pa.int32()), pa.array(found))
+            yield pa.RecordBatch.from_arrays([lists, pa.array(marks)], names=["slots", "mark"])
 
 
 @dataclass(frozen=True)
 class ToxicityModel:
+    """A linear model over terms, known by their 64-bit hashes in ascending order."""
+
+    hashes: np.ndarray
     weights: np.ndarray
     offset: float
     labels: LabelModel
@@ -224,33 +338,45 @@ class ToxicityModel:
 def fit_toxicity(docs: DataFrame, labels: DataFrame) -> ToxicityModel:
     """Voters, label model and classifier, from all documents whose remainder is not 2."""
     voters, prior = find_voters(docs, labels)
-    shared = docs.sparkSession.sparkContext.broadcast(voters)  # TERMS terms at most
+    context = docs.sparkSession.sparkContext
     own = docs.where(remainder("doc_id", 4) != 2).select(F.col("text").cast("string").alias("text"))
-    rows = written(own.mapInArrow(lambda b: _voted(b, shared.value), "slots array<int>, mark long"), "toxicity-votes")
+    shared = context.broadcast(_Rows(voters))  # TERMS terms at most
     m = len(Voters.names)
     joint, n = np.zeros((m, m)), 0
-    for r in rows.groupBy("mark").count().collect():  # combinations of votes: few of the 2 ** m occur
+    votes = own.mapInArrow(lambda b, shared=shared: shared.value.votes(b), "mark long, n long").groupBy("mark").agg(F.sum("n").alias("n"))
+    for r in votes.collect():  # combinations of votes: few of the 2 ** m occur
         bits = (r.mark >> np.arange(m)) & 1
-        joint += r["count"] * np.outer(bits, bits)
-        n += r["count"]
+        joint += r.n * np.outer(bits, bits)
+        n += r.n
     model = fit_label_model(n, joint, prior)
-    weights, offset = fit_in_tasks(rows, model.posterior, prior, L1, EPOCHS)
-    return ToxicityModel(weights, offset, model)
+    l1 = L1 * float(np.sqrt(max(n, 1) * prior * (1 - prior)))
+    # Slopes of the slots show where terms may lie that the L1 term lets move; then those terms themselves.
+    shared = context.broadcast(_Rows(voters, model))
+    slots = own.mapInArrow(lambda b: shared.value.slot_slopes(b), "slot long, total long").groupBy("slot").agg(F.sum("total").alias("total")).toArrow()
+    steep = np.abs(slots.column("total").to_numpy()) > _GRAIN * l1 / 2
+    sieve = np.zeros(1 << BITS, bool)
+    sieve[slots.column("slot").to_numpy()[steep]] = True
+    sums = own.mapInArrow(lambda b: shared.value.term_slopes(b, sieve), "term long, total long").groupBy("term").agg(F.sum("total").alias("total"))
+    chosen = sums.where(F.abs("total") > _GRAIN * l1).orderBy(F.abs("total").desc(), "term").limit(MOST).select("term").toArrow()
+    terms = Terms(np.sort(chosen.column("term").to_numpy().view(np.uint64)))
+    rows = written(own.mapInArrow(lambda b: shared.value.rows(b, terms), "slots array<int>, mark long"), "toxicity-rows")
+    weights, offset = fit_in_tasks(rows, model.posterior, prior, l1, PASSES)
+    at = np.flatnonzero(weights)
+    return ToxicityModel(terms.hashes[at], weights[at], offset, model)
 
 
 def with_toxicity(docs: DataFrame, model: ToxicityModel, column: str = "score") -> DataFrame:
     """``docs`` with the score of each text; row by row, so rows of any shape stay as they are."""
-    at = np.flatnonzero(model.weights)
-    shared = docs.sparkSession.sparkContext.broadcast((at, model.weights[at], model.offset))
+    shared = docs.sparkSession.sparkContext.broadcast(model)  # MOST terms at most
 
     @F.pandas_udf("double")
     def score(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        places, values, offset = shared.value
-        weights = np.zeros((1, 1 << BITS))
-        weights[0, places] = values
-        words = WordWeights(weights)
+        own = shared.value
+        terms = Terms(own.hashes)
         for texts in batches:
-            yield pd.Series([float(sigmoid(words.score(tokens(t))[0] + offset)) for t in texts], dtype="float64")
+            parts = (texts.iloc[a : a + 256].tolist() for a in range(0, len(texts), 256))
+            raw = [summed(own.weights, *terms.rows(scans(part), len(part))) for part in parts]
+            yield pd.Series(sigmoid(np.concatenate([np.empty(0), *raw]) + own.offset), dtype="float64")
 
     return docs.withColumn(column, score(F.col("text").cast("string")))
 

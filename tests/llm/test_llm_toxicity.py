@@ -4,8 +4,9 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from oddlens.llm.hashed_words import Terms, scans, slots_of, term_hashes
 from oddlens.llm.linear import BITS, fit_in_tasks, fit_sparse, fraction
-from oddlens.llm.toxicity import LISTS, Voters, fit_label_model, toxicity_scores
+from oddlens.llm.toxicity import LISTS, Voters, _marks, fit_label_model, terms, toxicity_scores, words
 
 DATA = "/root/testdata/sf0.01"
 
@@ -84,3 +85,51 @@ def test_a_word_that_is_rare_in_each_task_gets_a_weight(spark):
     df = spark.createDataFrame(rows, "slots array<int>, mark long").repartition(8)
     w, offset = fit_in_tasks(df, lambda marks: marks.astype(float), 1 / 60, 5.0, 4)
     assert w.shape == (1 << BITS,) and w[7] > 0.5 and np.abs(w[1000:]).max() == 0
+
+
+def test_fit_does_not_depend_on_partitions(spark):
+    rng = np.random.default_rng(3)
+    rows = [([int(s) for s in np.sort(rng.integers(0, 60, 12))] + ([70] if k % 6 == 0 else []), int(k % 6 == 0 or rng.random() < 0.1)) for k in range(600)]
+    df = spark.createDataFrame(rows, "slots array<int>, mark long")
+    fits = [fit_in_tasks(df.repartition(n), lambda marks: marks.astype(float), 0.25, 2.0, 12) for n in (1, 8, 32, 211)]
+    assert all(np.abs(w - fits[0][0]).max() < 1e-6 and abs(o - fits[0][1]) < 1e-6 for w, o in fits) and fits[0][0][70] > 1
+    # The conditions of a minimum of the loss with its L1 term.
+    slope = np.zeros(1 << BITS)
+    for s, y in rows:
+        p = 1 / (1 + np.exp(-(fits[0][0][s].sum() + fits[0][1])))
+        np.add.at(slope, s, p - y)
+    w = fits[0][0]
+    assert np.abs(slope[w != 0] + 2.0 * np.sign(w[w != 0])).max() < 0.5 and np.abs(slope[w == 0]).max() < 2.5
+
+
+@pytest.mark.parametrize("parts", [1, 32])
+def test_documents_score_alike_in_any_partitioning(spark, parts):
+    docs, labels = (spark.read.parquet(f"{DATA.replace('0.01', '0.001')}/{t}.parquet") for t in ("documents", "labels"))
+    whole = {r.doc_id: r.score for r in toxicity_scores(docs, labels).collect()}
+    found = {r.doc_id: r.score for r in toxicity_scores(docs.repartition(parts), labels).collect()}
+    assert found.keys() == whole.keys() and max(abs(found[k] - whole[k]) for k in whole) < 1e-6
+
+
+def test_hashes_equal_the_definition():
+    texts = ["Grumble 1a ÜBER-über x", None, "", "a b " * 40, "çé" * 9 + " ab", "x" * 50]
+    for text, (sizes, found) in zip(texts, (slots_of([t]) for t in texts)):
+        names = {t for w in words(text) for t in terms(w)}
+        expected = np.unique((term_hashes(sorted(names)) & np.uint64((1 << BITS) - 1)).astype(np.int64))
+        assert found.tolist() == expected.tolist() and sizes.tolist() == [len(expected)]
+    known = Terms(np.sort(term_hashes(["grumble", "4 grum", "über", "4 xxxx"])))
+    sizes, found = known.rows(scans([*texts, "grumble grumbling GRUMBLE"]), 7)
+    assert sizes.tolist() == [3, 0, 0, 0, 0, 1, 3]
+
+
+def test_list_votes_by_hash_equal_the_voters_own(spark):
+    voters = Voters({"4 grum": 3, "idiot": 2, "5 stupi": 0})
+    texts = ["you IDIOT", "1d10t asshol3 b!tch", "i d i o t", "what?! no!!! never!!! no???", "grumble stupid", None, "", "a b c d", "calm", "s.t.u.p.i.d x"] * 3
+    found = _marks(texts, list(scans(texts)), voters, *voters.by_hash(), {})
+    assert found.tolist() == [voters.votes(t, {}) for t in texts]
+
+
+def test_long_texts_are_cut_at_blanks(monkeypatch):
+    text = "some words of a text " * 50
+    whole = slots_of([text, "b"])
+    monkeypatch.setattr("oddlens.llm.hashed_words.BUFFER", 64)
+    assert all((a == b).all() for a, b in zip(whole, slots_of([text, "b"])))
