@@ -127,7 +127,7 @@ def _row_sums(batches: Iterable[pa.RecordBatch], target: Callable[[np.ndarray],
         totals[_LOSS] += int(np.rint(_GRAIN * (np.logaddexp(0, raw) - y * raw)).sum())
         slope += np.bincount(found, weights=np.repeat(error, sizes), minlength=1 << BITS)
         curve += np.bincount(found, weights=np.repeat(bend, sizes), minlength=1 << BITS)
-    at = np.flatnonzero(slope) if chosen is None else chosen[slope[chosen] != 0]
+    at = np.flatnonzero(curve) if chosen is None else chosen[curve[chosen] != 0]
     return pa.RecordBatch.from_arrays(
         [
             pa.array([*totals, *at.tolist()], pa.int32()),
@@ -138,19 +138,24 @@ def _row_sums(batches: Iterable[pa.RecordBatch], target: Callable[[np.ndarray],
     )
 
 
+def _dot(a: np.ndarray, b: np.ndarray) -> float:
+    """A product whose order of addition does not depend on threads or on places in memory."""
+    return float(np.sum(a * b))
+
+
 def _direction(slope: np.ndarray, steps: list[tuple[np.ndarray, np.ndarray]], curve: np.ndarray) -> np.ndarray:
     """Minus the slope times the inverse of the curvature that the last steps showed, from its diagonal on."""
     q, parts = slope.copy(), []
     for s, y in reversed(steps):
-        part = s @ q / (s @ y)
+        part = _dot(s, q) / _dot(s, y)
         parts.append(part)
         q -= part * y
     q /= curve
     if steps:
         s, y = steps[-1]
-        q *= (s @ y) / (y @ (y / curve))
+        q *= _dot(s, y) / _dot(y, y / curve)
     for (s, y), part in zip(steps, reversed(parts), strict=True):
-        q += (part - y @ q / (s @ y)) * s
+        q += (part - _dot(y, q) / _dot(s, y)) * s
     return -q
 
 
@@ -196,7 +201,7 @@ def fit_in_tasks(rows: DataFrame, target: Callable[[np.ndarray], np.ndarray], me
         places = np.append(chosen, 1 << BITS)
         x, g, bend = np.append(w[chosen], offset), slope[places], curve[places] + 1.0
         term = np.append(np.full(len(chosen), l1), 0.0)  # the offset has no L1 term
-        value, steps = loss + term @ np.abs(x), []
+        value, steps = loss + _dot(term, np.abs(x)), []
         for _ in range(passes):
             pull = np.where(x != 0, g + term * np.sign(x), np.sign(g) * np.maximum(np.abs(g) - term, 0))
             move = _direction(pull, steps, bend)
@@ -211,14 +216,14 @@ def fit_in_tasks(rows: DataFrame, target: Callable[[np.ndarray], np.ndarray], me
                 w_new = np.zeros(1 << BITS)
                 w_new[chosen] = new[:-1]
                 loss, slope, curve = sums(w_new, float(new[-1]), chosen)
-                found = loss + term @ np.abs(new)
-                if found <= value + 1e-4 * pull @ (new - x):
+                found = loss + _dot(term, np.abs(new))
+                if found <= value + 1e-4 * _dot(pull, new - x):
                     break
                 part /= 2
             else:
                 break
             g_new, bend = slope[places], curve[places] + 1.0
-            if (new - x) @ (g_new - g) > 1e-12:
+            if _dot(new - x, g_new - g) > 1e-12:
                 steps = [*steps, (new - x, g_new - g)][-_MEMORY:]
             still = value - found <= _STILL * abs(value)
             x, g, value = new, g_new, found
