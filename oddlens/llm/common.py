@@ -6,6 +6,8 @@ import atexit
 import shutil
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -20,6 +22,9 @@ SPACES = b" \t\n\x0b\x0c\r"
 
 
 _shipped: set[str] = set()
+#: Tables of the pipeline's stages, and whether new ones are noted.
+_paths: list[str] = []
+_noted = False
 
 
 def ship(spark: SparkSession) -> None:
@@ -39,7 +44,29 @@ def documents(spark: SparkSession, folder: str) -> DataFrame:
 
 def shared_path(spark: SparkSession, name: str) -> str:
     """A new folder below the session's shared checkpoint folder."""
-    return StageStore(spark, run="llm").path(f"{name}-{uuid.uuid4().hex[:12]}")
+    path = StageStore(spark, run="llm").path(f"{name}-{uuid.uuid4().hex[:12]}")
+    if _noted:
+        _paths.append(path)
+    return path
+
+
+@contextmanager
+def stage_tables(docs: DataFrame) -> Iterator[None]:
+    """For a stage of a pipeline, whose documents have been written: first deletes the tables that the
+    stages before it wrote for themselves, but those that ``docs`` reads; then notes its own."""
+    global _noted
+    read = docs.inputFiles() if _paths else []
+    jvm, conf = docs.sparkSession._jvm, docs.sparkSession._jsc.hadoopConfiguration()
+    for path in list(_paths):
+        if not any(f"/{path.rsplit('/', 1)[1]}/" in file for file in read):
+            folder = jvm.org.apache.hadoop.fs.Path(path)
+            folder.getFileSystem(conf).delete(folder, True)
+            _paths.remove(path)
+    _noted = True
+    try:
+        yield
+    finally:
+        _noted = False
 
 
 def written(df: DataFrame, name: str, compression: str = "zstd") -> DataFrame:

@@ -282,10 +282,11 @@ def mixed(docs: DataFrame, labels: DataFrame, factors: dict[str, float], max_rat
     """The rows of ``docs``, each as often as its copies say, so that each domain's expected
     tokens are ``factors`` of what they are. With ``max_rate`` 1 no row is repeated."""
     model = fit_domains(docs, labels)
-    narrow = with_posteriors(docs.select(F.col("text").cast("string").alias("text")), model).drop("text")
-    members = written(narrow, "mix-members")
+    # Scored once: the fit reads only the posteriors of the written rows.
+    scored = written(with_posteriors(docs, model), "mix-scored")
+    members = scored.select(_P, _N)
     fit = fit_rates(members, domain_goals(members, model.domains, None, factors), max_rate)
-    copied = with_posteriors(docs, model).withColumn("__mix_copies", _copies(fit.rate(), _chance())).where("__mix_copies > 0")
+    copied = scored.withColumn("__mix_copies", _copies(fit.rate(), _chance())).where("__mix_copies > 0")
     if max_rate > 1:
         copied = copied.withColumn("__mix_copy", F.explode(F.sequence(F.lit(1), F.col("__mix_copies"))))
     return copied.select(*(F.col(f"`{c}`") for c in docs.columns))
