@@ -2,12 +2,15 @@
 
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame; ``run`` writes it as
 Parquet and reads it again as the next stage's documents. All stages but the last return
-the columns of the documents they got. Rows are told apart by doc_id and text:
+the columns of the documents they got. A stage deletes what the operators of earlier stages
+wrote for themselves, since it reads only its written documents. Rows are told apart by
+doc_id and text:
 
 - toxicity: rows with a toxicity score of 0.3 or more go.
 - exact_dedup: of texts that are equal without white space the longest stays, then the
   one with the smallest doc_id; of wholly equal (doc_id, text) rows one stays.
-- near_dedup: of each near-duplicate group the document with the smallest doc_id stays.
+- near_dedup: of each near-duplicate group the document with the smallest doc_id stays; rows with
+  that doc_id and other texts stay or go by their own groups.
 - mixing: low-quality text is thinned to half of its tokens; no row is repeated and the
   high-quality domain keeps its weight.
 - encoding: ids of each remaining text, as digests, and its decoded text's digest.
@@ -18,11 +21,14 @@ kept until the last stage.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import wraps
+
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from oddlens.llm.common import ship, written
+from oddlens.llm.common import ship, stage_tables, written
 from oddlens.llm.exact_dedup import exact_groups
 from oddlens.llm.mixing import mixed
 from oddlens.llm.near_dedup import near_groups
@@ -86,12 +92,21 @@ def encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return piece_digests(docs, PIECE_MODEL)
 
 
+def _tidy(stage: Callable) -> Callable:
+    @wraps(stage)
+    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        with stage_tables(docs):
+            return stage(spark, docs, sf_dir)
+
+    return run_stage
+
+
 STAGES = [
-    ("toxicity", toxicity),
-    ("exact dedup", exact_dedup),
-    ("near dedup", near_dedup),
-    ("mixing", mixing),
-    ("sentencepiece", encoding),
+    ("toxicity", _tidy(toxicity)),
+    ("exact dedup", _tidy(exact_dedup)),
+    ("near dedup", _tidy(near_dedup)),
+    ("mixing", _tidy(mixing)),
+    ("sentencepiece", _tidy(encoding)),
 ]
 
 #: A trained classifier, MinHash and a tokenizer are not expressible in SQL.
