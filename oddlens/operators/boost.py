@@ -1,33 +1,45 @@
 """Boosted trees with Spark ML: train, score, history, importance, tuning.
 
 Spark's own distributed trees do the training. Trees are grown on the train split
-only; the test split chooses how many of them are used, by the best staged KS or AUC
-within the early-stopping window. Out-of-time rows are never passed to training.
+only; the test split stops them: rounds are grown until ``early_stopping_rounds`` have
+passed since the best staged KS or AUC, and the best one is used. A fit of more rounds
+begins with the trees of a fit of fewer, so growing goes on by doubling and costs at most
+twice the rounds of the last fit. Out-of-time rows are never passed to training.
+
+Scores of a whole model come from Spark; outputs of single trees, which the history and
+permutation importance need, from ``trees``. Categorical features carry nominal
+metadata, so Spark splits on sets of categories.
 """
 
 from __future__ import annotations
 
 import math
 import random
-import uuid
-from collections.abc import Sequence
-from dataclasses import asdict, dataclass, replace
+from collections.abc import Iterator, Mapping, Sequence
+from dataclasses import asdict, dataclass, field, replace
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.ml.classification import GBTClassificationModel, GBTClassifier
 from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from oddlens.functions.columns import clean_number
-from oddlens.functions.ranking import global_row_number
+from oddlens.functions.ranking import global_row_number, prefix_sums
 from oddlens.operators.binning import local_frame
+from oddlens.operators.discrimination import rank_metrics
 from oddlens.operators.evaluate import evaluate_scores, score_auc_ks
 from oddlens.operators.review import BOUNDS, trial_table
-from oddlens.sources.stages import StageStore, stage
+from oddlens.operators.trees import ROWS, first_trees, node_table, tree_arrays
+from oddlens.sources.stages import stage
 
 # Missing numbers get a value below any real one, so a single split isolates them.
 MISSING_VALUE = -1.0e12
+# Steps of the scores that the history counts, and cells that a task holds before it returns some.
+HISTORY_GRID, HELD = 1 << 14, 4_000_000
 
 
 @dataclass(frozen=True)
@@ -52,15 +64,27 @@ class BoostedModel:
     history: DataFrame
     params: BoosterParams
     seed: int
+    categorical: Mapping[str, int] = field(default_factory=dict)
 
 
-def assemble(df: DataFrame, features: Sequence[str]) -> DataFrame:
-    """Add the ``features`` vector; missing values become ``MISSING_VALUE``."""
-    filled = df.withColumns(
-        {f"__f{i}": F.coalesce(clean_number(F.col(f)), F.lit(MISSING_VALUE)) for i, f in enumerate(features)}
-    )
-    names = [f"__f{i}" for i in range(len(features))]
-    return VectorAssembler(inputCols=names, outputCol="features").transform(filled).drop(*names)
+def assemble(df: DataFrame, features: Sequence[str], categorical: Mapping[str, int] | None = None) -> DataFrame:
+    """Add the ``features`` vector; missing values become ``MISSING_VALUE``.
+
+    ``categorical`` names the features whose values are codes below the given number; they
+    become nominal, and missing or other values a category of their own.
+    """
+    codes = categorical or {}
+    filled = {}
+    for i, f in enumerate(features):
+        value = clean_number(F.col(f))
+        if f in codes:
+            known = value.between(0, codes[f] - 1) & (value == F.floor(value))
+            attribute = {"ml_attr": {"type": "nominal", "name": f"__f{i}", "num_vals": codes[f] + 1}}
+            filled[f"__f{i}"] = F.when(known, value).otherwise(F.lit(float(codes[f]))).alias(f"__f{i}", metadata=attribute)
+        else:
+            filled[f"__f{i}"] = F.coalesce(value, F.lit(MISSING_VALUE)).alias(f"__f{i}")
+    ready = df.select("*", *filled.values())
+    return VectorAssembler(inputCols=list(filled), outputCol="features").transform(ready).drop(*filled)
 
 
 def class_weights(train: DataFrame, bad: Column) -> DataFrame:
@@ -70,49 +94,93 @@ def class_weights(train: DataFrame, bad: Column) -> DataFrame:
     ).withColumn("bad_weight", F.when(F.col("bad_count") > 0, F.col("good_count") / F.col("bad_count")))
 
 
-def _with_stages(df: DataFrame, model: GBTClassificationModel, count: int) -> DataFrame:
-    """Add one prediction column per tree."""
-    for i, tree in enumerate(model.trees[:count]):
-        df = tree.setPredictionCol(f"__tree{i}").transform(df)
-    return df
+def _probability(margins: np.ndarray) -> np.ndarray:
+    return 1 / (1 + np.exp(-2 * margins))
 
 
-def _probability(weights: Sequence[float], count: int) -> Column:
-    margin = sum((F.col(f"__tree{i}") * F.lit(float(weights[i])) for i in range(count)), F.lit(0.0))
-    return 1 / (1 + F.exp(-2 * margin))
+def _vectors(batch: pa.RecordBatch) -> np.ndarray:
+    """The last column, an array of doubles of one length, as a matrix."""
+    return batch.column(batch.num_columns - 1).flatten().to_numpy().reshape(batch.num_rows, -1)
 
 
 def staged_scores(df: DataFrame, model: GBTClassificationModel, keep: Sequence[str]) -> DataFrame:
     """``(*keep, iteration, score)`` for every number of trees (needs ``features``)."""
-    weights = model.treeWeights
-    count = len(weights)
-    wide = _with_stages(df, model, count).select(
-        *keep, *[_probability(weights, i + 1).alias(str(i + 1)) for i in range(count)]
-    )
-    long = wide.unpivot(list(keep), [str(i + 1) for i in range(count)], "iteration", "score")
-    return long.withColumn("iteration", F.col("iteration").cast("int"))
+    shared = df.sparkSession.sparkContext.broadcast(tree_arrays(model, df.sparkSession))
+
+    @F.pandas_udf("array<double>")
+    def scores(vectors: pd.Series) -> pd.Series:
+        found = [_probability(np.cumsum(shared.value.margins(np.stack(vectors.iloc[a : a + ROWS])), axis=1)) for a in range(0, len(vectors), ROWS)]
+        return pd.Series([row for part in found for row in part], dtype=object)
+
+    each = df.select(*keep, F.posexplode(scores(vector_to_array("features"))).alias("iteration", "score"))
+    return each.withColumn("iteration", F.col("iteration") + 1)
+
+
+def staged_counts(df: DataFrame, model: GBTClassificationModel, grid: int = HISTORY_GRID) -> DataFrame:
+    """``(dataset, iteration, score, n, bad)`` for every number of trees, of scores on a grid.
+
+    Scores are counted inside the tasks, ``ROWS`` rows and all trees at a time, so no table of
+    rows times trees is made: a task returns at most ``grid`` cells per iteration and split
+    for each slice that it cannot hold (``HELD`` cells).
+    """
+    shared = df.sparkSession.sparkContext.broadcast(tree_arrays(model, df.sparkSession))
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        trees = shared.value
+        held = [np.empty((0, 3), np.int64)]
+
+        def folded() -> np.ndarray:
+            rows = np.concatenate(held)
+            key, place = np.unique(rows[:, 0], return_inverse=True)
+            return np.column_stack([key, *(np.bincount(place, weights=rows[:, k], minlength=len(key)).astype(np.int64) for k in (1, 2))])
+
+        def out(rows: np.ndarray) -> pa.RecordBatch:
+            key, cell = np.divmod(rows[:, 0], grid + 1)
+            key, test = np.divmod(key, 2)
+            columns = [pa.array(np.where(test == 1, "test", "train")), pa.array(key.astype(np.int32)), pa.array(cell / grid), pa.array(rows[:, 1]), pa.array(rows[:, 2])]
+            return pa.RecordBatch.from_arrays(columns, names=["dataset", "iteration", "score", "n", "bad"])
+
+        for batch in batches:
+            for a in range(0, batch.num_rows, ROWS):
+                part = batch.slice(a, ROWS)
+                test = part.column(0).to_numpy(zero_copy_only=False) == "test"
+                bad = part.column(1).to_numpy().astype(np.int64)
+                cells = np.rint(_probability(np.cumsum(trees.margins(_vectors(part)), axis=1)) * grid).astype(np.int64)
+                iteration = np.arange(1, cells.shape[1] + 1)
+                key = ((iteration * 2 + test[:, None]) * (grid + 1) + cells).ravel()
+                held.append(np.column_stack([key, np.ones(len(key), np.int64), np.repeat(bad, cells.shape[1])]))
+                if sum(map(len, held)) > HELD:
+                    held[:] = [folded()]
+                    if len(held[0]) > HELD // 2:
+                        yield out(held.pop())
+                        held.append(np.empty((0, 3), np.int64))
+        yield out(folded())
+
+    rows = df.select("dataset", F.col("label").cast("long"), vector_to_array("features").alias("x"))
+    counted = rows.mapInArrow(count, "dataset string, iteration int, score double, n long, bad long")
+    return counted.groupBy("dataset", "iteration", "score").agg(F.sum("n").alias("n"), F.sum("bad").alias("bad"))
 
 
 def training_history(df: DataFrame, model: GBTClassificationModel) -> DataFrame:
-    """Train and test AUC / KS per iteration; equal scores are counted map-side, so
-    the table of scores per iteration stays small."""
-    scores = staged_scores(df, model, ["dataset", "label"])
-    metrics = score_auc_ks(scores, "score", F.col("label"), ["iteration", "dataset"])
+    """Train and test AUC / KS per iteration, of scores on a grid of ``HISTORY_GRID`` steps."""
+    cells = stage(staged_counts(df, model))
+    metrics = rank_metrics(prefix_sums(cells, ["iteration", "dataset"], ["score"], ["n", "bad"]), ["iteration", "dataset"])
     wide = metrics.groupBy("iteration").pivot("dataset", ["train", "test"]).agg(
         F.max("auc_raw").alias("auc"), F.max("ks").alias("ks")
     )
     return wide.withColumns({f"{m}_gap": F.col(f"train_{m}") - F.col(f"test_{m}") for m in ("auc", "ks")})
 
 
-def _best_iteration(history: DataFrame, params: BoosterParams) -> int:
+def _best_iteration(history: DataFrame, params: BoosterParams) -> tuple[int, bool]:
+    """The best iteration, and whether the rounds after it suffice to stop there."""
     best, best_value = 1, -1.0
     rows = history.select("iteration", F.col(f"test_{params.early_stopping_metric}").alias("v")).orderBy("iteration")
     for row in rows.collect():
         if row.v is not None and row.v > best_value:
             best, best_value = row.iteration, row.v
         elif row.iteration - best >= params.early_stopping_rounds:
-            break
-    return best
+            return best, True
+    return best, False
 
 
 def fit_booster(
@@ -124,27 +192,32 @@ def fit_booster(
     balance: bool = False,
     train: str = "train",
     test: str = "test",
+    categorical: Mapping[str, int] | None = None,
 ) -> BoostedModel:
-    """Train on ``dataset = train`` and stop by the staged metric on ``test``."""
+    """Train on ``dataset = train`` and stop by the staged metric on ``test``.
+
+    ``categorical``: number of codes of the features whose codes have no order. The history
+    ends with the round that stopped the fit: at most ``early_stopping_rounds`` after the best.
+    """
     params = params or BoosterParams()
     used = df.where(F.col("dataset").isin(train, test)).select(
         *features,
         F.when(F.col("dataset") == train, "train").otherwise("test").alias("dataset"),
         bad.cast("double").alias("label"),
     )
-    used = stage(assemble(used.where("label is not null"), features).select("features", "dataset", "label"))
+    codes = {f: n for f, n in (categorical or {}).items() if f in features}
+    used = stage(assemble(used.where("label is not null"), features, codes).select("features", "dataset", "label"))
     rows = used.where("dataset = 'train'")
     booster = GBTClassifier(
         featuresCol="features",
         labelCol="label",
-        maxIter=params.num_boost_round,
         stepSize=params.learning_rate,
         maxDepth=params.max_depth,
         minInstancesPerNode=params.min_data_in_leaf,
         subsamplingRate=params.bagging_fraction,
         featureSubsetStrategy=str(params.feature_fraction) if params.feature_fraction < 1.0 else "all",
         minInfoGain=params.min_gain_to_split,
-        maxBins=params.max_bins,
+        maxBins=max([params.max_bins, *(n + 1 for n in codes.values())]),
         seed=seed,
     )
     if balance:
@@ -153,18 +226,25 @@ def fit_booster(
             raise ValueError("class weights need both classes in train")
         rows = rows.withColumn("weight", F.when(F.col("label") == 1, F.lit(float(weight))).otherwise(F.lit(1.0)))
         booster = booster.setWeightCol("weight")
-    model = booster.fit(rows)
-    history = stage(training_history(used, model))
-    best = _best_iteration(history, params)
-    marked = history.withColumn("is_best_iteration", F.col("iteration") == best)
-    return BoostedModel(model, tuple(features), best, marked, params, seed)
+    # The first fit is long enough to stop at an early best; each next one doubles it.
+    grown = min(params.num_boost_round, max(16, params.early_stopping_rounds + params.early_stopping_rounds // 4))
+    while True:
+        model = booster.setMaxIter(grown).fit(rows)
+        history = stage(training_history(used, model))
+        best, done = _best_iteration(history, params)
+        if done or grown >= params.num_boost_round:
+            break
+        grown = min(params.num_boost_round, 2 * grown)
+    shown = history.where(F.col("iteration") <= best + params.early_stopping_rounds)
+    marked = shown.withColumn("is_best_iteration", F.col("iteration") == best)
+    return BoostedModel(model, tuple(features), best, marked, params, seed, codes)
 
 
 def score_rows(df: DataFrame, trained: BoostedModel, name: str = "bad_probability") -> DataFrame:
-    """Add the probability of bad at the best iteration; one narrow pass."""
-    scored = _with_stages(assemble(df, trained.features), trained.model, trained.best_iteration)
-    probability = _probability(trained.model.treeWeights, trained.best_iteration)
-    return scored.select(*df.columns, probability.alias(name))
+    """Add the probability of bad at the best iteration; one narrow pass, however many trees."""
+    ready = assemble(df, trained.features, trained.categorical)
+    scored = first_trees(trained.model, trained.best_iteration).transform(ready)
+    return scored.select(*df.columns, F.get(vector_to_array("probability"), F.lit(1)).alias(name))
 
 
 def feature_importance(trained: BoostedModel, df: DataFrame) -> DataFrame:
@@ -172,18 +252,11 @@ def feature_importance(trained: BoostedModel, df: DataFrame) -> DataFrame:
 
     Read from the node table that Spark writes when the model is saved.
     """
-    store = StageStore(df.sparkSession, run="models")
-    path = store.path(uuid.uuid4().hex[:16])
-    trained.model.write().save(path)
-    nodes = df.sparkSession.read.parquet(f"{path}/data")
     splits = (
-        nodes.where(F.col("treeID") < trained.best_iteration)
-        .where(F.col("nodeData.leftChild") >= 0)
-        .groupBy(F.col("nodeData.split.featureIndex").alias("position"))
-        .agg(
-            F.sum(F.col("nodeData.gain") * F.col("nodeData.rawCount")).alias("gain_importance"),
-            F.count("*").alias("split_importance"),
-        )
+        node_table(trained.model, df.sparkSession)
+        .where((F.col("treeID") < trained.best_iteration) & (F.col("leftChild") >= 0))
+        .groupBy(F.col("split.featureIndex").alias("position"))
+        .agg(F.sum(F.col("gain") * F.col("rawCount")).alias("gain_importance"), F.count("*").alias("split_importance"))
     )
     names = local_frame(df, pd.DataFrame(list(enumerate(trained.features)), columns=["position", "feature"]))
     return (
@@ -206,7 +279,9 @@ def permutation_importance(
 
     Rows are ranked once in hash order and each row is paired with the next rank (the
     last with the first), which is a random permutation without fixed points. One
-    equi-join on the rank brings the shuffled values of all features.
+    equi-join on the rank brings the shuffled values of all features. The margins of
+    all trees are computed once; for a feature only the trees that split on it are
+    walked again.
     """
     features = list(trained.features)
     base = df.select(dataset, *id_cols, *features, bad.alias("__bad")).withColumn(
@@ -214,17 +289,36 @@ def permutation_importance(
     )
     ranked = stage(global_row_number(base, ["__h", *id_cols], [dataset], name="__rank"))
     partner = F.when(F.col("__rank") == 1, F.col("tot_n")).otherwise(F.col("__rank") - 1)
-    shuffled = ranked.select(dataset, partner.alias("__rank"), *[F.col(f).alias(f"__s_{f}") for f in features])
-    pairs = stage(ranked.join(shuffled, [dataset, "__rank"]))
-    parts = []
-    for name in [None, *features]:
-        cols = [F.col(f"__s_{f}").alias(f) if f == name else F.col(f) for f in features]
-        view = pairs.select(dataset, "__bad", *cols)
-        scored = score_rows(view, trained, "__score")
-        parts.append(scored.select(dataset, "__bad", "__score", F.lit(name or "").alias("feature")))
-    every = parts[0]
-    for part in parts[1:]:
-        every = every.unionByName(part)
+    ready = assemble(ranked, features, trained.categorical).select(dataset, "__rank", partner.alias("__next"), "__bad", vector_to_array("features").alias("__x"))
+    ready = stage(ready)
+    shuffled = ready.select(dataset, F.col("__next").alias("__rank"), F.col("__x").alias("__other"))
+    pairs = ready.join(shuffled, [dataset, "__rank"]).select(dataset, "__bad", "__other", "__x")
+    shared = df.sparkSession.sparkContext.broadcast((tree_arrays(trained.model, df.sparkSession, trained.best_iteration), features))
+
+    def rescored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        trees, names = shared.value
+        users = [trees.users(k) for k in range(len(names))]
+        for batch in batches:
+            for a in range(0, batch.num_rows, ROWS):
+                part = batch.slice(a, ROWS)
+                x = _vectors(part)
+                other = part.column(2).flatten().to_numpy().reshape(x.shape)
+                each = trees.margins(x)
+                whole = each.sum(axis=1)
+                scores = [whole]
+                for k, used in enumerate(users):
+                    mixed = x.copy()
+                    mixed[:, k] = other[:, k]
+                    scores.append(whole - each[:, used].sum(axis=1) + trees.margins(mixed, used).sum(axis=1) if len(used) else whole)
+                columns = [
+                    pa.concat_arrays([part.column(0)] * len(scores)),
+                    pa.array(np.tile(part.column(1).to_numpy(), len(scores))),
+                    pa.array(np.repeat(["", *names], part.num_rows)),
+                    pa.array(_probability(np.concatenate(scores)).round(12)),
+                ]
+                yield pa.RecordBatch.from_arrays(columns, names=[dataset, "__bad", "feature", "__score"])
+
+    every = pairs.withColumn(dataset, F.col(dataset).cast("string")).withColumn("__bad", F.col("__bad").cast("long")).mapInArrow(rescored, f"`{dataset}` string, __bad long, feature string, __score double")
     auc = stage(score_auc_ks(every, "__score", F.col("__bad"), [dataset, "feature"]))
     intact = auc.where("feature = ''").select(dataset, F.col("auc_raw").alias("intact_auc"))
     return (
