@@ -127,7 +127,8 @@ def _row_sums(batches: Iterable[pa.RecordBatch], target: Callable[[np.ndarray],
         totals[_LOSS] += int(np.rint(_GRAIN * (np.logaddexp(0, raw) - y * raw)).sum())
         slope += np.bincount(found, weights=np.repeat(error, sizes), minlength=1 << BITS)
         curve += np.bincount(found, weights=np.repeat(bend, sizes), minlength=1 << BITS)
-    at = np.flatnonzero(curve) if chosen is None else chosen[curve[chosen] != 0]
+    at = np.flatnonzero(curve.astype(bool) | slope.astype(bool))
+    at = at if chosen is None else np.intersect1d(at, chosen, assume_unique=True)
     return pa.RecordBatch.from_arrays(
         [
             pa.array([*totals, *at.tolist()], pa.int32()),
@@ -172,7 +173,7 @@ def fit_in_tasks(rows: DataFrame, target: Callable[[np.ndarray], np.ndarray], me
     """
     session = rows.sparkSession
     narrow = rows.select("slots", "mark")
-    few = narrow.coalesce(max(1, 2 * session.sparkContext.defaultParallelism))  # fewer partial sums to move
+    few = narrow.coalesce(max(1, session.sparkContext.defaultParallelism))  # fewer partial sums to move
     w, offset = np.zeros(1 << BITS), float(logit(mean))
 
     def sums(w: np.ndarray, offset: float, chosen: np.ndarray | None) -> tuple[float, np.ndarray, np.ndarray]:

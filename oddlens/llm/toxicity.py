@@ -50,7 +50,9 @@ from oddlens.llm.linear import BITS, PREFIXES, fit_in_tasks, hash_sample, logit,
 #: Bound of the labelled sample (expected rows) that the lists are found in.
 LABELLED = 20_000
 #: L1 term of the classifier, in standard deviations of the slope of a word in all documents, and its passes.
-L1, PASSES = 0.05, 12
+L1, PASSES = 0.05, 15
+#: Standard deviations from chance that a term's slope must have to enter the classifier, half of it for a slot.
+SURE = 3.0
 #: Terms of the classifier at most: those with the steepest slopes.
 MOST = 1 << 17
 #: Lexicon voters that the found terms are dealt to, and the most terms of all of them.
@@ -214,7 +216,8 @@ class LabelModel:
         yes = self.weight * (np.log(self.toxic) - np.log(self.clean))
         no = self.weight * (np.log1p(-self.toxic) - np.log1p(-self.clean))
         bits = (votes[:, None] >> np.arange(len(self.weight))) & 1
-        return sigmoid(logit(self.prior) + bits @ yes + (1 - bits) @ no)
+        # Row by row, so that a row's sum does not depend on its batch.
+        return sigmoid(logit(self.prior) + np.where(bits, yes, no).sum(axis=1))
 
 
 def fit_label_model(n: int, joint: np.ndarray, prior: float) -> LabelModel:
@@ -294,12 +297,13 @@ class _Rows:
         yield pa.RecordBatch.from_arrays([pa.array(seen.keys(), pa.int64()), pa.array(seen.values(), pa.int64())], names=["mark", "n"])
 
     def slot_slopes(self, batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(1 << BITS)
+        total, docs = np.zeros(1 << BITS), np.zeros(1 << BITS, np.int64)
         for scanned, marks in self.scanned(batches):
             sizes, found = text_rows([scan_slots(*s) for s in scanned], len(marks))
             total += np.bincount(found, weights=np.repeat(self._slopes(marks), sizes), minlength=1 << BITS)
-        at = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[at].astype(np.int64))], names=["slot", "total"])
+            docs += np.bincount(found, minlength=1 << BITS)
+        at = np.flatnonzero(docs)
+        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[at].astype(np.int64)), pa.array(docs[at])], names=["slot", "total", "n"])
 
     def term_slopes(self, batches: Iterable[pa.RecordBatch], sieve: np.ndarray) -> Iterator[pa.RecordBatch]:
         """Slopes of the terms themselves whose slot is in the sieve, in parts."""
@@ -316,7 +320,8 @@ class _Rows:
             keys, places = keys[once], places[once]
             heads = np.flatnonzero(np.append(True, keys[1:] != keys[:-1])) if len(keys) else np.empty(0, np.int64)
             totals = np.add.reduceat(slopes[places], heads) if len(heads) else np.empty(0)
-            yield pa.RecordBatch.from_arrays([pa.array(keys[heads].view(np.int64)), pa.array(totals.astype(np.int64))], names=["term", "total"])
+            docs = np.diff(np.append(heads, len(keys)))
+            yield pa.RecordBatch.from_arrays([pa.array(keys[heads].view(np.int64)), pa.array(totals.astype(np.int64)), pa.array(docs)], names=["term", "total", "n"])
 
     def rows(self, batches: Iterable[pa.RecordBatch], terms: Terms) -> Iterator[pa.RecordBatch]:
         for scanned, marks in self.scanned(batches):
@@ -352,12 +357,15 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame) -> ToxicityModel:
     l1 = L1 * float(np.sqrt(max(n, 1) * prior * (1 - prior)))
     # Slopes of the slots show where terms may lie that the L1 term lets move; then those terms themselves.
     shared = context.broadcast(_Rows(voters, model))
-    slots = own.mapInArrow(lambda b: shared.value.slot_slopes(b), "slot long, total long").groupBy("slot").agg(F.sum("total").alias("total")).toArrow()
-    steep = np.abs(slots.column("total").to_numpy()) > _GRAIN * l1 / 2
+    both = [F.sum(c).alias(c) for c in ("total", "n")]
+    slots = own.mapInArrow(lambda b: shared.value.slot_slopes(b), "slot long, total long, n long").groupBy("slot").agg(*both).toArrow()
+    slot, total, n_docs = (slots.column(c).to_numpy() for c in ("slot", "total", "n"))
+    chance = float(np.sqrt(prior * (1 - prior)))  # standard deviation of one document's slope
     sieve = np.zeros(1 << BITS, bool)
-    sieve[slots.column("slot").to_numpy()[steep]] = True
-    sums = own.mapInArrow(lambda b: shared.value.term_slopes(b, sieve), "term long, total long").groupBy("term").agg(F.sum("total").alias("total"))
-    chosen = sums.where(F.abs("total") > _GRAIN * l1).orderBy(F.abs("total").desc(), "term").limit(MOST).select("term").toArrow()
+    sieve[slot[np.abs(total) / _GRAIN > np.maximum(l1 / 2, SURE / 2 * chance * np.sqrt(n_docs))]] = True
+    sums = own.mapInArrow(lambda b: shared.value.term_slopes(b, sieve), "term long, total long, n long").groupBy("term").agg(*both)
+    steep = F.abs("total") / F.lit(_GRAIN) > F.greatest(F.lit(l1), F.lit(SURE * chance) * F.sqrt("n"))
+    chosen = sums.where(steep).orderBy(F.abs("total").desc(), "term").limit(MOST).select("term").toArrow()
     terms = Terms(np.sort(chosen.column("term").to_numpy().view(np.uint64)))
     rows = written(own.mapInArrow(lambda b: shared.value.rows(b, terms), "slots array<int>, mark long"), "toxicity-rows")
     weights, offset = fit_in_tasks(rows, model.posterior, prior, l1, PASSES)
