@@ -17,8 +17,9 @@ one table: HALVES ** 2 tables from 2 * HALVES * WIDTH minhashes.
    b. Inside a family that the links leave in several components, every class outside the
       largest one meets all others in blocks of ``BLOCK`` classes: a block holds its sets
       once, and gives one link for each component that a class touches, not its pairs.
-   c. Classes of a bucket in different families are compared pair by pair, once, in the
-      first table that they share.
+   c. Buckets that hold several families: their classes meet in blocks like those of b. Equal
+      buckets are one, and a large component meets the classes that share any bucket with
+      it once, so no table of pairs is made.
    So no candidate pair that could join two components is left out.
 4. Components of the links, and the smallest doc_id of each.
 
@@ -39,7 +40,7 @@ from functools import partial
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from oddlens.llm.common import LOWER, slices, text_bytes, written
@@ -54,6 +55,8 @@ LEAST = 80
 KIN = 30
 #: Classes, and shingles of all of them, in one side of a block.
 BLOCK, BLOCK_SHINGLES = 256, 200_000
+#: Classes of a component beyond which it meets the classes outside it once, not in each bucket.
+LARGE = 64
 #: Words whose hashes one task remembers at most.
 REMEMBERED = 500_000
 
@@ -205,11 +208,31 @@ def _family_links(classes: DataFrame, sets: DataFrame) -> DataFrame:
 _BLOCKS = "array<struct<c1:int,c2:int,side:int>>"
 
 
-def _first_shared(start: Column, place: Column) -> Column:
-    """Whether ``place`` is the first from ``start`` on where x and y have the same half key."""
-    n = place - start + 1
-    same = F.zip_with(F.slice("x.keys", start + 1, n), F.slice("y.keys", start + 1, n), lambda a, b: a == b)
-    return F.array_position(same, F.lit(True)) == n
+def _bucket_groups(buckets: DataFrame, placed: DataFrame) -> DataFrame:
+    """Groups (cid, comp, family) of classes that share a bucket and lie in different families.
+
+    Classes of components of up to ``LARGE`` classes meet in their bucket; buckets with the same such
+    classes are one group. A larger component is one group with all classes outside it that share
+    a bucket with any of its own, however many buckets these are.
+    """
+    rows = buckets.select("tk", "cid").join(placed, "cid")
+    apart = rows.groupBy("tk").agg(F.min("family").alias("x"), F.max("family").alias("y")).where("x != y").select("tk")
+    large = placed.groupBy("comp").agg(F.count("*").alias("n")).where(F.col("n") > LARGE).select("comp", F.lit(True).alias("large"))
+    rows = written(rows.join(apart, "tk", "left_semi").join(large, "comp", "left").select("tk", "cid", "comp", F.coalesce("large", F.lit(False)).alias("large")), "near-apart")
+
+    small = rows.where("not large")
+    marks = [F.sum(F.xxhash64("cid", F.lit(k)).cast("decimal(38,0)")).alias(f"m{k}") for k in (0, 1)]
+    sets = small.groupBy("tk").agg(F.count("*").alias("n"), F.min("comp").alias("x"), F.max("comp").alias("y"), *marks)
+    chosen = sets.where("x != y").groupBy("n", "m0", "m1").agg(F.min("tk").alias("tk")).select("tk")
+    met = small.join(chosen, "tk").select("cid", "comp", F.col("tk").alias("family"))
+
+    hosts = rows.where("large").select("tk", F.col("comp").alias("host")).distinct()
+    other = (F.col("comp") != F.col("host")) & (~F.col("large") | (F.col("comp") > F.col("host")))
+    guests = rows.join(hosts, "tk").where(other).select("cid", "comp", "host").distinct()
+    guests = written(guests, "near-guests")
+    own = placed.select("cid", "comp").join(guests.select(F.col("host").alias("comp")).distinct(), "comp").select("cid", "comp", F.col("comp").alias("host"))
+    hosted = guests.unionByName(own).select("cid", "comp", F.xxhash64(F.lit(1), "host").alias("family"))
+    return written(met.unionByName(hosted), "near-met")
 
 
 def _two_components(first: DataFrame, second: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -263,17 +286,9 @@ def near_groups(docs: DataFrame, words: int = WORDS) -> DataFrame:
     placed = written(_with_root(_with_root(needed.select("cid"), roots, "comp"), families, "family"), "near-placed")
     inside = _family_links(placed, sets)
 
-    # Classes of a bucket in different families, in the first table that they share.
-    rows = buckets.drop("b").join(placed.select("cid", "family"), "cid")
-    apart = rows.groupBy("tk").agg(F.min("family").alias("x"), F.max("family").alias("y")).where("x != y").select("tk")
-    left = written(rows.join(apart, "tk", "left_semi").join(classes.select("cid", "keys"), "cid"), "near-left")
-    x, y = left.alias("x"), left.alias("y")
-    met = (F.col("x.tk") == F.col("y.tk")) & (F.col("x.cid") < F.col("y.cid")) & (F.col("x.family") != F.col("y.family"))
-    met &= _first_shared(F.lit(0), F.col("x.i")) & _first_shared(F.lit(HALVES), F.col("x.j"))
-    found = x.join(y, met).select(F.col("x.cid").alias("a"), F.col("y.cid").alias("b"))
-    across = _verified(found, sets, LEAST)
+    across = _family_links(_bucket_groups(buckets, placed), sets)
     stars = roots.select(F.col("node").alias("a"), F.col("root").alias("b"))
-    roots = components(stars.unionByName(inside).unionByName(across.select("a", "b")))
+    roots = components(stars.unionByName(inside).unionByName(across))
 
     # Only classes of several documents or with a link can have another document's id.
     named = classes.select("cid", "digest", "least_id", "n_docs").join(roots.withColumnRenamed("node", "cid"), "cid", "left")
