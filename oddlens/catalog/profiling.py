@@ -65,6 +65,22 @@ def dominant_values(spark: SparkSession, folder: str) -> DataFrame:
     return rounded(profile.dominant_values(lines(spark, folder), LINE_FEATURES))
 
 
+def large_value_profile(spark: SparkSession, folder: str) -> DataFrame:
+    """Keys beyond 2 ** 53, where doubles no longer differ: distinct, dominant and top value,
+    entropy, key role and constant rule."""
+    orders = spark.read.parquet(f"{folder}/orders.parquet")
+    rows = orders.select(
+        (F.col("o_orderkey").cast("long") + F.lit(1 << 60)).alias("order_id"),
+        (F.col("o_custkey").cast("long") + F.lit(1 << 60)).alias("customer_number"),
+        (F.col("o_orderkey").cast("decimal(30,0)") + F.lit(str(10**25)).cast("decimal(30,0)")).cast("decimal(30,0)").alias("wide_id"),
+    )
+    columns = rows.columns
+    facts = profile.profile_columns(rows).select(F.col("column_name").alias("feature"), F.col("unique_count").alias("profiled"), "top_value", "top_value_count", "candidate_role")
+    found = profile.dominant_values(rows, columns).join(facts, "feature").join(binning.value_entropy(rows, columns), "feature")
+    constant = (F.col("dominant_rate") > 0.8).alias("is_constant")
+    return rounded(found.select("feature", "unique_count", "dominant_count", "profiled", "top_value", "top_value_count", "candidate_role", "entropy", constant))
+
+
 def target_distribution(spark: SparkSession, folder: str) -> DataFrame:
     return rounded(profile.target_distribution(lines(spark, folder), "label"))
 
@@ -134,7 +150,7 @@ def threshold_counts(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES = {
     f.__name__: f
     for f in (
-        column_profile, column_samples, sketched_profile, date_parse_rates, dominant_values, target_distribution,
+        column_profile, column_samples, sketched_profile, date_parse_rates, dominant_values, large_value_profile, target_distribution,
         dataset_summary, leakage_review, field_table, top_iv, top_missing, top_psi, feature_statistics, metric_ranges,
         threshold_counts,
     )
@@ -206,6 +222,18 @@ CHECKS = {
         ["date_parse_rate"],
     ),
     "dominant_values": check(SAMPLES_SQL, _LINE_FACTS, ["dominant_rate"]),
+    "large_value_profile": check(
+        """cells AS (
+          SELECT 'order_id' AS feature, CAST(CAST(o_orderkey AS HUGEINT) + 1152921504606846976 AS VARCHAR) AS v, CAST(o_orderkey AS BIGINT) AS o FROM orders
+          UNION ALL SELECT 'customer_number', CAST(CAST(o_custkey AS HUGEINT) + 1152921504606846976 AS VARCHAR), CAST(o_custkey AS BIGINT) FROM orders
+          UNION ALL SELECT 'wide_id', CAST(CAST(o_orderkey AS HUGEINT) + 10000000000000000000000000 AS VARCHAR), CAST(o_orderkey AS BIGINT) FROM orders
+        ), vc AS (SELECT feature, v, min(o) AS o, count(*) AS n FROM cells GROUP BY 1, 2)""",
+        """SELECT feature, count(*) AS unique_count, max(n) AS dominant_count, count(*) AS profiled, first(v ORDER BY n DESC, o) AS top_value,
+          max(n) AS top_value_count, CASE WHEN feature LIKE '%_id' AND count(*) / sum(n) >= 0.95 THEN 'candidate_id' ELSE 'candidate_feature' END AS candidate_role,
+          log2(sum(n)) - sum(n * log2(n)) / sum(n) AS entropy, max(n) / sum(n) > 0.8 AS is_constant
+        FROM vc GROUP BY feature""",
+        ["entropy"],
+    ),
     "target_distribution": check(SAMPLES_SQL, "SELECT label, count(*) AS count, count(*)/(SELECT count(*) FROM lines) AS rate FROM lines GROUP BY 1", ["rate"]),
     "dataset_summary": check(
         SAMPLES_SQL,

@@ -26,6 +26,7 @@ from oddlens.operators.counts import (
     numbered,
     split_types,
     text_cells,
+    typed_counts,
     value_counts,
 )
 from oddlens.sources.stages import stage
@@ -484,7 +485,7 @@ def value_entropy(df: DataFrame, features: Sequence[str], by: Sequence[str] = ()
     """
     n = F.col("n")
     return (
-        value_counts(df, features, by=by)
+        typed_counts(df, features, by)
         .groupBy(*by, "feature")
         .agg((F.log2(F.sum(n)) - F.sum(n * F.log2(n)) / F.sum(n)).alias("entropy"))
     )

@@ -77,6 +77,43 @@ def long_cells(df: DataFrame, features: Sequence[str], keep: Sequence[Column | s
     return reduce(DataFrame.unionByName, frames)
 
 
+_WHOLE = {"byte", "short", "integer", "long"}
+
+
+def typed_cells(df: DataFrame, features: Sequence[str], keep: Sequence[Column | str] = ()) -> DataFrame:
+    """``(*keep, fid, num, whole, dec, txt)``: like ``long_cells``, but values keep their type.
+
+    Whole numbers travel as 64-bit integers in ``whole`` and decimals by their digits in
+    ``dec``, since a double does not tell large ones apart; ``num`` is the nearest double
+    of either, for order and range.
+    """
+    if not features:
+        raise ValueError("at least one feature is needed")
+    kept = [F.col(k) if isinstance(k, str) else k for k in keep]
+    groups: dict[str, list[str]] = {"whole": [], "dec": [], "num": [], "txt": []}
+    for f in features:
+        kind = df.schema[f].dataType.typeName()
+        groups["whole" if kind in _WHOLE else "dec" if kind == "decimal" else "num" if is_numeric(df.schema[f].dataType) else "txt"].append(f)
+    kinds = {"num": "double", "whole": "bigint", "dec": "string", "txt": "string"}
+    frames = []
+    for column, chosen in groups.items():
+        if chosen:
+            long = _unpivot(df, numbered(features, chosen), kinds[column], column, kept)
+            if column in ("whole", "dec"):
+                long = long.withColumn("num", F.col(column).cast("double"))
+            elif column == "num":
+                long = long.withColumn("num", clean_number(F.col("num")))
+            frames.append(long.withColumns({c: F.lit(None).cast(k) for c, k in kinds.items() if c not in long.columns}))
+    return reduce(DataFrame.unionByName, frames)
+
+
+def typed_counts(df: DataFrame, features: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
+    """``(*by, feature, num, whole, dec, txt) → n`` of exact values; a missing cell has only nulls."""
+    features = list(features)
+    counts = typed_cells(df, features, list(by)).groupBy(*by, "fid", "num", "whole", "dec", "txt").agg(F.count("*").alias("n"))
+    return counts.select(*by, feature_name(features), "num", "whole", "dec", "txt", "n")
+
+
 def value_counts(
     df: DataFrame,
     features: Sequence[str],

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from oddlens.functions.columns import is_numeric, parse_date, ratio
 from oddlens.operators.contract import RiskContract
-from oddlens.operators.counts import feature_name, is_present, long_cells, value_counts
+from oddlens.operators.counts import feature_name, is_present, typed_cells, typed_counts
 from oddlens.sources.stages import stage
 
 # Names that hint at a role or at leakage.
@@ -90,32 +90,17 @@ def profile_columns(
 
 
 def _cell_text() -> Column:
-    """Text of a cell; whole numbers of integer columns print without a fraction."""
-    whole = F.col("num").cast("long").cast("string")
-    return F.coalesce(F.col("txt"), F.when(F.col("integral"), whole).otherwise(F.col("num").cast("string")))
+    """Text of a cell; whole numbers print without a fraction."""
+    return F.coalesce(F.col("txt"), F.col("whole").cast("string"), F.col("dec"), F.col("num").cast("string"))
 
 
 def _exact_stats(df: DataFrame, columns: Sequence[str], sample_size: int) -> DataFrame:
-    integral = [
-        c
-        for c in columns
-        if df.schema[c].dataType.typeName() in {"byte", "short", "integer", "long"}
-    ]
-    # Beyond 2 ** 53 a double no longer tells whole numbers apart, so these travel as text.
-    wide = [c for c in columns if df.schema[c].dataType.typeName() in {"long", "decimal"}]
-    exact = df.withColumns({c: F.col(c).cast("string") for c in wide}) if wide else df
-    number = F.when(F.col("feature").isin(wide), F.col("txt").cast("double")).otherwise(F.col("num"))
-    cells = stage(
-        value_counts(exact, columns)
-        .where(is_present())
-        .withColumn("num", number)
-        .withColumn("integral", F.col("feature").isin(integral))
-    )
+    cells = stage(typed_counts(df, columns).where(is_present()))
     stats = cells.groupBy("feature").agg(
         F.sum("n").alias("non_null_count"),
         F.count("*").alias("unique_count"),
         # most frequent value; ties go to the smaller value
-        F.min_by(_cell_text(), F.struct(-F.col("n"), "num", "txt")).alias("top_value"),
+        F.min_by(_cell_text(), F.struct(-F.col("n"), "num", "whole", "dec", "txt")).alias("top_value"),
         F.max("n").alias("top_value_count"),
         F.min("num").alias("numeric_min"),
         F.max("num").alias("numeric_max"),
@@ -135,12 +120,12 @@ def _exact_stats(df: DataFrame, columns: Sequence[str], sample_size: int) -> Dat
 
 def _sketch_stats(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return (
-        long_cells(df, columns)
+        typed_cells(df, columns)
         .where(is_present())
         .groupBy("fid")
         .agg(
             F.count("*").alias("non_null_count"),
-            F.approx_count_distinct(F.coalesce(F.col("txt"), F.col("num").cast("string"))).alias("unique_count"),
+            F.approx_count_distinct(_cell_text()).alias("unique_count"),
             F.min("num").alias("numeric_min"),
             F.max("num").alias("numeric_max"),
             F.avg("num").alias("numeric_mean"),
@@ -197,7 +182,7 @@ def dominant_values(df: DataFrame, features: Sequence[str]) -> DataFrame:
 
     A feature without values counts as constant: rate 1.0.
     """
-    cells = value_counts(df, features)
+    cells = typed_counts(df, features)
     present = is_present()
     return cells.groupBy("feature").agg(
         F.sum("n").alias("row_count"),

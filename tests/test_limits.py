@@ -1,5 +1,7 @@
 """Widths, sizes and nulls that the small catalog does not show."""
 
+import math
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -52,3 +54,27 @@ def test_ties_of_the_order_give_one_choice(spark):
         df = spark.createDataFrame(rows, "id int, at int, v string").repartition(parts, "v")
         chosen.add(tuple(sorted((r.id, r.v) for r in diagnose.first_per_id(df, ["id"], ["at"]).collect())))
     assert len(chosen) == 1
+
+
+def test_large_whole_numbers_and_decimals_stay_apart(spark):
+    from decimal import Decimal
+
+    from oddlens.operators.binning import value_entropy
+    from oddlens.operators.prepare import quality_decisions
+    from oddlens.operators.profile import dominant_values, profile_columns
+
+    rows = [((1 << 60) + k, Decimal(10**25 + k), (1 << 60) + k % 2, 1) for k in range(1000)]
+    df = spark.createDataFrame(rows, "id long, wide decimal(30,0), two long, bad int")
+    found = {r.feature: r for r in dominant_values(df, ["id", "wide", "two"]).collect()}
+    assert [found[c].unique_count for c in ("id", "wide", "two")] == [1000, 1000, 2]
+    assert [found[c].dominant_count for c in ("id", "wide", "two")] == [1, 1, 500]
+    entropy = {r.feature: r.entropy for r in value_entropy(df, ["id", "wide", "two"]).collect()}
+    assert abs(entropy["id"] - math.log2(1000)) < 1e-9 and abs(entropy["two"] - 1) < 1e-9
+    exact = {r.column_name: r for r in profile_columns(df).collect()}
+    assert exact["id"].unique_count == 1000 and exact["id"].top_value == str(1 << 60) and exact["wide"].top_value == str(10**25)
+    sketched = {r.column_name: r for r in profile_columns(df, approximate=True).collect()}
+    assert all(abs(sketched[c].unique_count - 1000) < 100 for c in ("id", "wide")) and sketched["two"].unique_count == 2
+    from oddlens.operators.contract import RiskContract
+
+    kept = {r.column_name: r.decision for r in quality_decisions(df, RiskContract(("id",), None, "bad"), max_constant=0.6).collect()}
+    assert kept["wide"] == "retained" and kept["two"] == "retained"
