@@ -12,11 +12,13 @@ speculative task leaves whole files only.
 
 Defined results: null text counts as empty and becomes the end id alone; a null doc_id
 comes first and is stored as the smallest 64-bit number; repeated rows are documents of
-their own, next to each other; an empty table gives no shard and no row.
+their own, next to each other; an added token's text inside a text becomes that token, as in
+the library; an empty table gives no shard and no row.
 """
 
 from __future__ import annotations
 
+import hashlib
 import os
 import unicodedata
 import zlib
@@ -42,7 +44,8 @@ class WordEncoder:
     The vocabulary's normaliser folds white space and its pattern drops it, so no token
     and no normalisation reaches over a blank or a line end. Nor does one reach from a
     letter to a closing punctuation mark, so a word is encoded once for all its endings
-    and, in ASCII, for all its cases. New words go to the library many at a time; the
+    and, if it is of ASCII letters only, for all its cases (the library looks for added tokens
+    before it folds cases). New words go to the library many at a time; the
     tokens that end a word tell them apart.
     """
 
@@ -88,7 +91,7 @@ class WordEncoder:
             if not word or not unicodedata.normalize("NFC", word[-1]).lower().isalpha():
                 word = part
             mark = part[len(word) :]
-            word = word.lower() if word.isascii() else word
+            word = word.lower() if word.isascii() and word.isalpha() else word
             made.append((part, word, mark))
             for w in (word, mark):
                 if w not in self.words:
@@ -107,7 +110,7 @@ class WordEncoder:
         return found
 
 
-_encoders: dict[str, WordEncoder] = {}
+_encoders: dict[bytes, WordEncoder] = {}  # one definition at a time
 
 
 def _file_system(folder: str) -> tuple[fs.FileSystem, str]:
@@ -125,10 +128,11 @@ def write_token_files(docs: DataFrame, path: str, end_id: int, folder: str, shar
         definition = docs.sparkSession.sparkContext.broadcast(file.read())
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        if "word" not in _encoders:
+        key = hashlib.sha256(definition.value.encode()).digest()
+        if key not in _encoders:
             _encoders.clear()
-            _encoders["word"] = WordEncoder(definition.value)
-        encoder = _encoders["word"]
+            _encoders[key] = WordEncoder(definition.value)
+        encoder = _encoders[key]
         context = TaskContext.get()
         system, root = _file_system(folder)
         system.create_dir(root)

@@ -67,3 +67,21 @@ def test_files_hold_the_ids(spark, library):
     ids = np.concatenate([np.fromfile(f"{local}/{r.shard:07d}.tokens", r.dtype) for r in rows]).tolist()
     assert ids == [i for k in range(20) for i in library.encode(f"text number {k}", add_special_tokens=False).ids + [2]]
     assert read_token_files(manifest, folder).count() == 20
+
+
+def test_added_tokens_and_cases_equal_the_library():
+    import random
+
+    from tokenizers import Tokenizer
+
+    from oddlens.llm.token_files import WordEncoder
+
+    path = public_tokenizers.path("word_bpe_49k.json")
+    library = Tokenizer.from_file(path)
+    with open(path) as file:
+        own = WordEncoder(file.read())
+    rng = random.Random(8)
+    parts = ["<|endoftext|>", "<|ENDOFTEXT|>", "<|EndOfText|>", "<|startoftext|>", "<|STARTOFTEXT|>", "<|", "|>", "Word", "WORD", "it's", "A1B2", "É", "x!", " ", "  ", "\n", "<|endoftext|>.", "don't,"]
+    texts = ["".join(rng.choice(parts) + rng.choice(["", " ", "\n"]) for _ in range(rng.randint(1, 9))) for _ in range(3000)]
+    for text, found in zip(texts, own.encode(texts), strict=True):
+        assert np.frombuffer(found, own.dtype).tolist() == library.encode(text, add_special_tokens=False).ids, text
