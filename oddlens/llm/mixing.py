@@ -7,18 +7,16 @@ tokens of each domain, the sum of rate * tokens * posterior, match the targets:
     sum_k (tokens_k(rates) - target_k)^2 / (2 target_k total)
       + RIDGE / 2 * sum_d tokens_d / total * (rate_d - 1)^2,   0 <= rate_d <= max_rate.
 
-Projected gradient, distributed: a step needs only the domains' totals, one row from an
-aggregation over all documents. The path of totals so far is the whole state: each task
-replays it for its own rows, so nothing is kept per document between the steps and a
-lost executor loses nothing. Where ``STEPS`` of them do not bring the totals ``CLOSE`` to
-their targets, Newton's method finds the minimum itself. At the minimum a rate is
-
-    rate_d = clip(1 - posterior_d . e / RIDGE, 0, max_rate),   e_k = (tokens_k - target_k) / target_k,
-
-so that the residuals e, one number for each domain, are the whole state; a step is again
-one row of sums. It ends when the totals are close or no longer move (bounds of the rates
-keep a domain from its target); ``Fit.gap`` is the distance that remains, with a warning if
-it is not close. The document's copies are the whole part of its rate, and one more with
+Projected gradient, distributed: a step needs only the domains' totals and two sums of
+squares, one row from an aggregation over all documents. The path of totals so far, with
+the length of each step, is the whole state: each task replays it for its own rows, so
+nothing is kept per document between the steps and a lost executor loses nothing.
+The first ``STEPS`` steps have the length that is safe for any rates. If they do not bring
+the totals ``CLOSE`` to their targets, each further step is as long as the change of the
+gradient over the last one allows (Barzilai and Borwein), shortened where the objective
+would rise above its last ``BACK`` values. It ends when the totals are close or the rates no
+longer move (bounds of the rates keep a domain from its target); ``Fit.gap`` is the distance
+that remains, with a warning if it is not close. The document's copies are the whole part of its rate, and one more with
 the probability of the rest, decided by a hash of the document.
 
 Defined results: null and empty texts have no tokens and rate 1; repeated rows have
@@ -48,10 +46,12 @@ DOMAINS = ("high", "low", "toxic")
 #: Expected bound of the labelled rows that the classifier is fitted on.
 LABELLED = 8_000
 RIDGE = 0.005
-#: Gradient steps before Newton's, and the relative distance of a domain's tokens from its goal that ends both.
+#: First steps, and the relative distance of a domain's tokens from its goal that ends the fit.
 STEPS, CLOSE = 3, 0.01
-#: Newton steps after which the fit is an error: each one descends, and some ten are usual.
-NEWTON = 200
+#: Further steps at most, and values of the objective that a new one is held against.
+FURTHER, BACK = 200, 6
+#: Mean move of a rate that counts as none.
+STILL = 1e-4
 #: Rates this near to a whole number are that number: fewer copies left to chance.
 SNAP = 0.02
 
@@ -125,37 +125,32 @@ def with_posteriors(docs: DataFrame, model: DomainModel) -> DataFrame:
     return docs.withColumn("__mix", member(F.col("text").cast("string"))).select("*", f"__mix.{_P}", f"__mix.{_N}").drop("__mix")
 
 
-def _rate(path: list[list[float]], step: float, max_rate: float) -> Column:
-    """Rate of a row after the steps of ``path`` (scaled residuals of the domains)."""
-    if not path:
-        return F.lit(1.0)
-
-    def move(rate: Column, residual: Column) -> Column:
-        slope = F.aggregate(F.zip_with(F.col(_P), residual, lambda p, e: p * e), F.lit(0.0), lambda s, x: s + x)
-        return F.greatest(F.lit(0.0), F.least(F.lit(float(max_rate)), rate - F.lit(step) * (slope + F.lit(RIDGE) * (rate - 1.0))))
-
-    history = F.array(*(F.array(*map(F.lit, e)) for e in path))
-    return F.when(F.col(_N) > 0, F.aggregate(history, F.lit(1.0), move)).otherwise(1.0)
+def _move(rate: Column, step: Column, residual: Column, max_rate: float) -> Column:
+    slope = F.aggregate(F.zip_with(F.col(_P), residual, lambda p, e: p * e), F.lit(0.0), lambda s, x: s + x)
+    return F.greatest(F.lit(0.0), F.least(F.lit(float(max_rate)), rate - step * (slope + F.lit(RIDGE) * (rate - 1.0))))
 
 
-def _dual_rate(residuals: list[float], max_rate: float) -> Column:
-    """Rate of a row at the minimum that has these scaled residuals."""
-    slope = sum((F.get(_P, F.lit(i)) * F.lit(float(e)) for i, e in enumerate(residuals)), F.lit(0.0))
-    return F.when(F.col(_N) > 0, F.greatest(F.lit(0.0), F.least(F.lit(float(max_rate)), F.lit(1.0) - slope / F.lit(RIDGE)))).otherwise(1.0)
+def _rate(path: list[tuple[float, list[float]]], max_rate: float) -> Column:
+    """Rate of a row after the steps of ``path``: their lengths and the scaled residuals of the domains."""
+    if not path:
+        return F.lit(1.0)
+    steps = F.array(*(F.struct(F.lit(float(length)).alias("s"), F.array(*(F.lit(float(x)) for x in e)).alias("e")) for length, e in path))
+    return F.when(F.col(_N) > 0, F.aggregate(steps, F.lit(1.0), lambda rate, x: _move(rate, x.s, x.e, max_rate))).otherwise(1.0)
 
 
 @dataclass(frozen=True)
 class Fit:
+    #: Residuals before each of the first steps, and their common length.
     path: list[list[float]]
     step: float
     max_rate: float
     totals: list[float]
     goals: list[float]
-    #: Residuals of the minimum, if the path did not come close.
-    residuals: list[float] | None = None
+    #: Length and residuals of the further steps.
+    further: list[tuple[float, list[float]]]
 
     def rate(self) -> Column:
-        raw = _rate(self.path, self.step, self.max_rate) if self.residuals is None else _dual_rate(self.residuals, self.max_rate)
+        raw = _rate([(self.step, e) for e in self.path] + self.further, self.max_rate)
         return F.when(F.abs(raw - F.round(raw)) <= SNAP, F.round(raw)).otherwise(raw)
 
     @property
@@ -168,52 +163,37 @@ def _close(totals: list[float], goals: list[float], size: float) -> bool:
     return all(abs(t - g) <= CLOSE * (g + 0.01 * size) for t, g in zip(totals, goals, strict=True))
 
 
-def _dual_sums(members: DataFrame, residuals: np.ndarray, max_rate: float) -> tuple[np.ndarray, np.ndarray, float]:
-    """At the rates of ``residuals``: the domains' tokens, their slopes, and the rows' part of the dual."""
-    n = len(residuals)
-    rate = _dual_rate(residuals.tolist(), max_rate)
-    p = [F.get(_P, F.lit(i)) for i in range(n)]
-    slope = sum((x * F.lit(float(e)) for x, e in zip(p, residuals, strict=True)), F.lit(0.0))
-    free = F.when((F.col("__r") > 0) & (F.col("__r") < float(max_rate)), F.col(_N)).otherwise(0)
-    pairs = [(i, j) for i in range(n) for j in range(i + 1)]
-    row = (
-        members.select(_P, _N, rate.alias("__r"))
-        .agg(
-            *[F.sum(F.col("__r") * F.col(_N) * x).alias(f"a{i}") for i, x in enumerate(p)],
-            *[F.sum(free * p[i] * p[j]).alias(f"b{i}_{j}") for i, j in pairs],
-            F.sum(F.col(_N) * (-slope * F.col("__r") - F.lit(RIDGE / 2) * (F.col("__r") - 1) * (F.col("__r") - 1))).alias("c"),
-        )
-        .first()
-    )
-    slopes = np.zeros((n, n))
-    for i, j in pairs:
-        slopes[i, j] = slopes[j, i] = (row[f"b{i}_{j}"] or 0.0) / RIDGE
-    return np.array([row[f"a{i}"] or 0.0 for i in range(n)]), slopes, row["c"] or 0.0
-
-
-def fit_residuals(members: DataFrame, goals: list[float], scale: list[float], max_rate: float) -> tuple[list[float], list[float]]:
-    """Residuals and totals at the minimum, by Newton's method on its dual with halved steps."""
-    goal, by = np.array(goals), np.array(scale)
-    size = max(1.0, float(goal.sum()))
-
-    def at(e: np.ndarray) -> tuple[float, np.ndarray, np.ndarray, np.ndarray]:
-        totals, slopes, rows = _dual_sums(members, e, max_rate)
-        return float(by @ (e * e) / 2 + goal @ e + rows), by * e + goal - totals, slopes + np.diag(by), totals
-
-    e = np.zeros(len(goal))
-    value, gradient, curve, totals = at(e)
-    for _ in range(NEWTON):
-        if _close(totals.tolist(), goals, size) or np.abs(gradient).max() <= 1e-6 * size:
-            return e.tolist(), totals.tolist()
-        move = -np.linalg.solve(curve, gradient)
-        part = 1.0
-        while (new := at(e + part * move))[0] > value + 1e-4 * part * float(gradient @ move):
-            part /= 2
-            if part < 1e-9:  # the sums' rounding hides any further descent
-                return e.tolist(), totals.tolist()
-        e = e + part * move
-        value, gradient, curve, totals = new
-    raise RuntimeError(f"mixing rates do not settle: gaps {((totals - goal) / np.maximum(goal, 1)).tolist()}")
+def _step_sums(members: DataFrame, path: list[tuple[float, list[float]]], max_rate: float) -> tuple[np.ndarray, float, float]:
+    """After the last step of ``path``: the domains' tokens, the squared distance of the rates
+    from 1, and the squared move of the last step, both weighted by tokens."""
+    (step, residual), n = path[-1], len(path[-1][1])
+    last = F.array(*(F.lit(float(x)) for x in residual))
+    rows = members.where(F.col(_N) > 0).select(_P, _N, _rate(path[:-1], max_rate).alias("__from"))
+    rows = rows.withColumn("__to", _move(F.col("__from"), F.lit(float(step)), last, max_rate))
+    weight, moved, away = F.col(_N), F.col("__to") - F.col("__from"), F.col("__to") - 1.0
+    row = rows.agg(*[F.sum(F.col("__to") * weight * F.get(_P, F.lit(i))) for i in range(n)], F.sum(weight * away * away), F.sum(weight * moved * moved)).first()
+    return np.array([x or 0.0 for x in row[:n]]), row[n] or 0.0, row[n + 1] or 0.0
+
+
+def _further(members: DataFrame, path: list[tuple[float, list[float]]], totals: list[float], goals: list[float], scale: list[float], max_rate: float, size: float) -> tuple[list[tuple[float, list[float]]], list[float]]:
+    """Steps of fitted lengths until the totals are close or the rates stand; the steps, and the totals."""
+    by, goal = np.array(scale), np.array(goals)
+    first, length, found = len(path), path[0][0] if path else 1.0, np.array(totals)
+    safe, seen = length, []
+    for _ in range(FURTHER):
+        residual = (found - goal) / by
+        for _ in range(20):
+            tried = [*path, (length, residual.tolist())]
+            new, away, moved = _step_sums(members, tried, max_rate)
+            value = float(((new - goal) ** 2 / (2 * by)).sum() + RIDGE / 2 * away)
+            if not seen or value <= max(seen[-BACK:]) * (1 + 1e-12):
+                break
+            length = max(safe, length / 4) if length > safe else length / 2
+        path, seen, change, found = tried, [*seen, value], (new - found) / by, new
+        if _close(found.tolist(), goals, size) or moved <= STILL**2 * size:
+            break
+        length = min(1 / RIDGE, max(safe, moved / float((by * change * change).sum() + RIDGE * moved)))
+    return path[first:], found.tolist()
 
 
 def fit_rates(members: DataFrame, goals: list[float], max_rate: float, steps: int = STEPS) -> Fit:
@@ -230,11 +210,11 @@ def fit_rates(members: DataFrame, goals: list[float], max_rate: float, steps: in
         if _close(totals, goals, size):
             break
         path.append([(t - g) / c for t, g, c in zip(totals, goals, scale, strict=True)])
-        totals = domain_tokens(members, _rate(path, step, max_rate), len(goals))
-    fit = Fit(path, step, max_rate, totals, goals)
+        totals = domain_tokens(members, _rate([(step, e) for e in path], max_rate), len(goals))
+    further: list[tuple[float, list[float]]] = []
     if not _close(totals, goals, size):
-        residuals, totals = fit_residuals(members, goals, scale, max_rate)
-        fit = Fit(path, step, max_rate, totals, goals, residuals)
+        further, totals = _further(members, [(step, e) for e in path], totals, goals, scale, max_rate, size)
+    fit = Fit(path, step, max_rate, totals, goals, further)
     if not _close(totals, goals, size):
         warnings.warn(f"mixing: rates of 0 to {max_rate} leave the domains' tokens {fit.gap:.1%} from their targets", stacklevel=2)
     return fit
