@@ -121,7 +121,8 @@ def _row_sums(batches: Iterable[pa.RecordBatch], target: Callable[[np.ndarray],
             raw[filled] += np.add.reduceat(w[found], starts)
         y = target(batch.column(1).to_numpy())
         p = sigmoid(raw)
-        error, bend = np.rint(_GRAIN * (p - y)), np.rint(_GRAIN * p * (1 - p))
+        # Slots of a row move together, so each one's curvature counts with the row's number of slots.
+        error, bend = np.rint(_GRAIN * (p - y)), np.rint(_GRAIN * p * (1 - p) * (sizes + 1))
         offset_curve += int(bend.sum())
         totals[_OFFSET] += int(error.sum())
         totals[_LOSS] += int(np.rint(_GRAIN * (np.logaddexp(0, raw) - y * raw)).sum())
@@ -211,7 +212,7 @@ def fit_in_tasks(rows: DataFrame, target: Callable[[np.ndarray], np.ndarray], me
                 break
             side = np.where(x != 0, np.sign(x), -np.sign(pull))
             part = min(1.0, 2 / np.abs(move).max())  # no weight moves by more than two at once
-            for _ in range(8):
+            for _ in range(20):
                 new = x + part * move
                 new[:-1] = np.where(new[:-1] * side[:-1] > 0, new[:-1], 0.0)
                 w_new = np.zeros(1 << BITS)
