@@ -91,7 +91,7 @@ def test_fit_does_not_depend_on_partitions(spark):
     rng = np.random.default_rng(3)
     rows = [([int(s) for s in np.sort(rng.integers(0, 60, 12))] + ([70] if k % 6 == 0 else []), int(k % 6 == 0 or rng.random() < 0.1)) for k in range(600)]
     df = spark.createDataFrame(rows, "slots array<int>, mark long")
-    fits = [fit_in_tasks(df.repartition(n), lambda marks: marks.astype(float), 0.25, 2.0, 12) for n in (1, 8, 32, 211)]
+    fits = [fit_in_tasks(df.repartition(n), lambda marks: marks.astype(float), 0.25, 2.0, 40) for n in (1, 8, 32, 211)]
     assert all(np.abs(w - fits[0][0]).max() < 1e-6 and abs(o - fits[0][1]) < 1e-6 for w, o in fits) and fits[0][0][70] > 1
     # The conditions of a minimum of the loss with its L1 term.
     slope = np.zeros(1 << BITS)
