@@ -81,11 +81,20 @@ def spearman_pairs(spark: SparkSession, folder: str) -> DataFrame:
     return rounded(correlation.spearman_pairs(dated(spark, folder), [*FULL, "sum_qty"]))
 
 
+def spearman_pairs_of_all_columns(spark: SparkSession, folder: str) -> DataFrame:
+    """The same for every numeric column."""
+    return rounded(correlation.spearman_pairs(dated(spark, folder), NUMERIC))
+
+
 def average_ranks(spark: SparkSession, folder: str) -> DataFrame:
     ranks = correlation.average_ranks(dated(spark, folder), ["c_nationkey", "line_cnt", "sum_qty"])
     return rounded(ranks)
 
 
+def average_ranks_of_all_columns(spark: SparkSession, folder: str) -> DataFrame:
+    return rounded(correlation.average_ranks(dated(spark, folder), NUMERIC))
+
+
 def correlation_matrix(spark: SparkSession, folder: str) -> DataFrame:
     pairs = correlation.pearson_pairs(dated(spark, folder), NUMERIC)
     return rounded(correlation.correlation_matrix(pairs, NUMERIC))
@@ -104,7 +113,7 @@ QUERIES = {
     for f in (
         monthly_psi, monthly_psi_plus_one, monthly_psi_of_baseline, psi_summary, monthly_sample, monthly_discrimination,
         monthly_discrimination_all_rows, split_psi, score_psi, score_psi_interpolated, stability_summary, pearson_pairs,
-        spearman_pairs, average_ranks, correlation_matrix, filled_pairs, max_correlation,
+        spearman_pairs, spearman_pairs_of_all_columns, average_ranks, average_ranks_of_all_columns, correlation_matrix, filled_pairs, max_correlation,
     )
 }
 
@@ -156,14 +165,19 @@ _FILLED_PAIRS = SAMPLES_SQL + f",\nfilled AS (SELECT {_FILLED} FROM samples),\nf
     for i, a in enumerate(NUMERIC)
     for b in NUMERIC[i + 1 :]
 ) + ")"
-_SPEARMAN_COLUMNS = [*FULL, "sum_qty"]
-_SPEARMAN = " UNION ALL ".join(
-    f"""SELECT '{a}' AS feature_1, '{b}' AS feature_2, corr(x, y) AS correlation, count(*) AS pair_count FROM (
+
+
+def _spearman(columns: list[str]) -> str:
+    return " UNION ALL ".join(
+        f"""SELECT '{a}' AS feature_1, '{b}' AS feature_2, corr(x, y) AS correlation, count(*) AS pair_count FROM (
       SELECT rank() OVER (ORDER BY {a}) + (count(*) OVER (PARTITION BY {a}) - 1)/2e0 AS x, rank() OVER (ORDER BY {b}) + (count(*) OVER (PARTITION BY {b}) - 1)/2e0 AS y
       FROM samples WHERE {a} IS NOT NULL AND {b} IS NOT NULL)"""
-    for i, a in enumerate(_SPEARMAN_COLUMNS)
-    for b in _SPEARMAN_COLUMNS[i + 1 :]
-)
+        for i, a in enumerate(columns)
+        for b in columns[i + 1 :]
+    )
+
+
+_SPEARMAN = _spearman([*FULL, "sum_qty"])
 _MATRIX = " UNION ALL ".join(
     f"SELECT '{a}' AS feature, "
     + ", ".join(
@@ -215,6 +229,8 @@ CHECKS = {
     ),
     "pearson_pairs": check(PAIRS_SQL, "SELECT *, 'pearson' AS method FROM pearson", ["correlation", "abs_correlation"]),
     "spearman_pairs": check(SAMPLES_SQL, f"SELECT *, abs(correlation) AS abs_correlation, 'spearman' AS method FROM ({_SPEARMAN})", ["correlation", "abs_correlation"]),
+    "spearman_pairs_of_all_columns": check(SAMPLES_SQL, f"SELECT *, abs(correlation) AS abs_correlation, 'spearman' AS method FROM ({_spearman(NUMERIC)})", ["correlation", "abs_correlation"]),
+    "average_ranks_of_all_columns": check(CELLS_SQL, f"SELECT feature, num, cum_n - n + (n+1)/2e0 AS rank FROM ranked WHERE feature IN ({', '.join(repr(c) for c in NUMERIC)})", ["num", "rank"]),
     "average_ranks": check(CELLS_SQL, "SELECT feature, num, cum_n - n + (n+1)/2e0 AS rank FROM ranked WHERE feature IN ('c_nationkey', 'line_cnt', 'sum_qty')", ["num", "rank"]),
     "correlation_matrix": check(PAIRS_SQL, _MATRIX, NUMERIC),
     "filled_pairs": check(_FILLED_PAIRS, "SELECT *, abs(correlation) AS abs_correlation FROM fp", ["correlation", "abs_correlation"]),

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterable, Sequence
 from dataclasses import dataclass
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -52,29 +53,45 @@ def prune_correlated(metrics: DataFrame, pairs: DataFrame, limit: float) -> dict
     """Greedy pruning of candidates: stable and strong features are kept first, and a
     feature goes when a kept one correlates above the limit. Returns who replaced it.
 
-    The walk is sequential over features (not rows); only pairs above the limit are
-    read, after both sides are known to be candidates.
+    The pairs stay in Spark; the driver holds one entry for each feature. In each round
+    the features without an open pair to an earlier one stay, and those that pair with
+    them go, until no pair is open. That is what a walk in order would keep.
     """
     candidates = metrics.where("decision = 'candidate'")
     order = candidates.orderBy("unstable", F.desc("iv"), "missing_rate", "feature").select("feature")
-    names = candidates.select("feature")
-    strong = (
-        both_directions(pairs.where(F.col("abs_correlation") > limit))
-        .join(names, "feature", "left_semi")
-        .join(names.withColumnRenamed("feature", "other"), "other", "left_semi")
+    names = [r.feature for r in order.collect()]
+
+    def places(chosen: Iterable[int]) -> DataFrame:
+        numbers = np.array(sorted(chosen), np.int64)
+        return local_frame(metrics, pa.table({"place": numbers, "feature": pa.array([names[k] for k in numbers], pa.string())}))
+
+    every = places(range(len(names)))
+    strong = both_directions(pairs.where(F.col("abs_correlation") > limit))
+    placed = strong.join(every.withColumnRenamed("place", "late"), "feature").join(
+        every.select(F.col("place").alias("early"), F.col("feature").alias("other")), "other"
     )
-    rivals: dict[str, set[str]] = {}
-    for row in strong.select("feature", "other").collect():
-        rivals.setdefault(row.feature, set()).add(row.other)
-    kept: list[str] = []
-    replaced: dict[str, str] = {}
-    for row in order.collect():
-        clash = next((k for k in kept if k in rivals.get(row.feature, ())), None)
-        if clash is None:
-            kept.append(row.feature)
-        else:
-            replaced[row.feature] = clash
-    return replaced
+    edges = stage(placed.where("early < late").select("early", "late").distinct())
+    undecided, kept, gone, left = set(range(len(names))), set(), set(), edges
+    while undecided:
+        waiting = {r.late for r in left.select("late").distinct().collect()}
+        free = undecided - waiting
+        kept |= free
+        undecided &= waiting
+        if not undecided:
+            break
+        beaten = left.join(places(free).select(F.col("place").alias("early")), "early", "left_semi")
+        lost = {r.late for r in beaten.select("late").distinct().collect()}
+        gone |= lost
+        undecided -= lost
+        still = places(undecided).select("place")
+        for end in ("early", "late"):
+            left = left.join(still.withColumnRenamed("place", end), end, "left_semi")
+        left = stage(left)
+    if not gone:
+        return {}
+    rivals = edges.join(places(kept).select(F.col("place").alias("early")), "early", "left_semi")
+    first = rivals.join(places(gone).select(F.col("place").alias("late")), "late", "left_semi").groupBy("late").agg(F.min("early").alias("early"))
+    return {names[r.late]: names[r.early] for r in first.orderBy("late").collect()}
 
 
 def selection_metrics(

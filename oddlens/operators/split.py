@@ -1,8 +1,9 @@
 """Time splits, stratified splits, folds and their summaries.
 
 Months are few, so split rules work on the month table; rows only receive a literal
-or joined label. Stratified splits rank rows by a hash with a range partitioned row
-number, never with one window per class.
+or joined label. Stratified splits cut each class by a hash of the IDs: a histogram of
+hashes shows where a cut lies, only the IDs around it are ranked, and rows are compared
+with the cut. Wide rows are never sorted.
 """
 
 from __future__ import annotations
@@ -13,8 +14,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from oddlens.functions.columns import ratio
-from oddlens.functions.ranking import global_row_number
+from oddlens.functions.ranking import prefix_sums
 from oddlens.operators.contract import ContractError
+from oddlens.sources.stages import stage
 
 
 def month_counts(df: DataFrame, month: str = "event_month", bad: Column | None = None) -> DataFrame:
@@ -105,6 +107,56 @@ def time_split(
     return label_rows(df, manifest, month)
 
 
+# Leading bits of the hash that the histogram of a cut counts by.
+_CUT_BITS = 12
+
+
+def _cut_key(id_cols: Sequence[str], seed: int) -> Column:
+    """What rows are cut by: the hash of the IDs, then the IDs."""
+    parts = [F.col(c).alias(f"id{k}") for k, c in enumerate(id_cols)]
+    return F.struct(F.xxhash64(F.lit(seed), *id_cols).alias("h"), *parts)
+
+
+def _class_cuts(df: DataFrame, target: str, id_cols: Sequence[str], seed: int, ranks: Column) -> DataFrame:
+    """``(__class, cuts)``: per class, the cut keys at the asked ranks.
+
+    ``ranks`` is an array of ranks, an expression of the class size ``total``. Each cut has
+    its ``place`` in that array, its key ``at`` and the number ``upto`` of rows up to it.
+    Two scans of target and IDs: a histogram of the leading bits of the hash (combined
+    map-side), then the rows in the slots that hold a cut, 1 in 4,096 of a class each. Rows
+    with equal IDs lie on one side of a cut. A null label is a class like any other.
+    """
+    keyed = df.select(F.col(target).alias("__class"), _cut_key(id_cols, seed).alias("__key"))
+    keyed = keyed.withColumn("__slot", F.shiftright(F.col("__key.h"), 64 - _CUT_BITS))
+    counts = stage(keyed.groupBy("__class", "__slot").agg(F.count("*").alias("n")))
+    whole = Window.partitionBy("__class")  # at most 4,096 rows
+    placed = counts.select(
+        "__class", "__slot", "n", F.sum("n").over(whole.orderBy("__slot")).alias("upto"), F.sum("n").over(whole).alias("total")
+    )
+    asked = placed.select("*", F.posexplode(ranks).alias("place", "rank"))
+    wanted = asked.where((F.col("rank") > F.col("upto") - F.col("n")) & (F.col("rank") <= F.col("upto")))
+    edges = stage(
+        wanted.select(
+            F.col("__class").alias("__of"), F.col("__slot").alias("__in"), "place", "rank", (F.col("upto") - F.col("n")).alias("before")
+        )
+    )
+    near = F.col("__class").eqNullSafe(F.col("__of")) & (F.col("__slot") == F.col("__in"))
+    inside = keyed.join(edges, near, "left_semi").groupBy("__class", "__slot", "__key").agg(F.count("*").alias("n"))
+    upto = F.col("before") + F.col("cum_n")
+    hits = (
+        prefix_sums(inside, ["__class", "__slot"], ["__key"], ["n"])
+        .join(edges, near)
+        .where((F.col("rank") <= upto) & (F.col("rank") > upto - F.col("n")))
+    )
+    cut = F.struct("place", F.col("__key").alias("at"), upto.alias("upto"))
+    return stage(hits.groupBy("__class").agg(F.sort_array(F.collect_list(cut)).alias("cuts")))  # few cuts a class
+
+
+def _with_cuts(df: DataFrame, target: str, cuts: DataFrame) -> DataFrame:
+    """Rows with the cuts of their class; the written size of ``cuts`` lets Spark broadcast it."""
+    return df.join(cuts, F.col(target).eqNullSafe(F.col("__class")), "left")
+
+
 def stratified_test(
     df: DataFrame,
     target: str,
@@ -115,24 +167,37 @@ def stratified_test(
     """Label rows train / test with the same share per class (seeded, repeatable).
 
     Each class gives round(n·ratio) rows, at least one and never all of them. Rows
-    without a label stay in train.
+    without a label stay in train. Rows with equal IDs stay together, so repeated IDs
+    at the cut can make the test set larger; where they would take all, they stay out.
     """
-    hashed = df.withColumn("__h", F.xxhash64(F.lit(seed), *id_cols))
-    ranked = global_row_number(hashed, ["__h", *id_cols], [target])
-    asked = F.bround(F.col("tot_n") * F.lit(test_ratio))
-    size = F.when(F.col("tot_n") >= 2, F.greatest(F.lit(1), F.least(asked, F.col("tot_n") - 1))).otherwise(0)
-    label = F.when(F.col(target).isNotNull() & (F.col("rn") <= size), "test").otherwise("train")
-    return ranked.withColumn("dataset", label).drop("__h", "rn", "tot_n")
+    total = F.col("total")
+    asked = F.bround(total * F.lit(test_ratio)).cast("long")
+    size = F.when(total >= 2, F.greatest(F.lit(1), F.least(asked, total - 1))).otherwise(0)
+    sizes = F.array(size.cast("long"), total)  # the last one's count is that of the class
+    cut, last = F.col("cuts")[0], F.element_at("cuts", -1)
+    key = _cut_key(id_cols, seed)
+    is_test = (key < cut["at"]) | ((key == cut["at"]) & (cut["upto"] < last["upto"]))
+    chosen = F.col(target).isNotNull() & (F.size("cuts") == 2) & is_test
+    label = F.when(chosen, "test").otherwise("train")
+    cuts = _class_cuts(df, target, id_cols, seed, sizes)
+    return _with_cuts(df, target, cuts).select(*[F.col(f"`{c}`") for c in df.columns], label.alias("dataset"))
 
 
 def stratified_folds(
     df: DataFrame, target: str, id_cols: Sequence[str], folds: int = 3, seed: int = 42
 ) -> DataFrame:
-    """Add ``fold`` 1..k, dealt round-robin inside each class in hash order."""
-    hashed = df.withColumn("__h", F.xxhash64(F.lit(seed), *id_cols))
-    ranked = global_row_number(hashed, ["__h", *id_cols], [target])
-    fold = ((F.col("rn") - 1) % folds + 1).cast("int")
-    return ranked.withColumn("fold", fold).drop("__h", "rn", "tot_n")
+    """Add ``fold`` 1..k: parts of each class in hash order whose sizes differ by one row at most.
+
+    Rows without a label are a class of their own; rows with equal IDs stay together.
+    """
+    total = F.col("total")
+    share, rest = F.floor(total / F.lit(folds)), total % folds
+    ranks = F.array(*[(share * k + F.least(rest, F.lit(k))).cast("long") for k in range(1, folds)])
+    key = _cut_key(id_cols, seed)
+    passed = F.size(F.filter("cuts", lambda cut: cut["at"] < key))
+    fold = F.greatest(F.lit(0), F.coalesce(passed, F.lit(0))) + 1
+    cuts = _class_cuts(df, target, id_cols, seed, ranks)
+    return _with_cuts(df, target, cuts).select(*[F.col(f"`{c}`") for c in df.columns], fold.cast("int").alias("fold"))
 
 
 def rolling_folds(

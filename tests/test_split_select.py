@@ -1,3 +1,6 @@
+import random
+from collections import Counter
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -86,3 +89,57 @@ def test_pruning_follows_the_greedy_walk(spark):
     ).select("feature_1", "feature_2", F.col("r").alias("correlation"), F.col("r").alias("abs_correlation"))
     # b goes for a; c stays since b is gone; d is unstable, comes last and goes for c
     assert select.prune_correlated(metrics, pairs, 0.8) == {"b": "a", "d": "c"}
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_pruning_of_random_graphs_is_the_greedy_walk(spark, seed):
+    draw = random.Random(seed)
+    n = 25
+    names = [f"f{k:02d}" for k in range(n)]
+    shuffled = draw.sample(names, n)  # from the strongest to the weakest
+    metrics = spark.createDataFrame(
+        [(f, k > 18, 1 - k / 100, 0.0, "candidate") for k, f in enumerate(shuffled)],
+        "feature string, unstable boolean, iv double, missing_rate double, decision string",
+    )
+    rows = [(a, b, draw.random()) for i, a in enumerate(names) for b in names[i + 1 :]]
+    pairs = spark.createDataFrame(rows, "feature_1 string, feature_2 string, correlation double").withColumn("abs_correlation", F.col("correlation"))
+    strong = {frozenset((a, b)) for a, b, r in rows if r > 0.8}
+    kept, replaced = [], {}
+    for f in shuffled:
+        clash = next((k for k in kept if frozenset((k, f)) in strong), None)
+        if clash is None:
+            kept.append(f)
+        else:
+            replaced[f] = clash
+    assert replaced and select.prune_correlated(metrics, pairs, 0.8) == replaced
+    assert select.prune_correlated(metrics, pairs, 1.1) == {}
+    assert select.prune_correlated(metrics.limit(0), pairs, 0.8) == {}
+
+
+def test_cuts_are_exact_and_leave_wide_rows_unsorted(spark):
+    rows = [(k, "x" * 20, ["a", "b", None][min(k % 7, 2)]) for k in range(5000)] + [(9000, "x", "c"), (9001, "x", "d"), (9002, "x", "d")]
+    df = spark.createDataFrame(rows, "id long, wide string, y string").repartition(9)
+    sizes = Counter(r[2] for r in rows)
+    done = split.stratified_test(df, "y", ["id"], 0.3)
+    tests = Counter(r.y for r in done.where("dataset = 'test'").collect())
+    assert tests == {y: max(1, min(round(n * 0.3), n - 1)) for y, n in sizes.items() if y is not None and n > 1}
+    folds = split.stratified_folds(df, "y", ["id"], 4)
+    found = Counter((r.y, r.fold) for r in folds.collect())
+    assert sum(found.values()) == len(rows)
+    for y, n in sizes.items():
+        assert [found[y, k + 1] for k in range(4)] == [n // 4 + (k < n % 4) for k in range(4)]
+    assert done.columns == [*df.columns, "dataset"] and folds.columns == [*df.columns, "fold"]
+    assert split.stratified_folds(df, "y", ["id"], 1).where("fold = 1").count() == len(rows)
+    for plan in (done, folds):
+        text = plan._jdf.queryExecution().executedPlan().toString()
+        assert "rangepartitioning" not in text and "Window" not in text
+
+
+def test_repeated_ids_stay_together(spark):
+    df = spark.createDataFrame([(k // 50, 1) for k in range(500)] + [(77, 0)] * 6, "id long, y int")
+    done = split.stratified_test(df, "y", ["id"], 0.2)
+    assert done.groupBy("y", "id").agg(F.count_distinct("dataset").alias("n")).where("n > 1").count() == 0
+    assert done.where("dataset = 'test' and y = 1").count() == 100 and done.where("dataset = 'test' and y = 0").count() == 0
+    folds = split.stratified_folds(df, "y", ["id"], 3)
+    assert folds.groupBy("y", "id").agg(F.count_distinct("fold").alias("n")).where("n > 1").count() == 0
+    assert split.stratified_test(df.limit(0), "y", ["id"]).count() == 0

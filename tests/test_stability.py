@@ -1,7 +1,10 @@
 import math
 import random
 
+import numpy as np
+import pandas as pd
 import pytest
+from pyspark.sql import functions as F
 
 from oddlens.functions.columns import is_bad
 from oddlens.operators import binning, correlation, stability
@@ -71,3 +74,38 @@ def test_perfect_twins_are_left_out_of_the_maximum(spark):
     rows = [("a", "b", 1.0, 1.0), ("a", "c", -0.4, 0.4)]
     pairs = spark.createDataFrame(rows, "feature_1 string, feature_2 string, correlation double, abs_correlation double")
     assert {r.feature: r.max_correlation for r in correlation.max_correlation(pairs).collect()} == {"a": 0.4, "b": 0.0, "c": 0.4}
+
+
+def test_many_columns_with_nulls_take_one_pass(spark):
+    draw = np.random.default_rng(5)
+    n, wide = 400, 14  # 91 pairs: more than one aggregation holds
+    values = np.round(draw.normal(size=(n, wide)).cumsum(axis=1), 1) + 1e6
+    values[draw.random((n, wide)) < np.linspace(0, 0.4, wide)] = np.nan
+    values[:, 3], values[:, 7] = 2.5, np.nan
+    local = pd.DataFrame(values, columns=[f"f{k}" for k in range(wide)])
+    df = spark.createDataFrame(local).repartition(5)
+    for method, pairs in (("pearson", correlation.pearson_pairs), ("spearman", correlation.spearman_pairs)):
+        found = {(r.feature_1, r.feature_2): r for r in pairs(df, list(local)).collect()}
+        for i, a in enumerate(local):
+            for b in list(local)[i + 1 :]:
+                both = local[[a, b]].dropna()
+                if len(both) < 2:
+                    assert (a, b) not in found
+                    continue
+                assert found[a, b].pair_count == len(both)
+                both = both.rank() if method == "spearman" else both
+                exact = 0.0 if "f3" in (a, b) else both[a].corr(both[b])
+                assert found[a, b].correlation == pytest.approx(exact, abs=1e-7)
+    plan = correlation.pearson_pairs(df, list(local))._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("MapInArrow") == 1
+
+
+def test_both_ways_of_summing_agree(spark):
+    df = _frame(spark).select((F.col("x") - 1).alias("x0"), F.col("z").alias("x1"), F.when(F.col("id") % 3 > 0, F.col("y") - 0.3).alias("x2"))
+    pairs = [(0, 1), (0, 2), (1, 2)]
+    one, other = (sorted(tuple(r) for r in f.select("i", "j", "n", "sx", "sy", "qx", "qy", "c").collect())
+                  for f in (correlation._pair_sums(df, pairs, {1}), correlation.gram_sums(df)))
+    # A column without nulls gives its own sums, which a pair with nulls does not use.
+    assert [r[:3] for r in one] == [r[:3] for r in other]
+    assert all(a == pytest.approx(b) for a, b in zip(one, other, strict=True))
+    assert correlation.gram_sums(df.limit(0)).count() == 0
