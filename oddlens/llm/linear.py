@@ -175,7 +175,6 @@ def fit_in_tasks(rows: DataFrame, target: Callable[[np.ndarray], np.ndarray], me
     session = rows.sparkSession
     narrow = rows.select("slots", "mark")
     few = narrow.coalesce(max(1, session.sparkContext.defaultParallelism))  # fewer partial sums to move
-    w, offset = np.zeros(1 << BITS), float(logit(mean))
 
     def sums(w: np.ndarray, offset: float, chosen: np.ndarray | None) -> tuple[float, np.ndarray, np.ndarray]:
         """The loss, and slopes and curvatures of all slots and, last, of the offset."""
@@ -193,6 +192,17 @@ def fit_in_tasks(rows: DataFrame, target: Callable[[np.ndarray], np.ndarray], me
         out[:, np.where(slot[kept] == _OFFSET, 1 << BITS, slot[kept])] = np.array([c[kept] for c in columns]) / _GRAIN
         return loss, out[0], out[1]
 
+    return minimise(sums, mean, l1, passes)
+
+
+#: The loss, and slopes and curvatures of all slots and, last, of the offset, at weights and an offset;
+#: where slots are given, only theirs need be right.
+Sums = Callable[[np.ndarray, float, np.ndarray | None], tuple[float, np.ndarray, np.ndarray]]
+
+
+def minimise(sums: Sums, mean: float, l1: float, passes: int) -> tuple[np.ndarray, float]:
+    """Weights and offset of least loss with an L1 term, from its sums; see ``fit_in_tasks``."""
+    w, offset = np.zeros(1 << BITS), float(logit(mean))
     chosen = np.empty(0, np.int64)
     for _ in range(_ROUNDS):
         loss, slope, curve = sums(w, offset, None)

@@ -1,6 +1,9 @@
+import math
+
 import numpy as np
 
-from oddlens.llm.quality import _slot, co_train, content_slots, page_features, quality_scores, share_slots
+from oddlens.llm.linear import BITS
+from oddlens.llm.quality import BINS, _limits, _packed, _slot, _text_sums, co_train, content_slots, page_features, quality_scores, share_slots
 
 DATA = "/root/testdata/sf0.01"
 
@@ -53,3 +56,36 @@ def test_the_commonest_word_is_seen_wherever_it_is():
     share = words.count("spam") / 1000
     for text in (" ".join(words), " ".join(["first", *words])):
         assert _slot(f" common {int(20 * share)}") in share_slots(text)
+
+
+def test_the_result_does_not_depend_on_partitions(spark):
+    docs, labels = (spark.read.parquet(f"{DATA}/{t}.parquet") for t in ("documents", "labels"))
+    one, other = ({r.doc_id: r.score for r in quality_scores(docs.repartition(n), labels).collect()} for n in (1, 32))
+    assert len(one) == docs.count() and all(abs(one[k] - other[k]) < 1e-6 for k in one)
+
+
+def test_limits_give_a_share_or_stay_certain():
+    sure = math.log(9)
+    counts = np.zeros((2, BINS))
+    counts[0, [0, 100, -1]] = 40, 930, 30  # log-odds -12, -7, 12
+    counts[1, BINS // 2] = 1000
+    (low, high), (least, most) = _limits(counts.ravel(), 0.05)
+    assert -7 < low < -6.9 and high == sure  # 5 % are below bin 101; above, fewer than 5 % are certain
+    assert (least, most) == (-sure, sure)
+
+
+def test_sums_of_parts_are_the_sum_of_all():
+    rng = np.random.default_rng(4)
+    slots = [rng.integers(0, 500, rng.integers(0, 9)).astype(np.int32) for _ in range(90)]
+    pages, marks = rng.normal(size=(90, 3)), rng.integers(-1, 2, 90)
+    weights = np.zeros(1 << BITS)
+    weights[:500] = rng.normal(size=500)
+    whole = _text_sums(_packed(slots, pages), marks, weights, 0.3)
+    parts = [_text_sums(_packed(slots[a : a + 20], pages[a : a + 20]), marks[a : a + 20], weights, 0.3) for a in range(0, 90, 20)]
+    assert (whole == sum(parts)).all()
+    used = [k for k in range(90) if marks[k] >= 0]
+    error = {k: 1 / (1 + math.exp(-0.3 - weights[slots[k]].sum())) - marks[k] for k in used}
+    slope = np.zeros(1 << BITS)
+    for k in used:
+        np.add.at(slope, slots[k], error[k])
+    assert np.allclose(whole[1 : 1 + (1 << BITS)] / (1 << 24), slope, atol=1e-5)
