@@ -200,11 +200,11 @@ def fit_in_tasks(rows: DataFrame, target: Callable[[np.ndarray], np.ndarray], me
 Sums = Callable[[np.ndarray, float, np.ndarray | None], tuple[float, np.ndarray, np.ndarray]]
 
 
-def minimise(sums: Sums, mean: float, l1: float, passes: int) -> tuple[np.ndarray, float]:
+def minimise(sums: Sums, mean: float, l1: float, passes: int, rounds: int = _ROUNDS) -> tuple[np.ndarray, float]:
     """Weights and offset of least loss with an L1 term, from its sums; see ``fit_in_tasks``."""
     w, offset = np.zeros(1 << BITS), float(logit(mean))
     chosen = np.empty(0, np.int64)
-    for _ in range(_ROUNDS):
+    for _ in range(rounds):
         loss, slope, curve = sums(w, offset, None)
         moved = np.flatnonzero((w != 0) | (np.abs(slope[:-1]) > l1 * (1 + 1e-9)))
         if len(np.setdiff1d(moved, chosen, assume_unique=True)) == 0:

@@ -179,15 +179,20 @@ class QualityModel:
 _GRAIN = float(1 << 24)
 
 
-def _text_sums(docs: _Docs, marks: np.ndarray, weights: np.ndarray, offset: float) -> np.ndarray:
-    """Loss, slopes and curvatures (slots, then the offset) of the text view over documents marked 0 or 1."""
+def _text_sums(docs: _Docs, marks: np.ndarray, weights: np.ndarray, offset: float, chosen: np.ndarray | None = None) -> np.ndarray:
+    """Loss, slopes and curvatures (slots, then the offset) of the text view over documents marked
+    0 or 1; slots that are not chosen give zeros."""
     taught = marks >= 0
     sizes, found, y = docs[0][taught], docs[1][np.repeat(taught, docs[0])], marks[taught]
     raw = _text_logits(weights, offset, sizes, found)
     p = sigmoid(raw)
     # Slots of a document move together, so each one's curvature counts with their number.
     parts = [np.rint(_GRAIN * (p - y)), np.rint(_GRAIN * p * (1 - p) * (sizes + 1))]
-    spread = [[np.bincount(found, weights=np.repeat(v, sizes), minlength=1 << BITS), [v.sum()]] for v in parts]
+    kept = np.ones(1 << BITS, bool)
+    if chosen is not None:
+        kept[:] = False
+        kept[chosen] = True
+    spread = [[np.bincount(found, weights=np.repeat(v, sizes), minlength=1 << BITS) * kept, [v.sum()]] for v in parts]
     return np.concatenate([[np.rint(_GRAIN * (np.logaddexp(0, raw) - y * raw)).sum()], *(x for part in spread for x in part)])
 
 
@@ -200,17 +205,18 @@ def _page_sums(docs: _Docs, for_text: np.ndarray, for_page: np.ndarray) -> np.nd
     return np.concatenate([counts, [len(r) for r in rows], *(r.sum(axis=0) for r in rows), (taught.T @ taught).ravel()]).astype(float)
 
 
-def _fit(total: np.ndarray, text_sums: Callable[[np.ndarray, float], np.ndarray], held: _Docs, labels: np.ndarray) -> Views:
-    """Both views from their sums, calibrated on the held documents."""
+def _fit(total: np.ndarray, text_sums: Callable[[np.ndarray, float, np.ndarray | None], np.ndarray], held: _Docs, labels: np.ndarray) -> Views:
+    """Both views from their sums, calibrated on the held documents. One pass over all slots shows
+    which ones the L1 term lets move; later passes return the sums of these only."""
     width = held[2].shape[1]
     n, m, means, products = total[:2], total[2:4], total[4 : 4 + 2 * width].reshape(2, -1) / total[2:4, None], total[4 + 2 * width :]
 
-    def sums(weights: np.ndarray, offset: float, _: np.ndarray | None) -> tuple[float, np.ndarray, np.ndarray]:
-        found = text_sums(weights, offset) / _GRAIN
+    def sums(weights: np.ndarray, offset: float, chosen: np.ndarray | None) -> tuple[float, np.ndarray, np.ndarray]:
+        found = text_sums(weights, offset, chosen) / _GRAIN
         return float(found[0]), *found[1:].reshape(2, -1)
 
     share = float(n[1] / n.sum())
-    weights, offset = minimise(sums, share, L1 * float(np.sqrt(n.sum() * share * (1 - share))), PASSES)
+    weights, offset = minimise(sums, share, L1 * float(np.sqrt(n.sum() * share * (1 - share))), PASSES, rounds=1)
     spread = (products.reshape(width, width) - (means * m[:, None]).T @ means) / m.sum() + RIDGE * np.eye(width)
     slope = np.linalg.solve(spread, means[1] - means[0])
     page = np.append(slope, np.log(m[1] / m[0]) - means.mean(axis=0) @ slope)
@@ -246,8 +252,8 @@ def _pseudo_page(views: Views, limits: np.ndarray, docs: _Docs) -> np.ndarray:
     return _page_sums(docs, by_page, by_text)
 
 
-def _pseudo_text(views: Views, limits: np.ndarray, weights: np.ndarray, offset: float, docs: _Docs) -> np.ndarray:
-    return _text_sums(docs, _marks(views, limits, docs)[1], weights, offset)
+def _pseudo_text(views: Views, limits: np.ndarray, weights: np.ndarray, offset: float, chosen: np.ndarray | None, docs: _Docs) -> np.ndarray:
+    return _text_sums(docs, _marks(views, limits, docs)[1], weights, offset, chosen)
 
 
 #: Adds up a function's vectors, of the given length, over all unlabelled documents.
@@ -260,9 +266,9 @@ def _train(base: _Docs, labels: np.ndarray, held: _Docs, held_labels: np.ndarray
     for k in range(rounds):
         last, limits = views, _limits(gather(partial(_histogram, views), 2 * BINS), GIVEN * (k + 1))
 
-        def text_sums(weights: np.ndarray, offset: float, last: Views = last, limits: np.ndarray = limits) -> np.ndarray:
-            more = gather(partial(_pseudo_text, last, limits, weights, offset), 2 * (1 << BITS) + 3)
-            return _text_sums(base, labels, weights, offset) + PSEUDO * more
+        def text_sums(weights: np.ndarray, offset: float, chosen: np.ndarray | None, last: Views = last, limits: np.ndarray = limits) -> np.ndarray:
+            more = gather(partial(_pseudo_text, last, limits, weights, offset, chosen), 2 * (1 << BITS) + 3)
+            return _text_sums(base, labels, weights, offset, chosen) + PSEUDO * more
 
         views = _fit(own + PSEUDO * gather(partial(_pseudo_page, last, limits), len(own)), text_sums, held, held_labels)
     return QualityModel(views, fit_dense(views.logits(held).T, held_labels, ridge=0.1))
