@@ -96,6 +96,20 @@ def test_history_counts_equal_the_scores_themselves(spark):
     assert cells == {tuple(r) for r in expected.collect()}
 
 
+def test_a_task_holds_little_of_the_history():
+    import tracemalloc
+
+    import numpy as np
+
+    draw = np.random.default_rng(1)
+    parts = (draw.integers(0, 300_000, 16_384) for _ in range(400))  # 6.5 million scores
+    tracemalloc.start()
+    counted = sum(int(n.sum()) for _, n in boost.counted_slices(parts))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert counted == 400 * 16_384 and peak < 40e6
+
+
 def test_growing_stops_by_itself(spark):
     params = boost.BoosterParams(max_depth=2, num_boost_round=1000, early_stopping_rounds=12, min_data_in_leaf=5, learning_rate=0.3)
     trained = boost.fit_booster(_assembled(spark), ["amount", "code"], is_bad("target"), params)
