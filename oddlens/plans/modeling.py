@@ -60,7 +60,7 @@ def run_model(
     scored = stage(boost.score_rows(matrix, model), partition_by=["dataset"])
     ranked = stage(evaluate.rank_scores(scored, "bad_probability", bad, ids, ["dataset"]))
     importance = stage(review.gain_shares(boost.feature_importance(model, matrix)))
-    metrics = stage(evaluate.metrics_by_split(scored, "bad_probability", bad, ids))
+    metrics = stage(evaluate.metrics_by_split(scored, "bad_probability", bad, ids, ranked=ranked))
     lift = stage(evaluate.lift_table(ranked, ["dataset"]))
     monthly = stage(evaluate.monthly_performance(scored, "bad_probability", bad, ids))
     dimensions = ["event_month", *evaluate.detect_group_columns(scored.where("dataset = 'train'"), contract, kept)]
