@@ -96,6 +96,29 @@ def test_history_counts_equal_the_scores_themselves(spark):
     assert cells == {tuple(r) for r in expected.collect()}
 
 
+def test_permuted_scores_leave_a_task_as_counts(spark):
+    df = _assembled(spark, 20_000)
+    trained = boost.fit_booster(df, ["amount", "code"], is_bad("target"), boost.BoosterParams(max_depth=2, num_boost_round=2))
+    df = df.withColumn("dataset", F.when(F.col("id") == 7, "single").when(F.col("id") == 9, F.lit(None)).otherwise(F.col("dataset")))
+    pairs = boost.shifted_rows(df, trained, is_bad("target"), ["id"], 42, "dataset")
+    sides = [{(r.dataset, tuple(r.x)): r.n for r in pairs.groupBy("dataset", F.col(c).alias("x")).agg(F.count("*").alias("n")).collect()} for c in ("__x", "__other")]
+    assert sides[0] == sides[1] and sum(sides[0].values()) == 19_999
+    cells = boost.permuted_counts(pairs, trained, "dataset")
+    total = cells.agg(F.sum("n").alias("n"), F.count("*").alias("rows")).first()
+    assert total.n == 3 * 19_999 and total.rows < 6_000
+
+
+def test_seeds_share_the_training_rows(spark, monkeypatch):
+    df = _assembled(spark)
+    written = []
+    own = boost.stage
+    monkeypatch.setattr(boost, "stage", lambda table, **options: written.append(table.columns) or own(table, **options))
+    params = boost.BoosterParams(max_depth=2, num_boost_round=2)
+    found = boost.seed_stability(df, ["amount", "code"], is_bad("target"), ["id"], params, seeds=2).collect()
+    assert len(found) == 4 and written.count(["features", "dataset", "label"]) == 1
+    assert written.count(["dataset", "id", "__bad", "bad_probability"]) == 2
+
+
 def test_a_task_holds_little_of_the_history():
     import tracemalloc
 
