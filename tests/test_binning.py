@@ -110,3 +110,30 @@ def test_long_feature_lists_are_batched(spark, monkeypatch):
     wide = df.withColumns({f"x{i}": F.col("x") + i for i in range(4)})
     table = counts.value_counts(wide, names, is_bad("y")).groupBy("feature").agg(F.sum("n").alias("n")).collect()
     assert {r.feature: r.n for r in table} == {n: 400 for n in names}
+
+
+def test_ks_buckets_rank_only_the_rows_at_a_cut(spark, monkeypatch):
+    import numpy as np
+    from oddlens.functions import ranking
+
+    draw = np.random.default_rng(3)
+    n = 600
+    data = pd.DataFrame({"id": draw.permutation(n), "few": draw.integers(0, 3, n).astype(float), "many": draw.random(n), "same": 1.0, "bad": (draw.random(n) < 0.3).astype(int)})
+    data.loc[data.id % 10 == 0, "few"] = None
+    df = spark.createDataFrame(data.astype(object).where(data.notna(), None), "id long, few double, many double, same double, bad int").repartition(5)
+    written = []
+    for module in (ranking, discrimination):
+        own = module.stage
+        monkeypatch.setattr(module, "stage", lambda table, own=own: written.append(table.count()) or own(table))
+    names = ["few", "many", "same"]
+    found = discrimination.ks_buckets(df, {f: NumericBins(()) for f in names}, F.col("bad"), ["id"], 7)
+    got = {(r.feature, r.bucket): (r.score_min, r.score_max, r.sample_count, r.bad_count) for r in found.collect()}
+    expected = {}
+    for f in names:
+        rows = data.dropna(subset=[f]).sort_values([f, "id"], ascending=[False, True])
+        size = -(-len(rows) // 7)
+        for k in range(-(-len(rows) // size)):
+            part = rows.iloc[k * size : (k + 1) * size]
+            expected[f, k + 1] = (part[f].min(), part[f].max(), len(part), part.bad.sum())
+    # the value counts of `many` are as long as the table; cells (three per row) are never written
+    assert got == expected and max(written) <= n + 4
