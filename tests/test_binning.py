@@ -137,3 +137,18 @@ def test_ks_buckets_rank_only_the_rows_at_a_cut(spark, monkeypatch):
             expected[f, k + 1] = (part[f].min(), part[f].max(), len(part), part.bad.sum())
     # the value counts of `many` are as long as the table; cells (three per row) are never written
     assert got == expected and max(written) <= n + 4
+
+
+def test_monthly_discrimination_counts_the_cells_once(spark, monkeypatch):
+    df = spark.range(300).select(
+        F.col("id"), F.when(F.col("id") % 50 != 0, F.concat(F.lit("20240"), F.col("id") % 3 + 1)).alias("event_month"),
+        F.when(F.col("id") % 7 != 0, (F.col("id") % 11).cast("double")).alias("x"), (F.col("id") % 4 == 0).cast("int").alias("bad"),
+    )
+    scans = []
+    own = discrimination.score_cells
+    monkeypatch.setattr(discrimination, "score_cells", lambda *args: scans.append(1) or own(*args))
+    found = discrimination.monthly_discrimination(df, {"x": NumericBins((5.0,))}, F.col("bad"), ["id"], include_missing=True)
+    rows = {r.event_month: (r.sample_count, r.bad_count) for r in found.collect()}
+    expected = df.where("event_month is not null").groupBy("event_month").agg(F.count("*").alias("n"), F.sum("bad").alias("b"))
+    assert rows == {r.event_month: (r.n, r.b) for r in expected.collect()}
+    assert len(scans) == 2  # the counts, and the rows at the cut of the lift
