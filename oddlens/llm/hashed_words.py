@@ -7,6 +7,7 @@ buffer of texts and their starts are hashed without a step of Python for each.
 
 from __future__ import annotations
 
+import string
 from collections.abc import Iterable, Iterator, Sequence
 from functools import cached_property
 
@@ -18,6 +19,8 @@ from oddlens.llm.linear import BITS, PREFIXES
 BUFFER = 2_000_000
 
 IS_WORD = np.array([48 <= b <= 57 or 97 <= b <= 122 or b >= 128 for b in range(256)])
+_BLANK = np.isin(np.arange(256), list(b" \t\n\x0b\x0c\r\x1c\x1d\x1e\x1f"))
+_INNER = ~_BLANK & ~np.isin(np.arange(256), list(string.punctuation.encode()))
 _LEAD = np.array([b & 0xC0 != 0x80 for b in range(256)])
 _rng = np.random.default_rng(11)
 _BYTES = _rng.integers(1, 1 << 63, 256, dtype=np.uint64)
@@ -43,20 +46,29 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(32))
 
 
+def _runs(inside: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    edges = np.flatnonzero(inside[1:] != inside[:-1]) + 1
+    if len(inside) and inside[0]:
+        edges = np.concatenate([[0], edges])
+    return edges[::2], edges[1::2]
+
+
 class Scan:
     """The words of one buffer of lower-case UTF-8 that ends with a byte outside words."""
 
     def __init__(self, data: bytes):
         self.data = np.frombuffer(data, np.uint8)
-        inside = IS_WORD[self.data]
-        edges = np.flatnonzero(inside[1:] != inside[:-1]) + 1
-        if len(inside) and inside[0]:
-            edges = np.concatenate([[0], edges])
-        self.starts, self.ends = edges[::2], edges[1::2]
+        self.starts, self.ends = self._spans()
         up, self._down = _power(len(self.data))
         self._sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(_BYTES[self.data] * up[: len(self.data)], dtype=np.uint64)])
         self._leads = np.flatnonzero(_LEAD[self.data])
-        self._first = np.searchsorted(self._leads, self.starts)
+
+    def _spans(self) -> tuple[np.ndarray, np.ndarray]:
+        return _runs(IS_WORD[self.data])
+
+    @cached_property
+    def _first(self) -> np.ndarray:
+        return np.searchsorted(self._leads, self.starts)
 
     def _hash(self, starts: np.ndarray, ends: np.ndarray, kind: int) -> np.ndarray:
         return mixed((self._sums[ends] - self._sums[starts]) * self._down[starts] + _SALTS[kind])
@@ -82,6 +94,26 @@ class Scan:
         return self._leads[after] >= self.ends
 
 
+class TokenScan(Scan):
+    """The blank-separated tokens of a buffer, without the punctuation around them unless they are nothing else."""
+
+    def __init__(self, data: bytes):
+        super().__init__(data)
+        #: Hashes of the tokens as they stand.
+        self.whole = self._hash(self.starts, self.ends, 0)
+        inner = np.flatnonzero(_INNER[self.data])
+        i, j = np.searchsorted(inner, self.starts), np.searchsorted(inner, self.ends)
+        some = np.flatnonzero(j > i)
+        self.starts[some], self.ends[some] = inner[i[some]], inner[j[some] - 1] + 1
+
+    def _spans(self) -> tuple[np.ndarray, np.ndarray]:
+        return _runs(~_BLANK[self.data])
+
+    def only(self, chosen: np.ndarray) -> None:
+        """Leaves the chosen tokens; asked for before any hash of words or starts."""
+        self.starts, self.ends = self.starts[chosen], self.ends[chosen]
+
+
 def lowered(text: str | None) -> bytes:
     return (text or "").lower().encode("utf-8", "surrogatepass")
 
@@ -97,23 +129,23 @@ def _pieces(texts: Sequence[str | None]) -> Iterator[tuple[int, bytes]]:
         yield k, data[at:] if at else data
 
 
-def scans(texts: Sequence[str | None]) -> Iterator[tuple[Scan, np.ndarray, np.ndarray]]:
+def scans(texts: Sequence[str | None], kind: type[Scan] = Scan) -> Iterator[tuple[Scan, np.ndarray, np.ndarray]]:
     """Buffers of whole texts or parts of long ones: the scan, the end of each piece, and its text's number."""
     held: list[tuple[int, bytes]] = []
     size = 0
     for k, data in _pieces(texts):
         if held and size + len(data) > BUFFER:
-            yield _scan(held)
+            yield _scan(held, kind)
             held, size = [], 0
         held.append((k, data))
         size += len(data) + 1
     if held:
-        yield _scan(held)
+        yield _scan(held, kind)
 
 
-def _scan(held: list[tuple[int, bytes]]) -> tuple[Scan, np.ndarray, np.ndarray]:
+def _scan(held: list[tuple[int, bytes]], kind: type[Scan]) -> tuple[Scan, np.ndarray, np.ndarray]:
     ends = np.cumsum([len(d) + 1 for _, d in held])
-    return Scan(b"\n".join([d for _, d in held]) + b"\n"), ends, np.array([k for k, _ in held])
+    return kind(b"\n".join([d for _, d in held]) + b"\n"), ends, np.array([k for k, _ in held])
 
 
 def scan_slots(scan: Scan, ends: np.ndarray, numbers: np.ndarray) -> np.ndarray:
@@ -141,6 +173,29 @@ def slots_of(texts: Sequence[str | None]) -> tuple[np.ndarray, np.ndarray]:
     return text_rows([scan_slots(*s) for s in scans(texts)], len(texts))
 
 
+def token_slots(texts: Sequence[str | None]) -> tuple[np.ndarray, np.ndarray]:
+    """Hashed features of each text, one entry for each different token and each of its starts:
+    their numbers, and all slots, in the order of the tokens' first places."""
+    keys, owners, rows = [np.empty(0, np.uint64)], [np.empty(0, np.int64)], [np.empty((0, 1 + len(PREFIXES)), np.int32)]
+    for scan, ends, numbers in scans(texts, TokenScan):
+        owner = numbers[np.searchsorted(ends, scan.starts, "right")]
+        key = mixed(scan.whole + owner.astype(np.uint64) * np.uint64(_BASE))
+        first = np.sort(np.unique(key, return_index=True)[1])
+        scan.only(first)
+        row = np.full((len(first), 1 + len(PREFIXES)), -1, np.int32)
+        row[:, 0] = _slots(scan.words)
+        for k, (longer, found) in enumerate(scan.heads, 1):
+            row[longer, k] = _slots(found)
+        keys.append(key[first])
+        owners.append(owner[first])
+        rows.append(row)
+    owner, row = np.concatenate(owners), np.concatenate(rows)
+    if len(rows) > 2:  # a long text lies in several buffers
+        first = np.sort(np.unique(np.concatenate(keys), return_index=True)[1])
+        owner, row = owner[first], row[first]
+    return np.bincount(owner, weights=(row >= 0).sum(axis=1), minlength=len(texts)).astype(np.int64), row[row >= 0]
+
+
 def term_hashes(names: Sequence[str]) -> np.ndarray:
     """Hashes of named terms: a word, or '4 abcd' for the start of that length of a longer word."""
     found = np.empty(len(names), np.uint64)

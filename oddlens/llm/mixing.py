@@ -29,7 +29,7 @@ empty table gives an empty result; other columns are kept by ``mixed`` and not r
 from __future__ import annotations
 
 import warnings
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
@@ -39,7 +39,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from oddlens.llm.common import slices, written
-from oddlens.llm.linear import BITS, WordWeights, fit_sparse, hash_sample, new_slots, sigmoid, text_slots, tokens
+from oddlens.llm.hashed_words import summed, token_slots
+from oddlens.llm.linear import BITS, fit_sparse, hash_sample, sigmoid
 from oddlens.llm.quality import share_slots
 
 DOMAINS = ("high", "low", "toxic")
@@ -68,8 +69,9 @@ class DomainModel:
     offsets: np.ndarray
 
 
-def _both(text: str | None, known: dict) -> np.ndarray:
-    return np.concatenate([text_slots(text, known), np.array(share_slots(text), np.int32)])
+def _both(texts: Sequence[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Slots of the tokens and their starts of each text (their numbers, and all slots), and those of its shares."""
+    return *token_slots(texts), np.array([share_slots(t) for t in texts], np.int32)
 
 
 def domain_labels(labels: DataFrame) -> DataFrame:
@@ -83,9 +85,10 @@ def fit_domains(docs: DataFrame, labels: DataFrame, labelled: int = LABELLED) ->
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
 
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = new_slots()
         for texts, domains in (part for batch in batches for part in slices(batch)):
-            yield pa.RecordBatch.from_arrays([pa.array([_both(t, known) for t in texts], pa.list_(pa.int32())), pa.array(domains, pa.int32())], names=["slots", "domain"])
+            sizes, found, shares = _both(texts)
+            rows = [np.concatenate(x) for x in zip(np.split(found, np.cumsum(sizes)[:-1]), shares, strict=True)]
+            yield pa.RecordBatch.from_arrays([pa.array(rows, pa.list_(pa.int32())), pa.array(domains, pa.int32())], names=["slots", "domain"])
 
     marked = rows.join(F.broadcast(chosen), "doc_id").select("text", "domain")  # of bounded size
     found = marked.mapInArrow(features, "slots array<int>, domain int").toArrow()
@@ -109,18 +112,15 @@ def with_posteriors(docs: DataFrame, model: DomainModel) -> DataFrame:
         own = shared.value
         weights = np.zeros((len(own.domains), 1 << BITS))
         weights[:, own.places] = own.values
-        words = WordWeights(weights)
         for texts in batches:
-            posteriors, sizes = [], []
-            for text in texts:
-                one = np.ones(1)
+            posteriors: list[np.ndarray] = []
+            for part in (texts.iloc[a : a + 256].tolist() for a in range(0, len(texts), 256)):
+                p = np.ones((1, len(part)))
                 if len(own.domains) > 1:
-                    raw = words.score(tokens(text)) + weights[:, share_slots(text)].sum(axis=1) + own.offsets
-                    p = sigmoid(raw)
-                    one = p / p.sum()
-                posteriors.append(one.tolist())
-                sizes.append(len((text or "").split()))
-            yield pd.DataFrame({_P: posteriors, _N: sizes})
+                    sizes, found, shares = _both(part)
+                    p = sigmoid(summed(weights, sizes, found) + weights[:, shares].sum(axis=2) + own.offsets[:, None])
+                posteriors += list((p / p.sum(axis=0)).T)
+            yield pd.DataFrame({_P: posteriors, _N: [len((t or "").split()) for t in texts]})
 
     return docs.withColumn("__mix", member(F.col("text").cast("string"))).select("*", f"__mix.{_P}", f"__mix.{_N}").drop("__mix")
 

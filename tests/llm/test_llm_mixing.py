@@ -2,6 +2,8 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from oddlens.llm import hashed_words
+from oddlens.llm.linear import new_slots, text_slots
 from oddlens.llm.mixing import _N, _P, RIDGE, fit_rates, mixed, mixing_rates
 
 DATA = "/root/testdata/sf0.01"
@@ -94,3 +96,18 @@ def test_odd_tables(spark):
         assert mixed(docs, marks, {"high": 2.0, "low": 2.0, "toxic": 1.0}, max_rate=3.0).count() > 34
     assert mixing_rates(docs.limit(0), labels, shares).collect() == []
     assert mixed(docs.limit(0), labels, {"high": 1.0, "low": 1.0, "toxic": 1.0}).collect() == []
+
+
+def test_token_features_of_a_buffer_equal_those_of_single_tokens(monkeypatch):
+    texts = ["The end. The END, (the) end of übermäßig", None, "", " \n", "### -- word's word-s", "naïve naïvely, naïv", "long words again " * 40 + "and others"]
+    sizes, found = hashed_words.token_slots(texts)
+    assert sizes.tolist() == [len(text_slots(t, new_slots())) for t in texts] and sizes.sum() == len(found)
+    rows = np.split(found, np.cumsum(sizes)[:-1])
+    for text, row in zip(texts, rows, strict=True):
+        assert hashed_words.token_slots([text])[1].tolist() == row.tolist()
+    # The same word has the same slots in any text; a start of it is a feature of its own.
+    (one, two) = (set(hashed_words.token_slots([t])[1].tolist()) for t in ("(Ending!)", "x ending"))
+    assert one < two and len(one) == 3
+    monkeypatch.setattr(hashed_words, "BUFFER", 50)
+    cut = hashed_words.token_slots(texts)
+    assert cut[0].tolist() == sizes.tolist() and cut[1].tolist() == found.tolist()
