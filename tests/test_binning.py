@@ -152,3 +152,15 @@ def test_monthly_discrimination_counts_the_cells_once(spark, monkeypatch):
     expected = df.where("event_month is not null").groupBy("event_month").agg(F.count("*").alias("n"), F.sum("bad").alias("b"))
     assert rows == {r.event_month: (r.n, r.b) for r in expected.collect()}
     assert len(scans) == 2  # the counts, and the rows at the cut of the lift
+
+
+def test_chi_edges_read_the_rows_once(spark, monkeypatch):
+    rows = [(float(i % 250), int(i % 250 > 120 and i % 3 > 0)) for i in range(2000)] + [(None, 1), (float("nan"), 0)]
+    df = spark.createDataFrame(rows, "x double, y int").withColumn("same", F.lit(3.0)).withColumn("none", F.lit(None).cast("double"))
+    start = binning.fit_bins(df, ["x"], 100)
+    fine = binning.bin_counts(df, start, is_bad("y")).where("bin >= 0").toPandas()
+    fine["edge"] = [start["x"].edges[b] if b < len(start["x"].edges) else None for b in fine.bin]
+    monkeypatch.setattr(binning, "bin_counts", None)
+    found = binning.fit_bins(df, ["x", "same", "none"], 4, method="chi", bad=is_bad("y"))
+    assert list(found["x"].edges) == binning.chi_merge(fine, 4, 0.01)
+    assert found["none"].edges == ()
