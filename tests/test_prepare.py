@@ -35,6 +35,14 @@ def test_categories_can_be_dropped(spark):
     assert actions["channel"] == "drop_categorical" and plan.retained == ("amount",)
 
 
+def test_long_texts_are_counted_by_digest(spark):
+    df = spark.createDataFrame([("x" * 40,), ("x" * 40,), ("x" * 39 + "y",), ("short",), ("",), (None,)], "t string")
+    stats = prepare._value_stats(df, ["t"])
+    row = stats.first()
+    assert (row.row_count, row.value_count, row.unique_count, row.average_length) == (6, 5, 4, 25.0)
+    assert "sha2(" in stats._jdf.queryExecution().optimizedPlan().toString()
+
+
 def test_rare_categories_share_a_code(spark):
     rows = [(v,) for v, n in (("a", 30), ("b", 25), ("c", 3), ("d", 2)) for _ in range(n)]
     df = spark.createDataFrame(rows, "x string")
