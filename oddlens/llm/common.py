@@ -10,6 +10,9 @@ from collections.abc import Iterator
 from contextlib import contextmanager
 from pathlib import Path
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -93,3 +96,14 @@ def slices(batch, rows: int = 256):
     """Parts of an Arrow batch as column lists, so that only a few texts are Python objects at once."""
     for a in range(0, batch.num_rows, rows):
         yield [c.to_pylist() for c in batch.slice(a, rows).columns]
+
+
+def chunks(batch: pa.RecordBatch, texts: int, size: int) -> Iterator[pa.RecordBatch]:
+    """Parts of an Arrow batch with about ``size`` bytes in its column ``texts``, of one row at least."""
+    stops = np.cumsum(pc.fill_null(pc.binary_length(batch.column(texts)), 0).to_numpy().astype(np.int64))
+    a = 0
+    while a < len(stops):
+        before = stops[a - 1] if a else 0
+        b = max(a + 1, int(np.searchsorted(stops, before + size, side="right")))
+        yield batch.slice(a, b - a)
+        a = b

@@ -19,34 +19,50 @@ the library; an empty table gives no shard and no row.
 from __future__ import annotations
 
 import hashlib
+import json
 import os
-import unicodedata
 import zlib
 from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyarrow import fs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from oddlens.llm.common import shared_path, slices, written
+from oddlens.llm.common import chunks, shared_path, written
 
-#: Blank-separated parts, and words, that one worker remembers in each of two generations.
-PARTS, KNOWN = 300_000, 400_000
+#: Words that one worker remembers in each of two generations; UTF-8 bytes of texts (one text at least) encoded at once.
+KNOWN, CHUNK_BYTES = 300_000, 4_000_000
 NO_ID = -(1 << 63)
 
 
+#: A letter that no normalisation changes into anything but a letter, then a few closing marks.
+_CLOSED = "[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u0148\u014a-\u017e][.,;:!?|]{1,3}$"
+MARKS = ".,;:!?|"
+
+
+def _strung(flat: np.ndarray, sizes: np.ndarray, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The runs ``codes`` of ``flat``, which holds runs of the given sizes, one after another; their sizes."""
+    n = sizes[codes]
+    stops = np.cumsum(n)
+    starts = np.cumsum(sizes) - sizes
+    return flat[np.repeat(starts[codes] - stops + n, n) + np.arange(n.sum())], n
+
+
 class WordEncoder:
-    """Encodes texts part by part with the tokenizers library, remembering parts and words.
+    """Encodes texts part by part with the tokenizers library, remembering words.
 
     The vocabulary's normaliser folds white space and its pattern drops it, so no token
     and no normalisation reaches over a blank or a line end. Nor does one reach from a
     letter to a closing punctuation mark, so a word is encoded once for all its endings
     and, if it is of ASCII letters only, for all its cases (the library looks for added tokens
-    before it folds cases). New words go to the library many at a time; the
-    tokens that end a word tell them apart.
+    before it folds cases). A chunk's texts are split, and its different parts and words found,
+    by Arrow; only different words are Python objects. New words go to the library many at a
+    time; the tokens that end a word tell them apart. Lower-case ASCII letters pass the
+    normaliser and the pattern unchanged, so such words go to the model without them.
     """
 
     def __init__(self, definition: str):
@@ -54,65 +70,98 @@ class WordEncoder:
         from tokenizers import Tokenizer  # reads the variable when it is loaded
 
         self.tokenizer = Tokenizer.from_str(definition)
+        plain = json.loads(definition) | {"normalizer": None, "pre_tokenizer": {"type": "WhitespaceSplit"}, "added_tokens": []}
+        self.plain = Tokenizer.from_str(json.dumps(plain))
         vocabulary = self.tokenizer.get_vocab()
         self.dtype = np.dtype("<u2" if len(vocabulary) <= 1 << 16 else "<u4")
         self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
         self.ends[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
-        self.young: dict[str, bytes] = {}
-        self.old: dict[str, bytes] = {}
         self.words: dict[str, bytes] = {}
         self.old_words: dict[str, bytes] = {}
 
     def _learn(self, words: list[str]) -> None:
-        single = [w for w in words if w.isalpha() and w.isascii()]  # each becomes one run of tokens with one end
-        for a in range(0, len(single), 500):
-            some = single[a : a + 500]
-            ids = np.array(self.tokenizer.encode(" ".join(some), add_special_tokens=False).ids)
-            stops = np.flatnonzero(self.ends[ids]) + 1
-            data, width = ids.astype(self.dtype).tobytes(), self.dtype.itemsize
-            start = 0
-            for word, stop in zip(some, (stops * width).tolist(), strict=True):
+        lower, letters, others = [], [], []
+        for w in words:
+            (others if not w.isalpha() else lower if w.isascii() and w.islower() else letters).append(w)
+        runs = [(k, some[a : a + 500]) for k, some in ((self.plain, lower), (self.tokenizer, letters)) for a in range(0, len(some), 500)]
+        for tokenizer, some in runs:
+            ids = np.array(tokenizer.encode_batch_fast([" ".join(some)], add_special_tokens=False)[0].ids, dtype=self.dtype)
+            stops = (np.flatnonzero(self.ends[ids]) + 1) * self.dtype.itemsize
+            if len(stops) != len(some):  # every word has an end at least, so each has one if there are no more
+                others += some
+                continue
+            data, start = ids.tobytes(), 0
+            for word, stop in zip(some, stops.tolist(), strict=True):
                 self.words[word] = data[start:stop]
                 start = stop
-        others = [w for w in words if not (w.isalpha() and w.isascii())]
         for word, e in zip(others, self.tokenizer.encode_batch_fast(others, add_special_tokens=False), strict=True):
             self.words[word] = np.array(e.ids, dtype=self.dtype).tobytes()
 
-    def encode(self, texts: list[str | None]) -> list[bytes]:
-        """Ids of each text as little-endian bytes of ``dtype``."""
-        parts = [(t or "").replace("\n", " ").split(" ") for t in texts]
-        young, old = self.young, self.old
-        made, new = [], set()
-        for part in {p for ps in parts for p in ps if p not in young}:
-            if part in old:
-                young[part] = old[part]
-                continue
-            word = part.rstrip(".,;:!?|")
-            if not word or not unicodedata.normalize("NFC", word[-1]).lower().isalpha():
-                word = part
-            mark = part[len(word) :]
-            word = word.lower() if word.isascii() and word.isalpha() else word
-            made.append((part, word, mark))
-            for w in (word, mark):
-                if w not in self.words:
-                    if w in self.old_words:
-                        self.words[w] = self.old_words[w]
-                    else:
-                        new.add(w)
-        self._learn(list(new))
-        for part, word, mark in made:
-            young[part] = self.words[word] + self.words[mark]
-        found = [b"".join(map(young.__getitem__, ps)) for ps in parts]
-        if len(young) >= PARTS:
-            self.old, self.young = young, {}
+    def _ids(self, words: list[str]) -> list[bytes]:
+        found = list(map(self.words.get, words))
+        missing = [k for k, ids in enumerate(found) if ids is None]
+        new = []
+        for k in missing:
+            ids = self.old_words.get(words[k])
+            if ids is None:
+                new.append(words[k])
+            else:
+                self.words[words[k]] = ids
+        self._learn(new)
+        for k in missing:
+            found[k] = self.words[words[k]]
         if len(self.words) >= KNOWN:
             self.old_words, self.words = self.words, {}
         return found
 
+    def encode_column(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts (null: empty), one after another, and how many each has."""
+        if not len(texts):
+            return np.empty(0, self.dtype), np.empty(0, np.int64)
+        split = pc.split_pattern(pc.replace_substring(pc.fill_null(texts, ""), "\n", " "), " ")
+        all_parts = split.flatten().dictionary_encode()
+        parts = all_parts.dictionary
+        # Different parts: a word and the marks that close it.
+        short = pc.utf8_rtrim(parts, MARKS)
+        closed = pc.match_substring_regex(parts, _CLOSED)
+        words = pc.if_else(closed, short, parts)
+        words = pc.if_else(pc.ascii_is_alpha(words), pc.ascii_lower(words), words)
+        n_marks = pc.subtract(pc.binary_length(parts), pc.binary_length(short)).to_numpy()
+        n_marks = np.where(closed.to_numpy(zero_copy_only=False), n_marks, 0)
+        marked = [np.flatnonzero(n_marks == k) for k in (1, 2, 3)]
+        marks = [pc.utf8_slice_codeunits(parts.take(pa.array(at)), -k) for k, at in enumerate(marked, 1)]
+        known = pa.concat_arrays([words, *marks, pa.array([""], words.type)]).dictionary_encode()
+        ids = self._ids(known.dictionary.to_pylist())
+        codes = known.indices.to_numpy()
+        pairs = np.full((len(parts), 2), codes[-1])
+        pairs[:, 0] = codes[: len(parts)]
+        pairs[np.concatenate(marked), 1] = codes[len(parts) : -1]
+        sizes = np.fromiter(map(len, ids), np.int64, len(ids)) // self.dtype.itemsize
+        flat, n = _strung(np.frombuffer(b"".join(ids), self.dtype), sizes, pairs.ravel())
+        flat, n = _strung(flat, n.reshape(-1, 2).sum(axis=1), all_parts.indices.to_numpy())
+        starts = split.offsets.to_numpy()[:-1]  # no text is without a part
+        return flat, np.add.reduceat(n, starts - starts[0])
+
+    def encode(self, texts: list[str | None]) -> list[bytes]:
+        """Ids of each text as little-endian bytes of ``dtype``."""
+        flat, n = self.encode_column(pa.array(texts, pa.string()))
+        stops = np.cumsum(n)
+        return [flat[b - k : b].tobytes() for b, k in zip(stops.tolist(), n.tolist(), strict=True)]
+
 
 _encoders: dict[bytes, WordEncoder] = {}  # one definition at a time
 
 
+def encoder_of(definition: str) -> WordEncoder:
+    """This worker's encoder, with the words that its tasks before have met. (A function inside another is
+    sent to tasks with copies of the dictionaries that it names, so it must not name ``_encoders`` itself.)"""
+    key = hashlib.sha256(definition.encode()).digest()
+    if key not in _encoders:
+        _encoders.clear()
+        _encoders[key] = WordEncoder(definition)
+    return _encoders[key]
+
+
 def _file_system(folder: str) -> tuple[fs.FileSystem, str]:
     return fs.FileSystem.from_uri(folder)
 
@@ -128,31 +177,27 @@ def write_token_files(docs: DataFrame, path: str, end_id: int, folder: str, shar
         definition = docs.sparkSession.sparkContext.broadcast(file.read())
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key = hashlib.sha256(definition.value.encode()).digest()
-        if key not in _encoders:
-            _encoders.clear()
-            _encoders[key] = WordEncoder(definition.value)
-        encoder = _encoders[key]
+        encoder = encoder_of(definition.value)
         context = TaskContext.get()
         system, root = _file_system(folder)
         system.create_dir(root)
         shard, own = context.partitionId(), f"{root}/.{context.taskAttemptId()}"
-        end = np.array([end_id], dtype=encoder.dtype).tobytes()
-        ids, offsets, n_bytes = [], [0], 0
+        ids, offsets, total = [], [np.zeros(1, np.int64)], 0
         with system.open_output_stream(f"{own}.tokens") as out:
-            for doc_ids, texts in (part for batch in batches for part in slices(batch, 128)):
-                for tokens in encoder.encode(texts):
-                    out.write(tokens + end)
-                    n_bytes += len(tokens) + len(end)
-                    offsets.append(n_bytes // encoder.dtype.itemsize)
-                ids += [NO_ID if d is None else d for d in doc_ids]
+            for part in (part for batch in batches for part in chunks(batch, 1, CHUNK_BYTES)):
+                tokens, n = encoder.encode_column(part.column(1))
+                stops = np.cumsum(n)
+                out.write(np.insert(tokens, stops, end_id).tobytes())
+                offsets.append(total + stops + np.arange(1, len(stops) + 1))
+                total = int(offsets[-1][-1])
+                ids.append(pc.fill_null(part.column(0), NO_ID).to_numpy())
         if ids:
             for kind, values in (("offsets", offsets), ("docs", ids)):
                 with system.open_output_stream(f"{own}.{kind}") as out:
-                    out.write(np.array(values, dtype="<i8").tobytes())
+                    out.write(np.concatenate(values).astype("<i8").tobytes())
             for kind in ("tokens", "offsets", "docs"):
                 system.move(f"{own}.{kind}", f"{root}/{shard:07d}.{kind}")
-            row = [[shard], [len(ids)], [offsets[-1]], [encoder.dtype.str]]
+            row = [[shard], [sum(map(len, ids))], [total], [encoder.dtype.str]]
             kinds = (pa.int64(), pa.int64(), pa.int64(), pa.string())
             yield pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in zip(row, kinds, strict=True)], names=["shard", "n_docs", "n_tokens", "dtype"])
         else:

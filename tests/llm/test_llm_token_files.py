@@ -7,7 +7,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
-from oddlens.llm.common import documents, shared_path
+from oddlens.llm.common import chunks, documents, shared_path
 from oddlens.llm.token_files import WordEncoder, read_token_files, token_file_rows, write_token_files
 
 PATH = public_tokenizers.path("word_bpe_49k.json")
@@ -85,3 +85,63 @@ def test_added_tokens_and_cases_equal_the_library():
     texts = ["".join(rng.choice(parts) + rng.choice(["", " ", "\n"]) for _ in range(rng.randint(1, 9))) for _ in range(3000)]
     for text, found in zip(texts, own.encode(texts), strict=True):
         assert np.frombuffer(found, own.dtype).tolist() == library.encode(text, add_special_tokens=False).ids, text
+
+
+def test_a_column_looks_up_each_word_once(library):
+    import pyarrow as pa
+
+    class Counting(dict):
+        looked = 0
+
+        def get(self, key):
+            Counting.looked += 1
+            return super().get(key)
+
+    with open(PATH) as file:
+        encoder = WordEncoder(file.read())
+    encoder.words = Counting()
+    texts = ["Word word, WORD!? Été. été;\nEnd", None, "", "word\nend.", "word!!!! don't..."] * 400
+    ids, sizes = encoder.encode_column(pa.array(texts))
+    expected = [library.encode(t or "", add_special_tokens=False).ids for t in texts]
+    assert sizes.tolist() == [len(e) for e in expected]
+    assert ids.tolist() == [i for e in expected for i in e]
+    # word, End, Été, été, "word!!!!" and "don't", the marks that close them, and no mark
+    assert Counting.looked <= 15
+
+
+def test_each_letter_before_closing_marks(library, own):
+    letters = [chr(c) for c in range(0x41, 0x250) if chr(c).isalpha()]
+    texts = [t for c in letters for t in (f"{c}!", f"a{c}.", f"{c}b,", f"{c}́;")] + [" ".join(f"x{c}y" for c in letters)]
+    for text, found in zip(texts, own.encode(texts), strict=True):
+        assert np.frombuffer(found, own.dtype).tolist() == library.encode(text, add_special_tokens=False).ids, text
+
+
+def test_chunks_and_generations_of_words(library, monkeypatch):
+    import pyarrow as pa
+
+    from oddlens.llm import token_files
+
+    monkeypatch.setattr(token_files, "KNOWN", 5)
+    texts = [" ".join(f"W{'abcdefghij'[(k * j) % 10]}é{'xyz'[k % 3]}" for j in range(k % 7)) or None for k in range(90)]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(90)), pa.array(texts)], names=["doc_id", "text"])
+    parts = list(chunks(batch.slice(3), 1, 40))
+    assert [d for c in parts for d in c.column(0).to_pylist()] == list(range(3, 90)) and len(parts) > 40
+    with open(PATH) as file:
+        encoder = WordEncoder(file.read())
+    found = [i for c in parts for i in encoder.encode_column(c.column(1))[0].tolist()]
+    assert found == [i for t in texts[3:] for i in library.encode(t or "", add_special_tokens=False).ids]
+
+
+def test_tasks_share_their_workers_encoder(spark):
+    token_file_rows(documents(spark, DATA), PATH, 2, 12).collect()
+
+    def encoders(batches):
+        import pyarrow as pa
+
+        from oddlens.llm import token_files
+
+        for _ in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([len(token_files._encoders)])], names=["n"])
+
+    found = spark.range(0, 12, 1, 12).mapInArrow(encoders, "n long").collect()
+    assert max(r.n for r in found) == 1
