@@ -35,23 +35,35 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from oddlens.llm.common import LOWER, remainder, slices, text_bytes, written
+from oddlens.llm.common import chunks, remainder, slices, written
 
 OWN, ENDINGS, HEAD = 700, 200, 1 << 17
 WIDTH, NOISE, BATCH, ROUNDS, RATE = 24, 48, 1024, 3, 0.15
+#: UTF-8 bytes of texts that are split at once (one text at least).
+CHUNK_BYTES = 4_000_000
 #: The end token: no word is empty.
 END = b""
 
 
-def _tokens(text: str | None) -> list[bytes]:
-    words = text_bytes(text).translate(LOWER).split()
-    words.append(END)
-    return words
+def _split(texts: pa.Array) -> tuple[list[bytes], np.ndarray, np.ndarray]:
+    """Different tokens of some texts, the number of the token at each place, and each text's first place (and the end)."""
+    words = pc.ascii_split_whitespace(pc.ascii_lower(pc.fill_null(texts, "")))
+    coded = words.flatten().dictionary_encode()
+    names = coded.dictionary.cast(pa.binary()).to_pylist()
+    # White space around a text leaves empty words, which are no tokens; the end takes their number.
+    if END not in names:
+        names.append(END)
+    end, codes = names.index(END), coded.indices.to_numpy()
+    bounds = words.offsets.to_numpy() - words.offsets[0].as_py()
+    bounds = np.concatenate([[0], np.cumsum(codes != end)])[bounds]
+    codes = np.insert(codes[codes != end], bounds[1:], end)
+    return names, codes, bounds + np.arange(len(bounds))
 
 
 def _hash(word: bytes) -> int:
@@ -64,9 +76,9 @@ def _counted(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     def flush() -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays([pa.array(seen.keys(), pa.binary()), pa.array(seen.values(), pa.int64())], names=["word", "n"])
 
-    for (texts,) in (part for batch in batches for part in slices(batch)):
-        for text in texts:
-            seen.update(_tokens(text))
+    for part in (part for batch in batches for part in chunks(batch, 0, CHUNK_BYTES)):
+        names, codes, _ = _split(part.column(0))
+        seen.update(dict(zip(names, np.bincount(codes, minlength=len(names)).tolist(), strict=True)))
         if len(seen) > 500_000:
             yield flush()
             seen.clear()
@@ -133,27 +145,34 @@ def _encoded(batches: Iterable[pa.RecordBatch], vocabulary: Vocabulary) -> Itera
     """Classes of each text's tokens; sums of the frequent words; the rarer words by hash."""
     key = TaskContext.get().partitionId() << 40
     head = vocabulary.head
-    tail_type = pa.list_(pa.struct([("h", pa.int64()), ("at", pa.list_(pa.int32()))]))
-    kinds = (pa.int64(), pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.float64(), pa.binary(), tail_type)
     names = [x.split()[0] for x in ENCODED.split(", ")]
-    for doc_ids, texts, held in (part for batch in batches for part in slices(batch)):
-        rows = []
-        for doc_id, text, out in zip(doc_ids, texts, held, strict=True):
-            tokens = _tokens(text)
-            found = [head.get(w) for w in tokens]
-            tail: dict[bytes, list[int]] = {}
-            classes, logs = np.empty(len(tokens), np.uint16), 0.0
-            for k, f in enumerate(found):
-                if f is None:
-                    tail.setdefault(tokens[k], []).append(k)
-                    classes[k] = vocabulary.tail_class(tokens[k])
-                else:
-                    classes[k] = f[0]
-                    logs += f[1]
-            rare = [{"h": _hash(w), "at": at} for w, at in tail.items()]
-            rows.append((key, doc_id, out, len(tokens), len(tokens) - found.count(None), logs, classes.tobytes(), rare))
-            key += 1
-        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), kinds, strict=True)], names=names)
+    for part in (part for batch in batches for part in chunks(batch, 1, CHUNK_BYTES)):
+        tokens, codes, bounds = _split(part.column(1))
+        found = [head.get(w) for w in tokens]
+        rare = np.array([f is None for f in found])
+        hashes = np.array([_hash(w) if f is None else 0 for w, f in zip(tokens, found, strict=True)], np.int64)
+        classes = np.array([vocabulary.tail_class(w) if f is None else f[0] for w, f in zip(tokens, found, strict=True)], np.uint16)
+        logs = np.array([0.0 if f is None else f[1] for f in found])
+        firsts, n_tokens = bounds[:-1], np.diff(bounds)  # each text has its end at least
+        n_head = np.add.reduceat(~rare[codes], firsts, dtype=np.int64)
+        # Places of the rarer words, by text and word.
+        at = np.flatnonzero(rare[codes])
+        text = np.repeat(np.arange(len(firsts)), n_tokens)[at]
+        word = text * len(tokens) + codes[at]
+        order = np.argsort(word, kind="stable")
+        at, text, word = at[order], text[order], word[order]
+        new = np.flatnonzero(np.diff(word, prepend=-1))
+        places = _lists(np.append(new, len(at)), pa.array((at - firsts[text]).astype(np.int32)))
+        entries = pa.StructArray.from_arrays([pa.array(hashes[codes[at[new]]]), places], names=["h", "at"])
+        tail = _lists(np.searchsorted(text[new], np.arange(len(bounds))), entries)
+        data = [None, pa.py_buffer((2 * bounds).astype(np.int32)), pa.py_buffer(classes[codes].tobytes())]
+        columns = [pa.array(key + np.arange(len(firsts))), part.column(0), part.column(2), pa.array(n_tokens), pa.array(n_head), pa.array(np.add.reduceat(logs[codes], firsts))]
+        yield pa.RecordBatch.from_arrays([*columns, pa.Array.from_buffers(pa.binary(), len(firsts), data), tail], names=names)
+        key += len(firsts)
+
+
+def _lists(offsets: np.ndarray, values: pa.Array) -> pa.ListArray:
+    return pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), values)
 
 
 @dataclass
@@ -334,28 +353,28 @@ def _scored(
     A rarer word of a held-out text may be unknown, which its count will tell: both of its
     sums stand beside it (``seen`` as a member of its class, ``blind`` as the unknown type).
     """
-    tail_type = pa.list_(pa.struct([("h", pa.int64()), ("n", pa.int32()), ("seen", pa.float64()), ("blind", pa.float64())]))
-    kinds = (pa.int64(), pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.float64(), pa.float64(), tail_type)
     names = [x.split()[0] for x in SCORED.split(", ")]
-    for keys, ids, out, n_tokens, n_head, logs, part, tails in (part for batch in batches for part in slices(batch)):
-        classes = [np.frombuffer(c, np.uint16) for c in part]
+    for part in (batch.slice(a, 256) for batch in batches for a in range(0, batch.num_rows, 256)):
+        *same, packed, tails = part.columns
+        classes = [np.frombuffer(c, np.uint16) for c in packed.to_pylist()]
         two, before, w = contexts(classes, len(mass))
         each = class_logs(model, z, two, before, w) - mass[w]
         starts = np.cumsum([0, *(len(c) for c in classes[:-1])])
-        found = []
-        for start, held, tail in zip(starts, out, tails, strict=True):
-            rows = []
-            for t in tail:
-                seen = blind = 0.0
-                if held:
-                    at = start + np.array(t["at"])
-                    seen = float(each[at].sum())
-                    blind = float((p_shared[two[at], before[at]] / np.log(10) + unknown).sum())
-                    each[at] = 0.0
-                rows.append({"h": t["h"], "n": len(t["at"]), "seen": seen, "blind": blind})
-            found.append(rows)
-        sums = np.add.reduceat(each, starts)
-        yield pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in zip((keys, ids, out, n_tokens, n_head, logs, sums, found), kinds, strict=True)], names=names)
+        # Entries of the lists, and places of each entry's word.
+        hashes, places = tails.flatten().flatten()
+        bounds, n = tails.offsets.to_numpy(), np.diff(places.offsets.to_numpy())
+        text = np.repeat(np.arange(len(starts)), np.diff(bounds))
+        entry = np.repeat(np.arange(len(n)), n)
+        at = starts[text][entry] + places.flatten().to_numpy()
+        out = part.column(2).to_numpy(zero_copy_only=False)[text][entry]
+        entry, at = entry[out], at[out]
+        seen = np.bincount(entry, each[at], len(n))
+        blind = np.bincount(entry, p_shared[two[at], before[at]] / np.log(10) + unknown, len(n))
+        each[at] = 0.0
+        # Without a held-out text bincount has nothing to add up and gives whole numbers.
+        sums = [hashes, pa.array(n, pa.int32()), *(pa.array(x.astype(np.float64)) for x in (seen, blind))]
+        tail = _lists(bounds - bounds[0], pa.StructArray.from_arrays(sums, names=["h", "n", "seen", "blind"]))
+        yield pa.RecordBatch.from_arrays([*same, pa.array(np.add.reduceat(each, starts)), tail], names=names)
 
 
 def language_scores(docs: DataFrame, rounds: int = ROUNDS) -> DataFrame:

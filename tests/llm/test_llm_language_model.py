@@ -1,9 +1,11 @@
 import math
 import re
+import types
 import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -110,3 +112,43 @@ def test_noise_contrastive_training_learns_a_bigram_rule():
 def test_rounds_use_every_training_row_once(spark):
     df = spark.range(100).withColumn("part", F.pmod(F.xxhash64("id"), F.lit(lm.ROUNDS)))
     assert sum(df.where(F.col("part") == k).count() for k in range(lm.ROUNDS)) == 100
+
+
+def test_each_word_of_a_chunk_is_looked_up_once(monkeypatch):
+    class Counting(dict):
+        looked = 0
+
+        def get(self, key):
+            Counting.looked += 1
+            return super().get(key)
+
+    monkeypatch.setattr(lm, "TaskContext", types.SimpleNamespace(get=lambda: types.SimpleNamespace(partitionId=lambda: 1)))
+    head = Counting({b"": (0, 2.0), b"a": (1, 1.0)})
+    vocabulary = lm.Vocabulary(1, 1, head, {b"zz": 2}, 3, np.zeros(4), -9.0, 2, np.full(4, 0.25))
+    texts = ["A zz\ta b\x0b", None, " ", "zz ZZ\x1c\u00c9 zz"] * 300
+    batch = pa.RecordBatch.from_arrays([pa.array(range(1200)), pa.array(texts), pa.array([True] * 1200)], names=["doc_id", "text", "held_out"])
+    rows = [r for found in lm._encoded([batch.slice(4)], vocabulary) for r in found.to_pylist()]
+    assert [r["doc_id"] for r in rows] == list(range(4, 1200)) and [r["key"] for r in rows] == list(range(1 << 40, (1 << 40) + 1196))
+    expected = [([1, 2, 1, 3, 0], 3, 4.0, [[1], [3]]), ([0], 1, 2.0, []), ([0], 1, 2.0, []), ([2, 3, 2, 0], 1, 2.0, [[0, 2], [1]])]
+    for row, (classes, n_head, log, at) in zip(rows, expected * 299, strict=True):
+        assert np.frombuffer(row["classes"], np.uint16).tolist() == classes
+        assert (row["n_tokens"], row["n_head"], row["head_log"]) == (len(classes), n_head, log)
+        assert sorted(t["at"] for t in row["tail"]) == at
+    assert rows[0]["tail"][0]["h"] in (lm._hash(b"zz"), lm._hash(b"b"))
+    assert Counting.looked == 5  # a, zz, b, the end, "zz\x1c\u00c9"
+
+
+def test_scored_parts_have_one_schema(monkeypatch):
+    monkeypatch.setattr(lm, "TaskContext", types.SimpleNamespace(get=lambda: types.SimpleNamespace(partitionId=lambda: 1)))
+    vocabulary = lm.Vocabulary(1, 1, {b"": (0, 2.0), b"a": (1, 1.0)}, {b"zz": 2}, 3, np.zeros(4), -9.0, 2, np.full(4, 0.25))
+    batches = []
+    for texts in (["a zz zz b"], [""], ["a"], ["zz", None]):
+        for held_out in (True, False):
+            ids = pa.array([None] * len(texts), pa.int64())
+            batches.append(pa.RecordBatch.from_arrays([ids, pa.array(texts), pa.array([held_out] * len(texts))], names=["doc_id", "text", "held_out"]))
+    encoded = list(lm._encoded(batches, vocabulary))
+    model, z = LogBilinear.new(vocabulary.frequency), np.ones((5, 5), np.float32)
+    scored = list(lm._scored(encoded, model, z, -z, vocabulary.mass, vocabulary.unknown))
+    assert len({str(b.schema) for b in encoded}) == len({str(b.schema) for b in scored}) == 1
+    both = [t for b in scored[:2] for t in sum(b.column(7).to_pylist(), [])]
+    assert [(t["n"], t["seen"] < 0, t["blind"] < 0) for t in both] == [(2, True, True), (1, True, True), (2, False, False), (1, False, False)]
